@@ -1,0 +1,290 @@
+"""The message stages: products, product details, review pages, reviews, orders and sentiment.
+
+Each stage handles one micro-batch with joins instead of lookups and writes everything the
+batch causes under the batch's own id, so a replay after a crash rewrites the same rows.
+Rows a stage refuses go to the rejects table with a reason.  Reviews, orders and sentiments
+that repeat in a later batch are settled when the tables are read (the first wins), so a batch
+costs what the batch holds, not what the tables hold.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from martlens import schemas
+from martlens.functions import scalars as X
+from martlens.operators import derive, joins, merge, parse, quality, sentiment
+from martlens.sources import messages
+from martlens.sources.tables import LogTable
+
+# Message numbers of one page: far more than a page has elements.
+PAGE_SLOTS = 1_000_000
+# `seq` numbers messages across all streams, for instance by Kafka time.
+MESSAGE = "seq BIGINT, key STRING, value STRING"
+Scorer = Callable[[DataFrame], DataFrame]
+
+# Update logs hold what messages set; `present` lists the columns each row sets.
+UPDATES = (
+    "product_id BIGINT, name STRING, url STRING, image_url STRING, description STRING, "
+    "shop_id BIGINT, category_id INT, rating DECIMAL(3,2), sold_count INT, review_count INT, "
+    "discount_rate INT, short_description STRING, authors STRING, specifications STRING, "
+    "configurable_options STRING, present ARRAY<STRING>, order_at STRUCT<seq: BIGINT, stage: INT, batch: BIGINT>"
+)
+SELLERS = "shop_id BIGINT, shop_name STRING, order_at STRUCT<seq: BIGINT, stage: INT, batch: BIGINT>"
+CUSTOMERS = "customer_id BIGINT, customer_name STRING, order_at STRUCT<seq: BIGINT, stage: INT, batch: BIGINT>"
+ORDER_AT = "order_at STRUCT<seq: BIGINT, stage: INT, batch: BIGINT>"
+PRICES = schemas.TABLES["product_prices"] + ", " + ORDER_AT
+REVIEWS = schemas.TABLES["reviews"] + ", " + ORDER_AT
+ORDERS = schemas.TABLES["orders"] + ", " + ORDER_AT
+ORDER_LINES = schemas.TABLES["order_lines"] + ", " + ORDER_AT
+SENTIMENTS = schemas.TABLES["review_sentiment"] + ", " + ORDER_AT
+REJECTS = "stage STRING, seq BIGINT, value STRING, reason STRING"
+METRICS = "stage STRING, processed BIGINT, failed BIGINT"
+
+
+def _order(stage: int, batch_id: int):
+    """Place of an update among all of its key: by message number, which all streams share."""
+    return F.struct(
+        F.col("seq"), F.lit(stage).alias("stage"), F.lit(batch_id).cast("bigint").alias("batch")
+    )
+
+
+def _place(batch_id: int):
+    """Place of a row in a table that one stream feeds with one row per key and batch."""
+    batch = F.lit(batch_id).cast("bigint")
+    return F.struct(batch.alias("seq"), F.lit(0).alias("stage"), batch.alias("batch"))
+
+
+def _fold_products(log: DataFrame) -> DataFrame:
+    columns = [c for c in log.columns if c not in ("product_id", "present", "order_at")]
+    folded = merge.fold_updates(log, "product_id", columns, "present", "order_at")
+    sold = F.when(F.col("_set_sold_count"), F.col("sold_count")).otherwise(0)
+    return folded.withColumn("sold_count", sold).select("product_id", *columns)
+
+
+def _fold_shops(log: DataFrame) -> DataFrame:
+    folded = merge.fold_updates(log, "shop_id", ["shop_name"], "truthy", "order_at")
+    placeholder = F.concat(F.lit("Shop "), F.col("shop_id"))
+    return folded.select("shop_id", F.coalesce("shop_name", placeholder).alias("shop_name"))
+
+
+def _fold_customers(log: DataFrame) -> DataFrame:
+    return log.groupBy("customer_id").agg(F.max_by("customer_name", "order_at").alias("customer_name"))
+
+
+def _shortest(key: str) -> Callable[[DataFrame], DataFrame]:
+    """First wins: the earliest row of each key, with its place in the order."""
+    return lambda log: merge.first_wins(log, key, "order_at")
+
+
+def _first(key: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda log: _shortest(key)(log).drop("order_at")
+
+
+def _fold_prices(log: DataFrame) -> DataFrame:
+    return merge.price_rows(log, seq="order_at")
+
+
+class Pipeline:
+    """Tables under one shared folder and the stages that feed them."""
+
+    def __init__(self, spark: SparkSession, root: str, scorer: Scorer = sentiment.score_with_lexicon):
+        self.spark, self.root, self.scorer = spark, root, scorer
+        table = lambda name, *how: LogTable(spark, f"{root}/tables/{name}", *how)
+        once = lambda name, columns, key: table(name, columns, _first(key), _shortest(key))
+        self.products = table("products", UPDATES, _fold_products)
+        self.shops = table("shops", SELLERS, _fold_shops)
+        self.categories = table("categories", "category_id INT", lambda log: log.distinct())
+        self.prices = table("product_prices", PRICES, _fold_prices)
+        self.reviews = once("reviews", REVIEWS, "review_id")
+        self.orders = once("orders", ORDERS, "review_id")
+        self.order_lines = once("order_lines", ORDER_LINES, "order_id")
+        self.customers = table("customers", CUSTOMERS, _fold_customers)
+        self.sentiment = once("review_sentiment", SENTIMENTS, "review_id")
+        self.rejects = table("rejects", REJECTS)
+        self.metrics = table("metrics", METRICS)
+        self.topics = {t: table(f"topic_{t.replace('-', '_')}", MESSAGE) for t in schemas.STAGE_TOPICS}
+        self.tables = (
+            self.products,
+            self.shops,
+            self.categories,
+            self.prices,
+            self.reviews,
+            self.orders,
+            self.order_lines,
+            self.customers,
+            self.sentiment,
+            self.rejects,
+            self.metrics,
+            *self.topics.values(),
+        )
+
+    def create(self) -> Pipeline:
+        for t in self.tables:
+            t.create()
+        return self
+
+    def _finish(self, stage: str, batch_id: int, ok: DataFrame, refused: DataFrame) -> None:
+        self.rejects.append(refused.withColumn("stage", F.lit(stage)).select("stage", "seq", "value", "reason"), stage, batch_id)
+        counts = ok.select(F.lit(1).alias("p"), F.lit(0).alias("f")).unionAll(refused.select(F.lit(0), F.lit(1)))
+        totals = counts.agg(
+            F.lit(stage).alias("stage"),
+            F.coalesce(F.sum("p"), F.lit(0)).alias("processed"),
+            F.coalesce(F.sum("f"), F.lit(0)).alias("failed"),
+        )
+        self.metrics.append(totals, stage, batch_id)
+
+    def _send(self, topic: str, rows: DataFrame, key: str, stage: str, batch_id: int) -> None:
+        body = F.to_json(F.struct(*[c for c in rows.columns if c != "seq"]), {"ignoreNullFields": "false"})
+        out = rows.select("seq", F.col(key).cast("string").alias("key"), body.alias("value"))
+        self.topics[topic].append(out, stage, batch_id)
+
+    # stages ----------------------------------------------------------------------------------
+
+    def on_products(self, batch: DataFrame, batch_id: int) -> None:
+        """Flat product items: products, prices, placeholder shops and categories, detail requests."""
+        batch = batch.persist()
+        stage = "products"
+        read = messages.json_messages(batch, schemas.PRODUCT_MESSAGE)
+        good = messages.decoded(read)
+        checked = quality.with_violations(good, quality.PRODUCT)
+        ok = checked.filter(F.size("violations") == 0).drop("violations")
+        refused = (
+            checked.filter(F.size("violations") > 0)
+            .select("seq", F.col("key").alias("value"), F.array_join("violations", ",").alias("reason"))
+            .unionByName(messages.corrupt(read).select(F.lit(None).cast("bigint").alias("seq"), "value", "reason"))
+        )
+        at = F.coalesce(X.moment("kafka_timestamp", X.moment("crawled_at", F.current_timestamp())))
+        listed = ("name", "url", "image_url", "description", "shop_id", "category_id", "rating", "sold_count")
+        sets = F.array_intersect("present", F.array(*[F.lit(c) for c in listed]))
+        updates = ok.select("product_id", *listed, sets.alias("present"), _order(0, batch_id).alias("order_at"))
+        self.products.append(
+            updates.withColumn("rating", F.col("rating").try_cast("decimal(3,2)")).select(
+                "*",
+                *[F.lit(None).cast("int").alias(c) for c in ("review_count", "discount_rate")],
+                *[
+                    F.lit(None).cast("string").alias(c)
+                    for c in ("short_description", "authors", "specifications", "configurable_options")
+                ],
+            ),
+            stage,
+            batch_id,
+        )
+        set_id = lambda c: F.coalesce(F.col(c), F.lit(0)) != 0
+        self.shops.append(
+            ok.filter(set_id("shop_id")).select(
+                "shop_id", F.lit(None).cast("string").alias("shop_name"), _order(0, batch_id).alias("order_at")
+            ),
+            stage,
+            batch_id,
+        )
+        self.categories.append(ok.filter(set_id("category_id")).select("category_id").distinct(), stage, batch_id)
+        priced = merge.price_rows(ok.withColumn("timestamp", at))
+        self.prices.append(priced.withColumn("order_at", _place(batch_id)), stage, batch_id)
+        requests = parse.detail_requests(ok).withColumn("seq", F.lit(None).cast("bigint"))
+        self._send("product-detail", requests, "product_id", stage, batch_id)
+        self._finish(stage, batch_id, ok, refused)
+        batch.unpersist()
+
+    def on_details(self, batch: DataFrame, batch_id: int) -> None:
+        """Landed detail payloads: enrich products, name shops, ask for reviews."""
+        batch = batch.persist()
+        stage = "details"
+        found = parse.product_details(batch.select("seq", "value"))
+        has_id = F.coalesce(F.col("product_id"), F.lit(0)) != 0
+        ok, lost = found.filter(has_id), found.filter(~has_id)
+        values = [c for c in found.columns if c not in ("seq", "product_id", "shop_name")]
+        sets = F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.lit(c)) for c in values]))
+        self.products.append(
+            ok.select("product_id", *values, sets.alias("present"), _order(1, batch_id).alias("order_at")),
+            stage,
+            batch_id,
+        )
+        sellers = ok.filter(F.col("shop_id").isNotNull())
+        self.shops.append(sellers.select("shop_id", "shop_name", _order(1, batch_id).alias("order_at")), stage, batch_id)
+        cats = ok.filter(F.col("category_id").isNotNull()).select("category_id").distinct()
+        self.categories.append(cats, stage, batch_id)
+        asked = ok.select("seq", "product_id", F.lit(None).cast("bigint").alias("spid"), F.col("shop_id").alias("seller_id"))
+        requests = parse.review_requests(asked).withColumn("seq", F.lit(None).cast("bigint"))
+        self._send("review-fetch", requests, "product_id", stage, batch_id)
+        refused = lost.select("seq", F.lit(None).cast("string").alias("value"), F.lit("product_id").alias("reason"))
+        self._finish(stage, batch_id, ok, refused)
+        batch.unpersist()
+
+    def on_review_pages(self, batch: DataFrame, batch_id: int) -> None:
+        """Landed review pages (key = product id): one review message per element."""
+        stage = "review_pages"
+        elements = parse.page_elements(batch, "value", ("seq", "key"))
+        review = F.from_json("element", schemas.REVIEW_DETAIL)
+        stamped = elements.withColumn("_r", review.withField("product_id", F.col("key").cast("bigint")))
+        out = stamped.select(
+            (F.col("seq") * PAGE_SLOTS + F.col("position")).alias("seq"),
+            F.col("_r.id").cast("string").alias("key"),
+            F.to_json("_r", {"ignoreNullFields": "false"}).alias("value"),
+        )
+        self.topics["review-detail"].append(out, stage, batch_id)
+        self._finish(stage, batch_id, out, batch.limit(0).select("seq", "value", F.lit("").alias("reason")))
+
+    def on_reviews(self, batch: DataFrame, batch_id: int) -> None:
+        """Full reviews: store those of known products, then their orders and sentiment.
+
+        Orders and sentiment come from the same batch under the same id, so a crash between the
+        writes is repaired by the replay instead of losing messages.
+        """
+        batch = batch.persist()
+        stage = "reviews"
+        now = F.current_timestamp()
+        read = parse.review_details(batch.select("seq", "value"), now)
+        missing = quality.missing_required(read, ["review_id", "product_id"])
+        given = quality.has_required(read, ["review_id", "product_id"])
+        in_range = F.coalesce(F.col("rating").between(1, 5), F.lit(False))
+        products = self.products.log()
+        known = joins.with_parent(given, products, "product_id")
+        lost = joins.orphans(given, products, "product_id", "unknown product")
+        new = merge.first_wins(known.filter(in_range), "review_id").persist()
+        write = lambda table, rows: table.append(rows.withColumn("order_at", _place(batch_id)), stage, batch_id)
+
+        write(self.reviews, new.drop("seq", "customer_id").withColumn("crawled_at", now))
+        self._send("orders", parse.order_messages(new).withColumn("seq", F.lit(batch_id)), "review_id", stage, batch_id)
+        self._send(
+            "sentiment-analysis",
+            parse.sentiment_messages(new).withColumn("seq", F.lit(batch_id)),
+            "review_id",
+            stage,
+            batch_id,
+        )
+        buyers = new.withColumnRenamed("user_name", "customer_name").withColumn("order_date", F.col("created_at"))
+        prices = self.prices.current(new, "product_id")
+        facts = derive.order_facts(buyers, products, prices)
+        write(self.orders, derive.orders_of(facts).withColumn("created_at", now))
+        write(self.order_lines, derive.order_lines_of(facts).withColumn("created_at", now))
+        self.customers.append(
+            buyers.filter(F.coalesce(F.col("customer_id"), F.lit(0)) != 0).select(
+                "customer_id", "customer_name", _order(2, batch_id).alias("order_at")
+            ),
+            stage,
+            batch_id,
+        )
+        scored = self.scorer(new.select("review_id", "comment"))
+        write(self.sentiment, sentiment.sentiment_rows(scored, now))
+        reason = lambda df, r: df.select("seq", F.col("review_id").cast("string").alias("value"), r.alias("reason"))
+        refused = (
+            reason(missing, F.concat(F.lit("missing "), F.array_join("missing", ",")))
+            .unionByName(reason(lost, F.col("reason")))
+            .unionByName(reason(known.filter(~in_range), F.lit("rating out of range")))
+        )
+        self._finish(stage, batch_id, known.filter(in_range), refused)
+        new.unpersist()
+        batch.unpersist()
+
+    def run(self, stream: DataFrame, stage: Callable[[DataFrame, int], None], name: str) -> None:
+        """Feed everything available to a stage; progress is kept in the stage's checkpoint."""
+        (
+            stream.writeStream.foreachBatch(stage)
+            .option("checkpointLocation", f"{self.root}/checkpoints/{name}")
+            .trigger(availableNow=True)
+            .start()
+            .awaitTermination()
+        )
