@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column, functions as F, types as T
 
 # What counts as white space in Python's str.strip and in \s on text.
@@ -126,12 +128,29 @@ def words(c: Name) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
+def count_words(c: Name, wanted: Iterable[str]) -> Column:
+    """How many of a text's words are among `wanted`, without building the list of words."""
+    if any(not w.isalpha() for w in wanted):
+        raise ValueError("words must consist of letters")
+    one_of = "|".join(sorted(wanted))
+    text = F.lower(F.coalesce(col(c), F.lit("")))
+    return F.regexp_count(text, F.lit(rf"(?<!\p{{L}})(?:{one_of})(?!\p{{L}})"))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate `value` once and use it in `body`; a lambda would evaluate it per element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def softmax(scores: Column) -> Column:
     """Softmax over an array of numbers, shifted by the maximum so exp cannot overflow."""
-    top = F.array_max(scores)
-    exps = F.transform(scores, lambda x: F.exp((x - top).cast("double")))
-    total = F.aggregate(exps, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(exps, lambda x: x / total)
+
+    def normalised(exps: Column) -> Column:
+        total = F.aggregate(exps, F.lit(0.0), lambda acc, x: acc + x)
+        return let(total, lambda t: F.transform(exps, lambda x: x / t))
+
+    shifted = lambda top: F.transform(scores, lambda x: F.exp((x - top).cast("double")))
+    return let(F.array_max(scores), lambda top: let(shifted(top), normalised))
 
 
 def argmax(scores: Column) -> Column:

@@ -129,7 +129,9 @@ def catalog_products(
     )
 
 
-def shop_items(elements: DataFrame, raw: str = "element", payload: str = "listing") -> DataFrame:
+def shop_items(
+    elements: DataFrame, raw: str = "element", payload: str = "listing", keep: tuple[Column, ...] = ()
+) -> DataFrame:
     """Seller of each element as a shop item; elements without a seller id give no row."""
     listing = payload == "listing"
     schema = schemas.LISTING_ITEM if listing else schemas.CATALOG_ITEM
@@ -140,6 +142,7 @@ def shop_items(elements: DataFrame, raw: str = "element", payload: str = "listin
     else:
         official = F.col("_d.seller.is_best_store")
     return df.filter(F.coalesce(F.col("_d.seller.id"), F.lit(0)) != 0).select(
+        *keep,
         F.lit("shop").alias("item_type"),
         F.col("_d.seller.id").alias("shop_id"),
         F.coalesce(X.strip("_d.seller.name"), F.lit("")).alias("shop_name"),

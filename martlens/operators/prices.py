@@ -63,13 +63,14 @@ def largest_changes(changes: DataFrame, n: int) -> DataFrame:
 
 def hourly_rollup(prices: DataFrame, width: str = "1 hour") -> DataFrame:
     """Mean, lowest, highest price and number of rows per product and time bucket."""
-    bucket = F.window("timestamp", width).getField("start")
-    return prices.groupBy("product_id", bucket.alias("bucket")).agg(
+    per_window = prices.groupBy("product_id", F.window("timestamp", width).alias("w")).agg(
         X.mean(F.sum("price"), F.count("price")).alias("avg_price"),
         F.min("price").alias("min_price"),
         F.max("price").alias("max_price"),
         F.count("*").alias("price_changes"),
     )
+    values = ("avg_price", "min_price", "max_price", "price_changes")
+    return per_window.select("product_id", F.col("w.start").alias("bucket"), *values)
 
 
 def refresh_range(as_of: Column, start_days: int = 3, end_hours: int = 1) -> tuple[Column, Column]:
@@ -99,23 +100,21 @@ def retained(prices: DataFrame, as_of: Column, days: int = 90) -> DataFrame:
     return prices.filter(F.col("timestamp") >= since(as_of, days))
 
 
-def daily_series(prices: DataFrame) -> DataFrame:
-    """One row per product and day from its first to its last price, gaps filled forward.
+def filled_series(prices: DataFrame, unit: str = "day") -> DataFrame:
+    """One row per product and calendar unit from its first to its last price, gaps filled forward.
 
-    Prices are reduced to one per day first, so a series is as long as its days, however many
-    rows a product has.
+    Prices are reduced to the last one per unit first, so a series is as long as its time span,
+    however many rows a product has.
     """
-    per_day = prices.groupBy("product_id", F.to_date("timestamp").alias("day")).agg(
-        F.max_by("price", "timestamp").alias("close")
-    )
-    ranges = per_day.groupBy("product_id").agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
-    days = ranges.select(
-        "product_id", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("day")
-    )
-    upto = Window.partitionBy("product_id").orderBy("day")
-    return days.join(per_day, ["product_id", "day"], "left").select(
+    period = F.date_trunc(unit, "timestamp").alias("period")
+    known = prices.groupBy("product_id", period).agg(F.max_by("price", "timestamp").alias("close"))
+    spans = known.groupBy("product_id").agg(F.min("period").alias("lo"), F.max("period").alias("hi"))
+    step = F.expr(f"INTERVAL 1 {unit}")
+    periods = spans.select("product_id", F.explode(F.sequence("lo", "hi", step)).alias("period"))
+    upto = Window.partitionBy("product_id").orderBy("period")
+    return periods.join(known, ["product_id", "period"], "left").select(
         "product_id",
-        "day",
+        "period",
         F.last("close", ignorenulls=True).over(upto).alias("price"),
         F.col("close").isNull().alias("filled"),
     )

@@ -6,6 +6,7 @@ take its place through `score_with_model`, which feeds it Arrow batches.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Protocol
@@ -45,39 +46,28 @@ DEFAULT_LEXICON = Lexicon(
 
 
 def lexicon_scores(text: Column | str, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
-    """[negative, positive] word counts of a text."""
-    found = X.words(text)
-    count = lambda ws: F.size(F.filter(found, lambda w: w.isin(*sorted(ws)))).cast("double")
-    return F.array(count(lexicon.negative), count(lexicon.positive))
-
-
-def label_of(scores: Column) -> Column:
-    """Sentiment and confidence from [negative, positive] scores; equal scores are neutral."""
-    probs = X.softmax(scores)
-    negative, positive = F.element_at(scores, 1), F.element_at(scores, 2)
-    tied = negative == positive
-    label = F.when(tied, "neutral").when(positive > negative, "positive").otherwise("negative")
-    return F.struct(
-        label.alias("sentiment"),
-        F.when(tied, 0.0).otherwise(F.round(F.array_max(probs), 4)).alias("confidence"),
-    )
+    """How many more positive than negative words a text has."""
+    return X.count_words(text, lexicon.positive) - X.count_words(text, lexicon.negative)
+
+
+def label_of(balance: Column) -> Column:
+    return F.when(balance > 0, "positive").when(balance < 0, "negative").otherwise("neutral")
+
+
+def confidence_of(balance: Column) -> Column:
+    """The larger of two softmax shares, four decimals; 0 when there is no balance either way."""
+    return F.when(balance == 0, 0.0).otherwise(F.round(1 / (1 + F.exp(-F.abs(balance).cast("double"))), 4))
 
 
 def score_with_lexicon(
     rows: DataFrame, text: str = "comment", lexicon: Lexicon = DEFAULT_LEXICON
 ) -> DataFrame:
     """Add `sentiment` and `confidence`; blank text is neutral with confidence 0."""
-    scored = rows.withColumn("_scores", lexicon_scores(text, lexicon))
-    return (
-        scored.withColumn("_label", label_of(F.col("_scores")))
-        .withColumns(
-            {
-                "sentiment": F.when(X.is_blank(text), "neutral").otherwise(F.col("_label.sentiment")),
-                "confidence": F.when(X.is_blank(text), 0.0).otherwise(F.col("_label.confidence")),
-            }
-        )
-        .drop("_scores", "_label")
-    )
+    # blank text has no words, hence no balance: neutral, 0
+    scored = rows.withColumn("_balance", lexicon_scores(text, lexicon))
+    return scored.withColumns(
+        {"sentiment": label_of(F.col("_balance")), "confidence": confidence_of(F.col("_balance"))}
+    ).drop("_balance")
 
 
 class Model(Protocol):
@@ -119,6 +109,25 @@ def score_with_model(
     )
 
 
+class LexiconModel:
+    """The lexicon in the form of a model, for workers that score in Python."""
+
+    def __init__(self, lexicon: Lexicon = DEFAULT_LEXICON):
+        self.lexicon = lexicon
+
+    def predict(self, texts: Sequence[str]) -> list[tuple[str, float]]:
+        return [self._one(t) for t in texts]
+
+    def _one(self, text: str) -> tuple[str, float]:
+        found = "".join(ch if ch.isalpha() else " " for ch in text.lower()).split()
+        negative = sum(w in self.lexicon.negative for w in found)
+        positive = sum(w in self.lexicon.positive for w in found)
+        if negative == positive:
+            return "neutral", 0.0
+        label = "label_1" if positive > negative else "label_0"
+        return label, 1.0 / (1.0 + math.exp(-abs(positive - negative)))
+
+
 def sentiment_rows(scored: DataFrame, at: Column) -> DataFrame:
     """Rows of the sentiment table."""
     return scored.select(

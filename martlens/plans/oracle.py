@@ -122,6 +122,8 @@ def with_model(body: str) -> str:
     ctes = ",\n".join(f"{n} AS ({MODEL[n]})" for n in tables)
     if not tables:
         return body
+    if body.lstrip().upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes},\n{body.lstrip()[15:]}"
     if body.lstrip().upper().startswith("WITH "):
         return f"WITH {ctes},\n{body.lstrip()[5:]}"
     return f"WITH {ctes}\n{body}"

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martlens.operators import prices
 
+# Writers per partition, so that a period with most of the rows is not one task's work.
+FILES_PER_PERIOD = 8
 
 def hourly_rollup_stream(stream: DataFrame, lateness: str = "3 days") -> DataFrame:
     """The hourly price rollup as a stream.
@@ -48,29 +50,28 @@ def write_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQ
     return query
 
 
-def refresh_partitions(prices_df: DataFrame, rollup_path: str, as_of, **offsets) -> None:
-    """The incremental refresh on disk: rewrites only the days the refresh range touches.
-
-    The rollup is partitioned by `bucket_day`; days outside the range are neither read nor written.
-    """
-    spark = prices_df.sparkSession
-    low, high = prices.refresh_range(as_of, **offsets)
-    stored = spark.read.parquet(rollup_path)
-    touched = stored.filter(
-        (F.col("bucket_day") >= F.to_date(low)) & (F.col("bucket_day") <= F.to_date(high))
-    ).drop("bucket_day")
-    fresh = prices.refresh_rollup(touched, prices_df, as_of, **offsets)
-    write_rollup(fresh, rollup_path, replace_days_only=True)
-
-
-def write_rollup(rollup: DataFrame, path: str, replace_days_only: bool = False) -> None:
-    mode = "dynamic" if replace_days_only else "static"
+def write_rollup(rollup: DataFrame, path: str, unit: str = "day", mode: str = "static") -> None:
+    """Store a rollup in one partition per calendar unit; mode="dynamic" replaces only those it has."""
     (
-        rollup.withColumn("bucket_day", F.to_date("bucket"))
-        .repartition("bucket_day")
-        .sortWithinPartitions("product_id", "bucket")
+        rollup.withColumn("bucket_period", F.to_date(F.date_trunc(unit, "bucket")))
+        .repartition("bucket_period", F.pmod(F.xxhash64("product_id"), F.lit(FILES_PER_PERIOD)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
-        .partitionBy("bucket_day")
+        .partitionBy("bucket_period")
         .parquet(path)
     )
+
+
+def refresh_stored(prices_df: DataFrame, path: str, as_of: Column, unit: str = "day", **offsets) -> None:
+    """The incremental refresh on disk.
+
+    Only the partitions the refresh range touches are read and rewritten; a partition that the
+    range covers in part keeps its other buckets.
+    """
+    low, high = prices.refresh_range(as_of, **offsets)
+    first, last = F.date_trunc(unit, low), F.date_trunc(unit, high)
+    stored = prices_df.sparkSession.read.parquet(path)
+    in_reach = (F.col("bucket_period") >= first) & (F.col("bucket_period") <= last)
+    touched = stored.filter(in_reach).drop("bucket_period")
+    fresh = prices.refresh_rollup(touched, prices_df, as_of, **offsets)
+    write_rollup(fresh, path, unit, mode="dynamic")
