@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # What counts as white space in Python's str.strip and in \s on text.
 SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -16,6 +16,15 @@ def col(c: Name) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column so that it is evaluated a single time per row.
+
+    Spark pushes a filter on a computed column below the projection and then computes the value
+    for the filter and again for the result.  It does not push filters through a generator.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def strip(c: Name) -> Column:
     """Remove white space of any kind from both ends."""
     return F.regexp_replace(col(c), f"^{SPACE}+|{SPACE}+$", "")

@@ -26,13 +26,19 @@ def _problems(**tests: Column) -> Column:
     return F.array_compact(found).alias("problems")
 
 
-def _has_key(raw: str, key: str) -> Column:
-    return F.array_contains(F.json_object_keys(raw), key)
+def _read(df: DataFrame, raw: str, schema: str) -> DataFrame:
+    """Parse JSON text once: its fields as `_d`, the keys it has as `_keys`."""
+    both = F.struct(F.from_json(raw, schema).alias("d"), F.json_object_keys(raw).alias("keys"))
+    return X.once(df, "_p", both).withColumns({"_d": F.col("_p.d"), "_keys": F.col("_p.keys")})
 
 
-def _is_json_null(raw: str, key: str, parsed: Column) -> Column:
+def _has_key(key: str) -> Column:
+    return F.array_contains("_keys", key)
+
+
+def _is_json_null(key: str, parsed: Column) -> Column:
     """The key is present but holds null (or a value of another type)."""
-    return parsed.isNull() & _has_key(raw, key)
+    return parsed.isNull() & _has_key(key)
 
 
 def page_elements(pages: DataFrame, body: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -40,26 +46,18 @@ def page_elements(pages: DataFrame, body: str = "body", keep: tuple[str, ...] =
 
     Elements stay JSON text; the page number and last page come along.
     """
-    page = F.from_json(body, schemas.PAGE)
-    return pages.select(*keep, page.alias("_page")).select(
+    return X.once(pages.select(*keep, body), "_page", F.from_json(body, schemas.PAGE)).select(
         *keep,
         F.col("_page.paging.last_page").alias("last_page"),
         F.posexplode("_page.data").alias("position", "element"),
     )
 
 
-def with_parent_id(elements: DataFrame, parent: str, schema: str) -> DataFrame:
-    """Parse elements and set their parent id, as the page fetch stage does."""
-    item = F.from_json("element", schema)
-    return elements.select(F.col(parent), item.alias("item"), "element")
-
-
 def listing_products(
     elements: DataFrame, raw: str = "element", site: str = "https://shop.example/"
 ) -> DataFrame:
     """Listing elements to flat product items."""
-    d = F.from_json(raw, schemas.LISTING_ITEM)
-    df = elements.withColumn("_d", d)
+    df = _read(elements, raw, schemas.LISTING_ITEM)
     get = lambda path: F.col(f"_d.{path}")
     has_path = X.blank_to_null(get("primary_category_path")).isNotNull()
     has_seller = get("seller.id").isNotNull() | get("seller.name").isNotNull()
@@ -68,8 +66,8 @@ def listing_products(
         get("id").alias("product_id"),
         F.coalesce(X.strip(get("name")), F.lit("")).alias("name"),
         F.coalesce(F.concat(F.lit(site), X.blank_to_null(get("url_path"))), F.lit("")).alias("url"),
-        F.when(_has_key(raw, "thumbnail_url"), get("thumbnail_url")).otherwise("").alias("image_url"),
-        F.when(_has_key(raw, "short_description"), get("short_description"))
+        F.when(_has_key("thumbnail_url"), get("thumbnail_url")).otherwise("").alias("image_url"),
+        F.when(_has_key("short_description"), get("short_description"))
         .otherwise("")
         .alias("description"),
         F.when(has_seller, F.coalesce(get("seller.id"), F.lit(0)))
@@ -83,11 +81,11 @@ def listing_products(
         F.coalesce(get("discount_rate"), F.lit(0)).alias("discount_percent"),
         F.when(get("availability") == 1, 1).otherwise(0).alias("stock_available"),
         _problems(
-            name=_is_json_null(raw, "name", get("name")),
-            rating_average=_is_json_null(raw, "rating_average", get("rating_average")),
-            price=_is_json_null(raw, "price", get("price")),
-            original_price=_is_json_null(raw, "original_price", get("original_price")),
-            discount_rate=_is_json_null(raw, "discount_rate", get("discount_rate")),
+            name=_is_json_null("name", get("name")),
+            rating_average=_is_json_null("rating_average", get("rating_average")),
+            price=_is_json_null("price", get("price")),
+            original_price=_is_json_null("original_price", get("original_price")),
+            discount_rate=_is_json_null("discount_rate", get("discount_rate")),
             primary_category_path=has_path
             & X.path_tail_int(get("primary_category_path")).isNull(),
         ),
@@ -98,15 +96,15 @@ def catalog_products(
     elements: DataFrame, raw: str = "element", site: str = "https://shop.example/"
 ) -> DataFrame:
     """The other product payload: category struct and stock quantity."""
-    df = elements.withColumn("_d", F.from_json(raw, schemas.CATALOG_ITEM))
+    df = _read(elements, raw, schemas.CATALOG_ITEM)
     get = lambda path: F.col(f"_d.{path}")
     return df.select(
         F.lit("product").alias("item_type"),
         get("id").alias("product_id"),
         F.coalesce(X.strip(get("name")), F.lit("")).alias("name"),
         F.concat(F.lit(site), F.coalesce(get("url_path"), F.lit(""))).alias("url"),
-        F.when(_has_key(raw, "thumbnail_url"), get("thumbnail_url")).otherwise("").alias("image_url"),
-        F.when(_has_key(raw, "short_description"), get("short_description"))
+        F.when(_has_key("thumbnail_url"), get("thumbnail_url")).otherwise("").alias("image_url"),
+        F.when(_has_key("short_description"), get("short_description"))
         .otherwise("")
         .alias("description"),
         F.coalesce(get("seller.id"), F.lit(0)).alias("shop_id"),
@@ -118,13 +116,13 @@ def catalog_products(
         F.coalesce(get("discount_rate"), F.lit(0)).alias("discount_percent"),
         F.coalesce(get("stock_item.qty"), F.lit(0)).alias("stock_available"),
         _problems(
-            name=_is_json_null(raw, "name", get("name")),
-            seller=_is_json_null(raw, "seller", get("seller")),
-            stock_item=_is_json_null(raw, "stock_item", get("stock_item")),
-            rating_average=_is_json_null(raw, "rating_average", get("rating_average")),
-            price=_is_json_null(raw, "price", get("price")),
-            original_price=_is_json_null(raw, "original_price", get("original_price")),
-            discount_rate=_is_json_null(raw, "discount_rate", get("discount_rate")),
+            name=_is_json_null("name", get("name")),
+            seller=_is_json_null("seller", get("seller")),
+            stock_item=_is_json_null("stock_item", get("stock_item")),
+            rating_average=_is_json_null("rating_average", get("rating_average")),
+            price=_is_json_null("price", get("price")),
+            original_price=_is_json_null("original_price", get("original_price")),
+            discount_rate=_is_json_null("discount_rate", get("discount_rate")),
         ),
     )
 
@@ -135,7 +133,7 @@ def shop_items(
     """Seller of each element as a shop item; elements without a seller id give no row."""
     listing = payload == "listing"
     schema = schemas.LISTING_ITEM if listing else schemas.CATALOG_ITEM
-    df = elements.withColumn("_d", F.from_json(raw, schema))
+    df = _read(elements, raw, schema)
     if listing:
         kind = F.col("_d.visible_impression_info.amplitude.seller_type")
         official = kind == "OFFICIAL_STORE"
@@ -154,7 +152,7 @@ def flat_reviews(
     elements: DataFrame, now: Column, parent: str = "product_id", raw: str = "element"
 ) -> DataFrame:
     """Review elements to flat review items; the product id is the page's."""
-    df = elements.withColumn("_d", F.from_json(raw, schemas.REVIEW_DETAIL))
+    df = _read(elements, raw, schemas.REVIEW_DETAIL)
     get = lambda path: F.col(f"_d.{path}")
     return df.select(
         F.lit("review").alias("item_type"),
@@ -166,10 +164,10 @@ def flat_reviews(
         F.coalesce(get("thank_count"), F.lit(0)).alias("helpful_count"),
         F.coalesce(get("created_at").try_cast("timestamp"), now).alias("created_at"),
         _problems(
-            content=_is_json_null(raw, "content", get("content")),
-            rating=_is_json_null(raw, "rating", get("rating")),
-            images=_is_json_null(raw, "images", get("images")),
-            thank_count=_is_json_null(raw, "thank_count", get("thank_count")),
+            content=_is_json_null("content", get("content")),
+            rating=_is_json_null("rating", get("rating")),
+            images=_is_json_null("images", get("images")),
+            thank_count=_is_json_null("thank_count", get("thank_count")),
         ),
     )
 
@@ -177,7 +175,7 @@ def flat_reviews(
 def review_details(messages: DataFrame, now: Column, body: str = "value") -> DataFrame:
     """Full review messages to review rows plus the reviewer's id and the message order."""
     extra = [c for c in messages.columns if c != body]
-    df = messages.select(*extra, F.from_json(body, schemas.REVIEW_DETAIL).alias("_d"))
+    df = _read(messages, body, schemas.REVIEW_DETAIL)
     get = lambda path: F.col(f"_d.{path}")
     full_name = X.blank_to_null(get("created_by.full_name"))
     return df.select(
@@ -199,7 +197,7 @@ def product_details(
 ) -> DataFrame:
     """Detail payloads to the product columns they may enrich.  Nested parts become JSON text."""
     extra = [c for c in payloads.columns if c != body]
-    df = payloads.select(*extra, F.from_json(body, schemas.PRODUCT_DETAIL).alias("_d"))
+    df = _read(payloads, body, schemas.PRODUCT_DETAIL)
     get = lambda path: F.col(f"_d.{path}")
     some = X.blank_to_null
     filled = lambda c: F.when(F.size(get(c)) > 0, F.to_json(get(c))).alias(c)

@@ -45,7 +45,7 @@ DEFAULT_LEXICON = Lexicon(
 )
 
 
-def lexicon_scores(text: Column | str, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
+def word_balance(text: Column | str, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
     """How many more positive than negative words a text has."""
     return X.count_words(text, lexicon.positive) - X.count_words(text, lexicon.negative)
 
@@ -64,7 +64,7 @@ def score_with_lexicon(
 ) -> DataFrame:
     """Add `sentiment` and `confidence`; blank text is neutral with confidence 0."""
     # blank text has no words, hence no balance: neutral, 0
-    scored = rows.withColumn("_balance", lexicon_scores(text, lexicon))
+    scored = X.once(rows, "_balance", word_balance(text, lexicon))
     return scored.withColumns(
         {"sentiment": label_of(F.col("_balance")), "confidence": confidence_of(F.col("_balance"))}
     ).drop("_balance")
@@ -102,11 +102,9 @@ def score_with_model(
                     out[i] = (labels.get(label.lower(), "neutral"), round(float(confidence), 4))
             yield pd.DataFrame(out, columns=["sentiment", "confidence"])
 
-    return (
-        rows.withColumn("_label", score(text))
-        .withColumns({"sentiment": F.col("_label.sentiment"), "confidence": F.col("_label.confidence")})
-        .drop("_label")
-    )
+    scored = X.once(rows.withColumn("_asked", score(text)), "_label", F.col("_asked"))
+    answer = {"sentiment": F.col("_label.sentiment"), "confidence": F.col("_label.confidence")}
+    return scored.withColumns(answer).drop("_asked", "_label")
 
 
 class LexiconModel:

@@ -27,7 +27,7 @@ def _raw_messages(m: SampleModel) -> DataFrame:
     k = F.col("review_id")
     body = F.to_json(F.struct("review_id", "product_id", "rating"))
     text = F.when(k % 17 == 0, F.left(body, F.lit(15))).when(k % 19 == 0, "[1,2]").otherwise(body)
-    return m.review_facts.select(k.alias("seq"), text.alias("value"))
+    return m.message_facts.select(k.alias("seq"), text.alias("value"))
 
 
 @query("S1 F17", "SELECT review_id AS seq, review_id, product_id, rating FROM m_facts WHERE review_id % 17 <> 0 AND review_id % 19 <> 0")
@@ -105,7 +105,7 @@ def csv_round_trip(m: SampleModel):
 @query("S5", "SELECT doc_id, text FROM documents")
 def csv_text_round_trip(m: SampleModel):
     path = work_dir(m.spark, "csv-text")
-    files.write_csv(m.raw("documents").select("doc_id", "text"), path)
+    files.write_csv(m.documents.select("doc_id", "text"), path)
     return files.read_csv(m.spark, path, "doc_id BIGINT, text STRING")
 
 
@@ -286,7 +286,7 @@ def product_details(m: SampleModel):
 
 @query("P9 F15", f"SELECT page_id, {CLEAN} AS text FROM pages")
 def clean_html(m: SampleModel):
-    return m.raw("pages").select("page_id", X.strip_html("html").alias("text"))
+    return m.pages.select("page_id", X.strip_html("html").alias("text"))
 
 
 @query(
@@ -348,7 +348,7 @@ def parsing_functions(m: SampleModel):
     note = F.when(k % 3 == 0, "no page yet").otherwise(F.concat(F.lit("Last page: "), F.col("helpful_count"), F.lit(" done")))
     ids = X.id_list(F.concat_ws(" , ", k.cast("string"), F.col("product_id").cast("string")))
     body = F.to_json(F.struct(S.unless(k % 4 == 0, F.col("rating")).alias("rating")))
-    return m.review_facts.select(
+    return m.message_facts.select(
         k,
         X.moment(epoch, fallback).alias("from_epoch"),
         X.moment(iso, fallback).alias("from_iso"),
@@ -884,12 +884,12 @@ NORMAL = f"trim(regexp_replace(lower(text), '{SPACE}+', ' ', 'g'))"
 
 @query("U13", f"SELECT sha256({NORMAL}) AS digest, min(doc_id) AS kept_id, count(*) AS copies FROM documents GROUP BY 1")
 def duplicate_texts(m: SampleModel):
-    return U.duplicate_groups(m.raw("documents"), "doc_id", "text")
+    return U.duplicate_groups(m.documents, "doc_id", "text")
 
 
 @query("U13", f"SELECT doc_id, n_chars FROM documents WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY {NORMAL})")
 def texts_without_duplicates(m: SampleModel):
-    kept = U.without_duplicates(m.raw("documents").select("doc_id", "n_chars", "text"), "doc_id", "text")
+    kept = U.without_duplicates(m.documents.select("doc_id", "n_chars", "text"), "doc_id", "text")
     return kept.select("doc_id", "n_chars")
 
 
@@ -1016,7 +1016,7 @@ def _sample_model() -> M.Model:
 
 @query("M1 M2", lexicon_sql("doc_id", "text", "documents"))
 def model_sentiment_scores(m: SampleModel):
-    scored = M.score_with_model(m.raw("documents").select("doc_id", "text"), _sample_model, "text")
+    scored = M.score_with_model(m.documents.select("doc_id", "text"), _sample_model, "text")
     return scored.select("doc_id", "sentiment", "confidence")
 
 
@@ -1043,7 +1043,7 @@ FROM labels JOIN ({lexicon_sql('doc_id', 'text', 'documents')}) USING (doc_id)""
 
 def _predictions(m: SampleModel) -> DataFrame:
     label = F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive").otherwise("neutral")
-    texts = m.raw("documents").select("doc_id", "text").join(m.raw("labels").select("doc_id", label.alias("label")), "doc_id")
+    texts = m.documents.select("doc_id", "text").join(m.raw("labels").select("doc_id", label.alias("label")), "doc_id")
     return M.score_with_lexicon(texts, "text", SAMPLE_LEXICON).select("label", "sentiment")
 
 

@@ -582,12 +582,12 @@ WHERE length(word) >= 2 AND word NOT IN {STOP_WORDS} GROUP BY 1"""
 
 @query("B11", KEYWORDS_SQL)
 def keyword_counts(m: SampleModel):
-    return B.keyword_counts(m.raw("documents"), "text", stop_words=STOP_WORDS)
+    return B.keyword_counts(m.documents, "text", stop_words=STOP_WORDS)
 
 
 @query("B11", KEYWORDS_SQL + " ORDER BY n DESC, word LIMIT 100")
 def keyword_cloud(m: SampleModel):
-    return B.keyword_cloud(m.raw("documents"), text="text", stop_words=STOP_WORDS)
+    return B.keyword_cloud(m.documents, text="text", stop_words=STOP_WORDS)
 
 
 WEEKLY_SQL = """

@@ -51,7 +51,7 @@ def listing_elements(m: SampleModel) -> DataFrame:
             ).alias("amplitude")
         ),
     }
-    return m.raw("part").select(k, json_of(fields, k % 11 == 0).alias("element"))
+    return m.parts.select(k, json_of(fields, k % 11 == 0).alias("element"))
 
 
 def listing_pages(m: SampleModel) -> DataFrame:
@@ -92,7 +92,7 @@ def catalog_elements(m: SampleModel) -> DataFrame:
         "discount_rate": F.col("p_size"),
         "stock_item": unless(k % 9 == 0, F.struct((k % 50).cast("int").alias("qty"))),
     }
-    return m.raw("part").select(json_of(fields, k % 9 == 0).alias("element"))
+    return m.parts.select(json_of(fields, k % 9 == 0).alias("element"))
 
 
 def review_fields(m: SampleModel) -> dict[str, Column]:
@@ -120,7 +120,7 @@ def review_messages(m: SampleModel) -> DataFrame:
     k = F.col("review_id")
     fields = review_fields(m)
     copies = F.when(k % 5 == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    sent = m.review_facts.withColumn("copy", F.explode(copies))
+    sent = m.message_facts.withColumn("copy", F.explode(copies))
     stars = F.when(F.col("copy") == 1, F.col("rating") % 5 + 1).otherwise(F.col("rating"))
     body = F.to_json(
         F.struct(
@@ -141,14 +141,14 @@ def flat_review_elements(m: SampleModel) -> DataFrame:
         "content": unless(k % 6 == 0, F.concat(F.lit("  text "), k, F.lit(" \n"))),
         "created_at": F.when(k % 8 == 0, "yesterday").when(k % 7 != 0, iso),
     }
-    return m.review_facts.select(k, "product_id", json_of(fields, k % 6 == 0).alias("element"))
+    return m.message_facts.select(k, "product_id", json_of(fields, k % 6 == 0).alias("element"))
 
 
 def detail_payloads(m: SampleModel) -> DataFrame:
     """Product detail payloads, with the raw HTML pages as descriptions."""
     k = F.col("p_partkey")
     shop = k % n_rows(m.raw("supplier"))
-    pages = m.raw("pages").select(F.col("page_id"), F.col("html"))
+    pages = m.pages.select(F.col("page_id"), F.col("html"))
     n_pages = n_rows(m.raw("pages"))
     author = F.struct(F.lit(1).alias("id"), F.col("p_brand").alias("name"), F.lit("s").alias("slug"))
     fields = {
@@ -167,7 +167,7 @@ def detail_payloads(m: SampleModel) -> DataFrame:
         "current_seller": F.struct(shop.alias("id"), unless(k % 3 != 1, F.col("p_brand")).alias("name")),
         "authors": F.when(k % 3 != 0, F.array(author)),
     }
-    parts = m.raw("part").withColumn("page_id", k % n_pages)
+    parts = m.parts.withColumn("page_id", k % n_pages)
     joined = parts.join(pages, "page_id")
     return joined.select(k.alias("seq"), json_of(fields, k % 2 == 0).alias("value"))
 
@@ -190,7 +190,7 @@ def product_messages(m: SampleModel, versions: int = 3) -> DataFrame:
         "discount_percent": (k % 30).cast("int"),
         "crawled_at": F.concat(F.lit("2024-01-0"), F.when(v == 3, 2).otherwise(v), F.lit("T00:00:00")),
     }
-    many = m.raw("part").withColumn("v", F.explode(F.sequence(F.lit(1), F.lit(versions))))
+    many = m.parts.withColumn("v", F.explode(F.sequence(F.lit(1), F.lit(versions))))
     return many.select(
         (k * 10 + v).alias("seq"),
         k.cast("string").alias("key"),
@@ -201,7 +201,7 @@ def product_messages(m: SampleModel, versions: int = 3) -> DataFrame:
 def order_messages(m: SampleModel) -> DataFrame:
     """Order messages of all reviews; some have no customer id."""
     k = F.col("review_id")
-    return m.review_facts.select(
+    return m.message_facts.select(
         k.alias("seq"),
         k,
         "product_id",

@@ -6,6 +6,8 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from martlens.session import spread
+
 SITE = "https://shop.example/"
 DATE_COLUMNS = {"l_shipdate", "o_orderdate", "ts"}
 
@@ -89,11 +91,24 @@ class SampleModel:
             )
         )
 
+    @cached_property
+    def parts(self) -> DataFrame:
+        """Parts for building messages, which is work on every row."""
+        return spread(self.raw("part"), "p_partkey")
+
     @cached_property
     def review_facts(self) -> DataFrame:
         """Reviews without their text, which most reports never read."""
+        return self._facts(self.raw("events"))
+
+    @cached_property
+    def message_facts(self) -> DataFrame:
+        """The same for building messages."""
+        return self._facts(spread(self.raw("events"), "event_id"))
+
+    def _facts(self, events: DataFrame) -> DataFrame:
         key = F.col("event_id")
-        return self.raw("events").select(
+        return events.select(
             key.alias("review_id"),
             (key % n_rows(self.raw("part"))).alias("product_id"),
             F.concat(F.lit("user_"), F.col("user_id")).alias("user_name"),
@@ -105,9 +120,17 @@ class SampleModel:
             (key % n_rows(self.raw("documents"))).alias("doc_id"),
         )
 
+    @cached_property
+    def documents(self) -> DataFrame:
+        return spread(self.raw("documents"), "doc_id")
+
+    @cached_property
+    def pages(self) -> DataFrame:
+        return spread(self.raw("pages"), "page_id")
+
     @cached_property
     def reviews(self) -> DataFrame:
-        texts = self.raw("documents").select("doc_id", F.col("text").alias("comment"))
+        texts = self.documents.select("doc_id", F.col("text").alias("comment"))
         return self.review_facts.join(texts, "doc_id").select(
             "review_id",
             "product_id",

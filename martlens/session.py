@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Broadcasts are never forced: Catalyst and AQE broadcast a side only when its
 # measured size is below the threshold.  forceOptimizeSkewedJoin lets AQE split a
@@ -40,3 +40,13 @@ def work_dir(spark: SparkSession, name: str) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     return tempfile.mkdtemp(prefix=f"{name}-")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a scan at least one task per core before heavy work on each row.
+
+    A file with few row groups is read by few tasks, however many cores there are.  A scan
+    that already has a task per core, as any large table has, is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from martlens import schemas
+from martlens.functions import scalars as X
 
 TOPIC = "topic"
 
@@ -16,23 +17,20 @@ def json_messages(raw: DataFrame, schema: str, value: str = "value") -> DataFram
 
     `present` lists the keys of the message, so a missing key differs from a null one.
     """
-    fields = T.StructType.fromDDL(schema).add("corrupt", "string")
+    fields = T.StructType.fromDDL(schema)
     body = F.col(value).cast("string")
-    parsed = F.from_json(
-        body, fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt"}
+    how = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt"}
+    with_corrupt = T.StructType([*fields.fields, T.StructField("corrupt", T.StringType())])
+    both = F.struct(
+        F.from_json(body, with_corrupt, how).alias("m"), F.json_object_keys(body).alias("keys")
     )
-    others = [c for c in raw.columns if c != value]
-    keys = F.coalesce(F.json_object_keys(body), F.array().cast("array<string>"))
-    # from_json gives null for null bodies and a struct for everything else
-    decoded = raw.select(*others, parsed.alias("_m"), keys.alias("present"), body.alias("_body"))
-    bad = F.col("_m.corrupt").isNotNull() | F.col("_m").isNull() | (
-        F.json_object_keys("_body").isNull()
-    )
-    names = T.StructType.fromDDL(schema).fieldNames()
-    return decoded.select(
-        *others,
-        *[F.col(f"_m.{n}") for n in names],
-        "present",
+    read = X.once(raw.withColumn("_body", body), "_p", both)
+    # only objects have keys, so arrays and plain values count as corrupt too
+    bad = F.col("_p.m.corrupt").isNotNull() | F.col("_p.keys").isNull()
+    return read.select(
+        *[c for c in raw.columns if c != value],
+        *[F.col(f"_p.m.{n}") for n in fields.fieldNames()],
+        F.coalesce("_p.keys", F.array().cast("array<string>")).alias("present"),
         F.when(bad, F.coalesce("_body", F.lit(""))).alias("corrupt"),
     )
 

@@ -3,14 +3,15 @@
 Plain Parquet has no MERGE, and rewriting a large table for every small batch would cost the
 whole table each time.  So a batch only adds its own folder, `source=<stream>/batch_id=<n>`,
 and overwrites that folder when it is replayed: writing a batch twice leaves the table as after
-one write.  Readers fold the log by key; `compact_to` writes a shortened log as the base of a new table.
+one write.  Readers fold the log by key; `compact_to` writes a shortened log as the base of a
+new table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 Fold = Callable[[DataFrame], DataFrame]
 
@@ -22,26 +23,28 @@ class LogTable:
         self,
         spark: SparkSession,
         path: str,
-        columns: str,
+        columns: str | T.StructType,
         fold: Fold | None = None,
         compaction: Fold | None = None,
     ):
-        self.spark, self.path, self.columns = spark, path, columns
+        self.spark, self.path = spark, path
+        self.schema = T.StructType.fromDDL(columns) if isinstance(columns, str) else columns
         self.fold, self.compaction = fold, compaction
 
     def create(self, rows: DataFrame | None = None) -> LogTable:
         """Write the base batch: the given rows, or none."""
-        base = rows if rows is not None else self.spark.createDataFrame([], self.columns)
-        self.append(base, "base", 0)
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema]
+        self.append(rows if rows is not None else self.spark.range(0).select(*nothing), "base", 0)
         return self
 
     def append(self, rows: DataFrame, source: str, batch_id: int) -> None:
-        typed = rows.to(self.spark.createDataFrame([], self.columns).schema)
+        typed = rows.to(self.schema)
         typed.write.mode("overwrite").parquet(f"{self.path}/source={source}/batch_id={batch_id}")
 
     def log(self) -> DataFrame:
         """All rows ever written."""
-        schema = f"{self.columns}, source STRING, batch_id BIGINT"
+        schema = T.StructType([*self.schema.fields, T.StructField("source", T.StringType())])
+        schema = schema.add("batch_id", T.LongType())
         rows = self.spark.read.schema(schema).option("basePath", self.path).parquet(self.path)
         return rows.drop("source", "batch_id")
 
@@ -53,6 +56,6 @@ class LogTable:
         return self.fold(rows) if self.fold else rows
 
     def compact_to(self, path: str) -> LogTable:
-        """Write the current rows as the base of a new table folder."""
-        compacted = LogTable(self.spark, path, self.columns, self.fold, self.compaction)
-        return compacted.create(self.compaction(self.log()) if self.compaction else self.log())
+        """Write the shortened log to another folder, as a table that goes on from there."""
+        table = LogTable(self.spark, path, self.schema, self.fold, self.compaction)
+        return table.create(self.compaction(self.log()) if self.compaction else self.log())

@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martlens import schemas
 from martlens.functions import scalars as X
-from martlens.operators import derive, joins, merge, parse, quality, sentiment
+from martlens.operators import derive, merge, parse, quality, sentiment
 from martlens.sources import messages
 from martlens.sources.tables import LogTable
 
@@ -40,18 +40,19 @@ REVIEWS = schemas.TABLES["reviews"] + ", " + ORDER_AT
 ORDERS = schemas.TABLES["orders"] + ", " + ORDER_AT
 ORDER_LINES = schemas.TABLES["order_lines"] + ", " + ORDER_AT
 SENTIMENTS = schemas.TABLES["review_sentiment"] + ", " + ORDER_AT
+LISTED = ("name", "url", "image_url", "description", "shop_id", "category_id", "rating", "sold_count")
 REJECTS = "stage STRING, seq BIGINT, value STRING, reason STRING"
 METRICS = "stage STRING, processed BIGINT, failed BIGINT"
 
 
-def _order(stage: int, batch_id: int):
+def _order(stage: int, batch_id: int) -> Column:
     """Place of an update among all of its key: by message number, which all streams share."""
     return F.struct(
         F.col("seq"), F.lit(stage).alias("stage"), F.lit(batch_id).cast("bigint").alias("batch")
     )
 
 
-def _place(batch_id: int):
+def _place(batch_id: int) -> Column:
     """Place of a row in a table that one stream feeds with one row per key and batch."""
     batch = F.lit(batch_id).cast("bigint")
     return F.struct(batch.alias("seq"), F.lit(0).alias("stage"), batch.alias("batch"))
@@ -126,92 +127,79 @@ class Pipeline:
             t.create()
         return self
 
-    def _finish(self, stage: str, batch_id: int, ok: DataFrame, refused: DataFrame) -> None:
-        self.rejects.append(refused.withColumn("stage", F.lit(stage)).select("stage", "seq", "value", "reason"), stage, batch_id)
-        counts = ok.select(F.lit(1).alias("p"), F.lit(0).alias("f")).unionAll(refused.select(F.lit(0), F.lit(1)))
-        totals = counts.agg(
+    def _finish(self, stage: str, batch_id: int, judged: DataFrame) -> None:
+        """Write refused rows and the counts; `judged` has seq, value and a reason or null."""
+        refused = F.col("reason").isNotNull()
+        rejects = judged.filter(refused).select(F.lit(stage).alias("stage"), "seq", "value", "reason")
+        self.rejects.append(rejects, stage, batch_id)
+        totals = judged.agg(
             F.lit(stage).alias("stage"),
-            F.coalesce(F.sum("p"), F.lit(0)).alias("processed"),
-            F.coalesce(F.sum("f"), F.lit(0)).alias("failed"),
+            F.count_if(~refused).alias("processed"),
+            F.count_if(refused).alias("failed"),
         )
         self.metrics.append(totals, stage, batch_id)
 
     def _send(self, topic: str, rows: DataFrame, key: str, stage: str, batch_id: int) -> None:
-        body = F.to_json(F.struct(*[c for c in rows.columns if c != "seq"]), {"ignoreNullFields": "false"})
-        out = rows.select("seq", F.col(key).cast("string").alias("key"), body.alias("value"))
+        """Append JSON messages to a topic; the batch number is their place."""
+        body = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
+        place = F.lit(batch_id).cast("bigint").alias("seq")
+        out = rows.select(place, F.col(key).cast("string").alias("key"), body.alias("value"))
         self.topics[topic].append(out, stage, batch_id)
 
     # stages ----------------------------------------------------------------------------------
 
     def on_products(self, batch: DataFrame, batch_id: int) -> None:
         """Flat product items: products, prices, placeholder shops and categories, detail requests."""
-        batch = batch.persist()
         stage = "products"
         read = messages.json_messages(batch, schemas.PRODUCT_MESSAGE)
-        good = messages.decoded(read)
-        checked = quality.with_violations(good, quality.PRODUCT)
-        ok = checked.filter(F.size("violations") == 0).drop("violations")
-        refused = (
-            checked.filter(F.size("violations") > 0)
-            .select("seq", F.col("key").alias("value"), F.array_join("violations", ",").alias("reason"))
-            .unionByName(messages.corrupt(read).select(F.lit(None).cast("bigint").alias("seq"), "value", "reason"))
+        checked = quality.with_violations(read, quality.PRODUCT)
+        broken = F.when(F.size("violations") > 0, F.array_join("violations", ","))
+        reason = F.when(F.col("corrupt").isNotNull(), "not a JSON object").otherwise(broken)
+        judged = (
+            checked.withColumn("reason", reason)
+            .withColumn("value", F.coalesce("corrupt", "key"))
+            .drop("violations", "corrupt")
+            .persist()
         )
-        at = F.coalesce(X.moment("kafka_timestamp", X.moment("crawled_at", F.current_timestamp())))
-        listed = ("name", "url", "image_url", "description", "shop_id", "category_id", "rating", "sold_count")
-        sets = F.array_intersect("present", F.array(*[F.lit(c) for c in listed]))
-        updates = ok.select("product_id", *listed, sets.alias("present"), _order(0, batch_id).alias("order_at"))
-        self.products.append(
-            updates.withColumn("rating", F.col("rating").try_cast("decimal(3,2)")).select(
-                "*",
-                *[F.lit(None).cast("int").alias(c) for c in ("review_count", "discount_rate")],
-                *[
-                    F.lit(None).cast("string").alias(c)
-                    for c in ("short_description", "authors", "specifications", "configurable_options")
-                ],
-            ),
-            stage,
-            batch_id,
-        )
-        set_id = lambda c: F.coalesce(F.col(c), F.lit(0)) != 0
-        self.shops.append(
-            ok.filter(set_id("shop_id")).select(
-                "shop_id", F.lit(None).cast("string").alias("shop_name"), _order(0, batch_id).alias("order_at")
-            ),
-            stage,
-            batch_id,
-        )
-        self.categories.append(ok.filter(set_id("category_id")).select("category_id").distinct(), stage, batch_id)
+        ok = judged.filter("reason IS NULL")
+        at = X.moment("kafka_timestamp", X.moment("crawled_at", F.current_timestamp()))
+        sets = F.array_intersect("present", F.array(*[F.lit(c) for c in LISTED]))
+        listed = ok.withColumns({"present": sets, "rating": F.col("rating").try_cast("decimal(3,2)")})
+        blank = {f.name: F.lit(None).cast(f.dataType) for f in self.products.schema if f.name not in listed.columns}
+        blank["order_at"] = _order(0, batch_id)
+        self.products.append(listed.withColumns(blank), stage, batch_id)
+        is_set = lambda c: F.coalesce(F.col(c), F.lit(0)) != 0
+        unnamed = F.lit(None).cast("string").alias("shop_name")
+        shops = ok.filter(is_set("shop_id")).select("shop_id", unnamed, _order(0, batch_id).alias("order_at"))
+        self.shops.append(shops, stage, batch_id)
+        self.categories.append(ok.filter(is_set("category_id")).select("category_id").distinct(), stage, batch_id)
         priced = merge.price_rows(ok.withColumn("timestamp", at))
         self.prices.append(priced.withColumn("order_at", _place(batch_id)), stage, batch_id)
-        requests = parse.detail_requests(ok).withColumn("seq", F.lit(None).cast("bigint"))
-        self._send("product-detail", requests, "product_id", stage, batch_id)
-        self._finish(stage, batch_id, ok, refused)
-        batch.unpersist()
+        self._send("product-detail", parse.detail_requests(ok), "product_id", stage, batch_id)
+        self._finish(stage, batch_id, judged)
+        judged.unpersist()
 
     def on_details(self, batch: DataFrame, batch_id: int) -> None:
         """Landed detail payloads: enrich products, name shops, ask for reviews."""
-        batch = batch.persist()
         stage = "details"
         found = parse.product_details(batch.select("seq", "value"))
         has_id = F.coalesce(F.col("product_id"), F.lit(0)) != 0
-        ok, lost = found.filter(has_id), found.filter(~has_id)
+        judged = found.withColumns(
+            {"reason": F.when(~has_id, "missing product_id"), "value": F.lit(None).cast("string")}
+        ).persist()
+        ok = judged.filter("reason IS NULL").drop("reason", "value")
         values = [c for c in found.columns if c not in ("seq", "product_id", "shop_name")]
         sets = F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.lit(c)) for c in values]))
-        self.products.append(
-            ok.select("product_id", *values, sets.alias("present"), _order(1, batch_id).alias("order_at")),
-            stage,
-            batch_id,
-        )
-        sellers = ok.filter(F.col("shop_id").isNotNull())
-        self.shops.append(sellers.select("shop_id", "shop_name", _order(1, batch_id).alias("order_at")), stage, batch_id)
-        cats = ok.filter(F.col("category_id").isNotNull()).select("category_id").distinct()
-        self.categories.append(cats, stage, batch_id)
-        asked = ok.select("seq", "product_id", F.lit(None).cast("bigint").alias("spid"), F.col("shop_id").alias("seller_id"))
-        requests = parse.review_requests(asked).withColumn("seq", F.lit(None).cast("bigint"))
-        self._send("review-fetch", requests, "product_id", stage, batch_id)
-        refused = lost.select("seq", F.lit(None).cast("string").alias("value"), F.lit("product_id").alias("reason"))
-        self._finish(stage, batch_id, ok, refused)
-        batch.unpersist()
+        order = _order(1, batch_id).alias("order_at")
+        self.products.append(ok.select("product_id", *values, sets.alias("present"), order), stage, batch_id)
+        self.shops.append(ok.filter("shop_id IS NOT NULL").select("shop_id", "shop_name", order), stage, batch_id)
+        categories = ok.filter("category_id IS NOT NULL").select("category_id").distinct()
+        self.categories.append(categories, stage, batch_id)
+        unknown_spid = F.lit(None).cast("bigint").alias("spid")
+        asked = ok.select("product_id", unknown_spid, F.col("shop_id").alias("seller_id"))
+        self._send("review-fetch", parse.review_requests(asked), "product_id", stage, batch_id)
+        self._finish(stage, batch_id, judged)
+        judged.unpersist()
 
     def on_review_pages(self, batch: DataFrame, batch_id: int) -> None:
         """Landed review pages (key = product id): one review message per element."""
@@ -225,7 +213,7 @@ class Pipeline:
             F.to_json("_r", {"ignoreNullFields": "false"}).alias("value"),
         )
         self.topics["review-detail"].append(out, stage, batch_id)
-        self._finish(stage, batch_id, out, batch.limit(0).select("seq", "value", F.lit("").alias("reason")))
+        self._finish(stage, batch_id, out.withColumn("reason", F.lit(None).cast("string")))
 
     def on_reviews(self, batch: DataFrame, batch_id: int) -> None:
         """Full reviews: store those of known products, then their orders and sentiment.
@@ -233,51 +221,43 @@ class Pipeline:
         Orders and sentiment come from the same batch under the same id, so a crash between the
         writes is repaired by the replay instead of losing messages.
         """
-        batch = batch.persist()
         stage = "reviews"
         now = F.current_timestamp()
         read = parse.review_details(batch.select("seq", "value"), now)
-        missing = quality.missing_required(read, ["review_id", "product_id"])
-        given = quality.has_required(read, ["review_id", "product_id"])
-        in_range = F.coalesce(F.col("rating").between(1, 5), F.lit(False))
-        products = self.products.log()
-        known = joins.with_parent(given, products, "product_id")
-        lost = joins.orphans(given, products, "product_id", "unknown product")
-        new = merge.first_wins(known.filter(in_range), "review_id").persist()
+        products = self.products.log().select("product_id")
+        known = products.distinct().withColumn("_known", F.lit(True))
+        falsy = lambda c: F.coalesce(F.col(c), F.lit(0)) == 0
+        reason = (
+            F.when(falsy("review_id"), "missing review_id")
+            .when(falsy("product_id"), "missing product_id")
+            .when(F.col("_known").isNull(), "unknown product")
+            .when(~F.coalesce(F.col("rating").between(1, 5), F.lit(False)), "rating out of range")
+        )
+        judged = (
+            read.join(known, "product_id", "left")
+            .withColumns({"reason": reason, "value": F.col("review_id").cast("string")})
+            .drop("_known")
+            .persist()
+        )
+        new = merge.first_wins(judged.filter("reason IS NULL").drop("reason", "value"), "review_id").persist()
         write = lambda table, rows: table.append(rows.withColumn("order_at", _place(batch_id)), stage, batch_id)
 
-        write(self.reviews, new.drop("seq", "customer_id").withColumn("crawled_at", now))
-        self._send("orders", parse.order_messages(new).withColumn("seq", F.lit(batch_id)), "review_id", stage, batch_id)
-        self._send(
-            "sentiment-analysis",
-            parse.sentiment_messages(new).withColumn("seq", F.lit(batch_id)),
-            "review_id",
-            stage,
-            batch_id,
-        )
+        write(self.reviews, new.withColumn("crawled_at", now))
+        self._send("orders", parse.order_messages(new), "review_id", stage, batch_id)
+        self._send("sentiment-analysis", parse.sentiment_messages(new), "review_id", stage, batch_id)
         buyers = new.withColumnRenamed("user_name", "customer_name").withColumn("order_date", F.col("created_at"))
         prices = self.prices.current(new, "product_id")
-        facts = derive.order_facts(buyers, products, prices)
+        facts = derive.order_facts(buyers, products, prices).persist()
         write(self.orders, derive.orders_of(facts).withColumn("created_at", now))
         write(self.order_lines, derive.order_lines_of(facts).withColumn("created_at", now))
-        self.customers.append(
-            buyers.filter(F.coalesce(F.col("customer_id"), F.lit(0)) != 0).select(
-                "customer_id", "customer_name", _order(2, batch_id).alias("order_at")
-            ),
-            stage,
-            batch_id,
-        )
+        named = buyers.filter(~falsy("customer_id"))
+        order = _order(2, batch_id).alias("order_at")
+        self.customers.append(named.select("customer_id", "customer_name", order), stage, batch_id)
         scored = self.scorer(new.select("review_id", "comment"))
         write(self.sentiment, sentiment.sentiment_rows(scored, now))
-        reason = lambda df, r: df.select("seq", F.col("review_id").cast("string").alias("value"), r.alias("reason"))
-        refused = (
-            reason(missing, F.concat(F.lit("missing "), F.array_join("missing", ",")))
-            .unionByName(reason(lost, F.col("reason")))
-            .unionByName(reason(known.filter(~in_range), F.lit("rating out of range")))
-        )
-        self._finish(stage, batch_id, known.filter(in_range), refused)
-        new.unpersist()
-        batch.unpersist()
+        self._finish(stage, batch_id, judged)
+        for held in (facts, new, judged):
+            held.unpersist()
 
     def run(self, stream: DataFrame, stage: Callable[[DataFrame, int], None], name: str) -> None:
         """Feed everything available to a stage; progress is kept in the stage's checkpoint."""
