@@ -14,6 +14,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+def _sliced(df: DataFrame, keys: Sequence[str], slice_of: Column) -> DataFrame:
+    """Rows partitioned by group and slice: one shuffle that all later steps share.
+
+    The slice is made non-null so that the optimizer adds the same filters to every use;
+    with different filters the shuffle would be repeated instead of reused.
+    """
+    never_null = F.coalesce(slice_of.cast("bigint"), F.lit(-1).cast("bigint"))
+    return df.withColumn("_slice", never_null).repartition(*keys, "_slice")
+
+
 def with_neighbour(
     df: DataFrame,
     keys: Sequence[str],
@@ -25,7 +35,8 @@ def with_neighbour(
 ) -> DataFrame:
     """Add the values of the previous (or next) row of the same group.
 
-    `order` must be unique and not null inside a group and `slice_of` must rise with it.
+    `order` must be unique inside a group and `slice_of` must be a number or time
+    that rises with it; neither they nor the keys may be null.
     """
     backwards = towards == "previous"
     step = F.lag if backwards else F.lead
@@ -33,18 +44,16 @@ def with_neighbour(
     group = [*keys, "_slice"]
     taken = [order, *[v for v in values if v != order]]
 
-    sliced = df.withColumn("_slice", slice_of)
+    sliced = _sliced(df, keys, slice_of)
     inside = Window.partitionBy(*group).orderBy(order)
-    near = sliced.repartition(*group).withColumns(
-        {f"_near_{v}": step(v).over(inside) for v in taken}
-    )
+    near = sliced.withColumns({f"_near_{v}": step(v).over(inside) for v in taken})
 
     # the row of each slice that faces the neighbouring slice
     edges = sliced.groupBy(*group).agg(*[pick(v, order).alias(v) for v in taken])
     across = Window.partitionBy(*keys).orderBy("_slice")
     facing = edges.select(*group, *[step(v).over(across).alias(f"_far_{v}") for v in taken])
 
-    joined = near.join(facing, group, "left")
+    joined = near.join(facing, group)
     at_edge = F.col(f"_near_{order}").isNull()
     return joined.select(
         *df.columns,
@@ -61,7 +70,7 @@ def with_total_before(
     value: str,
     weight: str,
     out: str = "total_before",
-    slice_bits: int = 20,
+    slice_bits: int = 21,
     value_bits: int = 63,
 ) -> DataFrame:
     """Add the sum of `weight` over the rows of the group with a smaller `value`.
@@ -75,11 +84,9 @@ def with_total_before(
         return df.withColumn(out, F.coalesce(F.sum(weight).over(upto), F.lit(0)))
 
     group = [*keys, "_slice"]
-    sliced = df.withColumn("_slice", F.shiftright(F.col(value).cast("bigint"), slice_bits))
+    sliced = _sliced(df, keys, F.shiftright(F.col(value).cast("bigint"), slice_bits))
     upto = Window.partitionBy(*group).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    inside = sliced.repartition(*group).withColumn(
-        "_inside", F.coalesce(F.sum(weight).over(upto), F.lit(0))
-    )
+    inside = sliced.withColumn("_inside", F.coalesce(F.sum(weight).over(upto), F.lit(0)))
     totals = sliced.groupBy(*group).agg(F.sum(weight).alias("_weight"))
     level_up = totals.withColumnRenamed("_slice", "_value")
     offsets = (

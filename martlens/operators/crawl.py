@@ -168,10 +168,10 @@ def run_log(events: DataFrame) -> DataFrame:
         F.max_by("page", F.when(pages, F.col("seq"))).alias("last_page"),
         F.min(F.when(kind == "start", F.col("at"))).alias("started_at"),
         F.max(F.when(kind == "close", F.col("at"))).alias("completed_at"),
-        F.max_by("reason", F.when(kind == "close", F.col("seq"))).alias("reason"),
+        F.max_by(F.col("reason") == "finished", F.when(kind == "close", F.col("seq"))).alias("finished"),
     )
     closed = F.col("completed_at").isNotNull()
-    status = F.when(~closed, "running").when(F.col("reason") == "finished", "completed").otherwise("failed")
+    status = F.when(~closed, "running").when(F.col("finished"), "completed").otherwise("failed")
     return folded.select(
         "run_id",
         status.alias("status"),

@@ -54,18 +54,17 @@ def top_selling_products(
 
 def helpful_reviews(reviews: DataFrame, k: int = 10, text: int = 100) -> DataFrame:
     """The k most helpful reviews of every product, with the start of the comment."""
-    best = ordered.top_per_group(
-        reviews, ["product_id"], [F.desc_nulls_first("helpful_count"), F.col("review_id")], k
-    )
-    return best.select(
+    # only the preview of a comment goes through the sort
+    narrow = reviews.select(
         "product_id",
-        "rank",
         "review_id",
         "user_name",
         "rating",
         "helpful_count",
         X.preview("comment", text).alias("comment_preview"),
     )
+    order = [F.desc_nulls_first("helpful_count"), F.col("review_id")]
+    return ordered.top_per_group(narrow, ["product_id"], order, k)
 
 
 def newest(df: DataFrame, time: str, key: str, n: int = 10) -> DataFrame:

@@ -28,19 +28,18 @@ class SampleModel:
         times = {c: F.col(c).cast("timestamp") for c in df.columns if c in DATE_COLUMNS}
         return df.withColumns(times) if times else df
 
+    @cached_property
+    def category_names(self) -> Column:
+        """All product types in order; a catalogue has few of them, here six."""
+        return self.raw("part").select(F.array_sort(F.collect_set("p_type"))).scalar()
+
     @cached_property
     def categories(self) -> DataFrame:
-        # the types of a catalogue are few: six here
-        kinds = self.raw("part").select(F.col("p_type").alias("category_name")).distinct()
-        names = F.sort_array(F.collect_list("category_name"))
-        return (
-            kinds.agg(names.alias("names"))
-            .select(F.posexplode("names").alias("pos", "category_name"))
-            .select(
-                (F.col("pos") + 1).cast("int").alias("category_id"),
-                "category_name",
-                F.lit(None).cast("int").alias("parent_id"),
-            )
+        names = self.raw("part").select("p_type").distinct()
+        return names.select(
+            F.array_position(self.category_names, F.col("p_type")).cast("int").alias("category_id"),
+            F.col("p_type").alias("category_name"),
+            F.lit(None).cast("int").alias("parent_id"),
         )
 
     @cached_property
@@ -178,20 +177,18 @@ class SampleModel:
         rated = self.review_facts.groupBy("product_id").agg(
             F.count("*").cast("int").alias("review_count"), F.sum("rating").alias("stars")
         )
-        kinds = self.categories.select("category_id", F.col("category_name").alias("p_type"))
         key = F.col("product_id")
         quoted = F.concat(F.lit('[{"name":"'), F.col("p_brand"), F.lit('"}]'))
         return (
             self.raw("part")
             .withColumnRenamed("p_partkey", "product_id")
-            .join(kinds, "p_type")
             .join(sold, "product_id", "left")
             .join(rated, "product_id", "left")
             .select(
                 "product_id",
                 F.col("p_name").alias("name"),
                 (key % n_rows(self.raw("supplier"))).alias("shop_id"),
-                "category_id",
+                F.array_position(self.category_names, F.col("p_type")).cast("int").alias("category_id"),
                 F.concat(F.lit(SITE + "p"), key).alias("url"),
                 F.col("p_brand").alias("short_description"),
                 (F.col("stars").cast("decimal(20,4)") / F.col("review_count"))
