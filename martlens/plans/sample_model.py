@@ -9,7 +9,34 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from martlens.session import spread
 
 SITE = "https://shop.example/"
-DATE_COLUMNS = {"l_shipdate", "o_orderdate", "ts"}
+# The stored times have no zone; they are read as such and taken as UTC.
+TABLES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": (
+        "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+        "p_retailprice DOUBLE"
+    ),
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+        "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+        "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"
+    ),
+    "events": (
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
+        "props STRING"
+    ),
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+}
 
 
 def n_rows(df: DataFrame) -> Column:
@@ -22,11 +49,19 @@ class SampleModel:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._scans: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        times = {c: F.col(c).cast("timestamp") for c in df.columns if c in DATE_COLUMNS}
-        return df.withColumns(times) if times else df
+        if name not in self._scans:
+            df = self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
+            zoneless = [c for c, t in df.dtypes if t == "timestamp_ntz"]
+            self._scans[name] = df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless})
+        return self._scans[name]
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        """Lines for the price history, which is grouped by part and by part and day."""
+        return spread(self.raw("lineitem"), "l_partkey")
 
     @cached_property
     def category_names(self) -> Column:
@@ -73,7 +108,7 @@ class SampleModel:
         price = F.col("l_extendedprice").cast("decimal(12,2)")
         percent = F.round(F.col("l_discount") * 100).cast("int")
         return (
-            self.raw("lineitem")
+            self.lines
             .groupBy(F.col("l_partkey").alias("product_id"), F.col("l_shipdate").alias("timestamp"))
             .agg(
                 F.max(price).alias("price"),
@@ -166,7 +201,7 @@ class SampleModel:
     @cached_property
     def products(self) -> DataFrame:
         sold = (
-            self.raw("lineitem")
+            self.lines
             .groupBy(F.col("l_partkey").alias("product_id"))
             .agg(
                 F.sum("l_quantity").cast("int").alias("sold"),

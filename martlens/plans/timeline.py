@@ -10,7 +10,7 @@ from martlens.plans import sample_messages as S
 from martlens.plans.ingest import REVIEW_DETAIL_SQL
 from martlens.plans.oracle import PRICE_NOW, dbl, ts
 from martlens.plans.registry import query
-from martlens.plans.sample_model import SampleModel
+from martlens.plans.sample_model import TABLES, SampleModel
 from martlens.session import work_dir
 from martlens.streaming import rollups
 from martlens.streaming.pipeline import MESSAGE, Pipeline
@@ -89,9 +89,8 @@ def message_throughput(m: SampleModel):
 
 def _event_stream(m: SampleModel) -> DataFrame:
     """The events file as a stream of price rows."""
-    schema = m.raw("events").schema
-    columns = ", ".join(f"{f.name} {'TIMESTAMP_NTZ' if f.name == 'ts' else f.dataType.simpleString()}" for f in schema)
-    stream = m.spark.readStream.schema(columns).option("pathGlobFilter", "events.parquet").parquet(m.folder)
+    reader = m.spark.readStream.schema(TABLES["events"]).option("pathGlobFilter", "events.parquet")
+    stream = reader.parquet(m.folder)
     return stream.select(
         "event_id",
         (F.col("event_id") % 5).alias("product_id"),

@@ -24,7 +24,8 @@ SETTINGS = {
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session that somebody else built."""
     for name, value in SETTINGS.items():
-        spark.conf.set(name, value)
+        if spark.conf.get(name, None) != value:
+            spark.conf.set(name, value)
     return spark
 
 
