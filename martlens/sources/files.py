@@ -24,7 +24,8 @@ def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-CSV = {"header": "true", "escape": '"', "multiLine": "true", "nullValue": "\\N", "emptyValue": ""}
+# Null is written as \\N and '' as "", so the two stay apart.
+CSV = {"header": "true", "escape": '"', "multiLine": "true", "nullValue": "\\N"}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -33,4 +34,4 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).options(**CSV).csv(path)
+    return spark.read.schema(schema).options(**CSV, emptyValue="").csv(path)
