@@ -124,7 +124,7 @@ def top_per_group(
 
 
 def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, shares: dict[str, float]
+    df: DataFrame, keys: Sequence[str], value: str, shares: dict[str, float], value_bits: int = 63
 ) -> DataFrame:
     """Exact linearly interpolated percentiles of a non-negative integer column.
 
@@ -132,8 +132,8 @@ def exact_percentiles(
     Here equal values are counted first and ranks come from sliced running totals.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    ranked = with_total_before(counts, keys, value, "_n", "_before")
-    sizes = df.groupBy(*keys).agg(F.count(value).alias("_size"))
+    ranked = with_total_before(counts, keys, value, "_n", "_before", value_bits=value_bits)
+    sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))
     placed = ranked.join(sizes, list(keys))
 
     def at(rank: Column) -> Column:

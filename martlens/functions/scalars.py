@@ -131,10 +131,10 @@ def name_id(c: Name) -> Column:
     return F.conv(head, 16, 10).cast("bigint") % F.lit(1_000_000_000)
 
 
-def words(c: Name) -> Column:
-    """Lower-case words: runs of letters, in text order, without empty ones."""
-    parts = F.split(F.lower(F.coalesce(col(c), F.lit(""))), r"[^\p{L}]+")
-    return F.filter(parts, lambda w: w != "")
+def words(c: Name, min_length: int = 1) -> Column:
+    """Lower-case words of a text in order: runs of at least `min_length` letters."""
+    text = F.lower(F.coalesce(col(c), F.lit("")))
+    return F.regexp_extract_all(text, F.lit(rf"\p{{L}}{{{min_length},}}"), F.lit(0))
 
 
 def count_words(c: Name, wanted: Iterable[str]) -> Column:

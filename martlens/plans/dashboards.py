@@ -53,7 +53,9 @@ def category_price_percentiles(products: DataFrame, prices: DataFrame, categorie
     latest = joins.latest_price(prices.select("product_id", "price", "timestamp"))
     cents = (F.col("price") * 100).cast("bigint")
     priced = products.select("product_id", "category_id").join(latest, "product_id").select("category_id", cents.alias("cents"))
-    found = ordered.exact_percentiles(priced, ["category_id"], "cents", {"p25": 0.25, "median": 0.5, "p75": 0.75})
+    quartiles = {"p25": 0.25, "median": 0.5, "p75": 0.75}
+    # a price has at most twelve digits, so its cents are below 2^40
+    found = ordered.exact_percentiles(priced, ["category_id"], "cents", quartiles, value_bits=40)
     money = lambda c: F.round(F.col(c) / 100, 4).alias(c)
     return found.join(categories.select("category_id", "category_name"), "category_id").select(
         "category_name", "n_values", money("p25"), money("median"), money("p75")
@@ -137,10 +139,8 @@ def keyword_counts(
     reviews: DataFrame, text: str = "comment", stop_words: tuple[str, ...] = (), min_length: int = 2
 ) -> DataFrame:
     """Reviews' words and how often they occur, without stop words."""
-    found = reviews.select(F.explode(X.words(text)).alias("word"))
-    kept = found.filter(F.length("word") >= min_length)
-    if stop_words:
-        kept = kept.filter(~F.col("word").isin(*stop_words))
+    found = reviews.select(F.explode(X.words(text, min_length)).alias("word"))
+    kept = found.filter(~F.col("word").isin(*stop_words)) if stop_words else found
     return kept.groupBy("word").agg(F.count("*").alias("n"))
 
 

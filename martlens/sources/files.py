@@ -24,8 +24,15 @@ def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-# Null is written as \\N and '' as "", so the two stay apart.
-CSV = {"header": "true", "escape": '"', "multiLine": "true", "nullValue": "\\N"}
+# Null and the empty text are written differently and stay apart; blanks around a text are kept.
+CSV = {
+    "header": "true",
+    "escape": '"',
+    "multiLine": "true",
+    "nullValue": "\\N",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
