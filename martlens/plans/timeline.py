@@ -12,8 +12,9 @@ from martlens.plans.oracle import PRICE_NOW, dbl, ts
 from martlens.plans.registry import query
 from martlens.plans.sample_model import TABLES, SampleModel
 from martlens.session import work_dir
+from martlens.sources import messages
 from martlens.streaming import rollups
-from martlens.streaming.pipeline import MESSAGE, Pipeline
+from martlens.streaming.stages import Stages
 
 ROLLUP_COLUMNS = f"""
 round(CAST(sum(price) AS DOUBLE) / count(*), 4) AS avg_price, {dbl('min(price)', 'min_price')},
@@ -127,13 +128,13 @@ def _land(df: DataFrame, path: str) -> None:
     df.select("seq", "key", "value").write.mode("overwrite").json(path)
 
 
-def _stages(m: SampleModel, replay: bool = False) -> Pipeline:
+def _stages(m: SampleModel, replay: bool = False) -> Stages:
     """Products, then reviews, through the stages; a replay feeds the reviews a second time."""
     root = work_dir(m.spark, "stages")
-    stages = Pipeline(m.spark, root, scorer=M.score_with_lexicon).create()
+    stages = Stages(m.spark, root, scorer=M.score_with_lexicon).create()
     _land(S.product_messages(m, versions=1).filter(F.col("seq") % 4 != 0), f"{root}/in/products")
     _land(S.review_messages(m), f"{root}/in/reviews")
-    stream = lambda name: m.spark.readStream.schema(MESSAGE).json(f"{root}/in/{name}")
+    stream = lambda name: messages.read_stream(m.spark, "json", {}, f"{root}/in/{name}")
     stages.run(stream("products"), stages.on_products, "products")
     stages.run(stream("reviews"), stages.on_reviews, "reviews")
     if replay:

@@ -46,16 +46,23 @@ def corrupt(messages: DataFrame) -> DataFrame:
 
 
 def read_stream(spark: SparkSession, fmt: str, options: dict[str, str], path: str | None = None) -> DataFrame:
-    """A message stream from its beginning; one text `value` per message.
+    """A message stream from its beginning, as seq, key and value.
 
-    fmt="kafka" needs Spark's Kafka connector on the class path; fmt="text" reads landed files.
+    fmt="kafka" needs Spark's Kafka connector on the class path.  fmt="json" reads landed files
+    of such messages.
     """
-    reader = spark.readStream.format(fmt)
+    reader = spark.readStream.format(fmt).options(**options)
     if fmt == "kafka":
-        reader = reader.option("startingOffsets", "earliest")
-    reader = reader.options(**options)
-    source = reader.load(path) if path else reader.load()
-    return source.withColumn("value", F.col("value").cast("string"))
+        return from_kafka(reader.option("startingOffsets", "earliest").load())
+    return reader.schema("seq BIGINT, key STRING, value STRING").load(path)
+
+
+def from_kafka(records: DataFrame) -> DataFrame:
+    """Kafka records to messages; `seq` rises with time and, within a millisecond, with the offset."""
+    seq = F.unix_millis("timestamp") * 1_000_000 + F.col("offset") % 1_000_000
+    return records.select(
+        seq.alias("seq"), F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value")
+    )
 
 
 def keyed(df: DataFrame, key: str | None, columns: Sequence[str] | None = None) -> DataFrame:

@@ -19,9 +19,7 @@ from martlens.operators import derive, merge, parse, quality, sentiment
 from martlens.sources import messages
 from martlens.sources.tables import LogTable
 
-# Message numbers of one page: far more than a page has elements.
-PAGE_SLOTS = 1_000_000
-# `seq` numbers messages across all streams, for instance by Kafka time.
+# `seq` numbers messages across all streams; see messages.from_kafka.
 MESSAGE = "seq BIGINT, key STRING, value STRING"
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -88,7 +86,7 @@ def _fold_prices(log: DataFrame) -> DataFrame:
     return merge.price_rows(log, seq="order_at")
 
 
-class Pipeline:
+class Stages:
     """Tables under one shared folder and the stages that feed them."""
 
     def __init__(self, spark: SparkSession, root: str, scorer: Scorer = sentiment.score_with_lexicon):
@@ -122,7 +120,7 @@ class Pipeline:
             *self.topics.values(),
         )
 
-    def create(self) -> Pipeline:
+    def create(self) -> Stages:
         for t in self.tables:
             t.create()
         return self
@@ -208,7 +206,7 @@ class Pipeline:
         review = F.from_json("element", schemas.REVIEW_DETAIL)
         stamped = elements.withColumn("_r", review.withField("product_id", F.col("key").cast("bigint")))
         out = stamped.select(
-            (F.col("seq") * PAGE_SLOTS + F.col("position")).alias("seq"),
+            (F.col("seq") + F.col("position")).alias("seq"),
             F.col("_r.id").cast("string").alias("key"),
             F.to_json("_r", {"ignoreNullFields": "false"}).alias("value"),
         )

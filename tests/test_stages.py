@@ -8,10 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from martlens.operators import prices as P
-from martlens.sources import files
+from martlens.sources import files, messages
 from martlens.sources.tables import LogTable
 from martlens.streaming import rollups
-from martlens.streaming.pipeline import MESSAGE, Pipeline
+from martlens.streaming.stages import MESSAGE, Stages
 
 
 def land(spark, root, name, items):
@@ -20,7 +20,7 @@ def land(spark, root, name, items):
 
 
 def stream(spark, root, name):
-    return spark.readStream.schema(MESSAGE).json(f"{root}/in/{name}")
+    return messages.read_stream(spark, "json", {}, f"{root}/in/{name}")
 
 
 def product(i, **more):
@@ -36,7 +36,7 @@ def review(i, product_id, **more):
 @pytest.fixture
 def stages(spark, tmp_path):
     root = str(tmp_path)
-    made = Pipeline(spark, root).create()
+    made = Stages(spark, root).create()
     land(spark, root, "products", [(1, 1, product(1)), (2, 2, product(2)), (3, 3, product(3, name="")), (4, "x", "{bad")])
     made.run(stream(spark, root, "products"), made.on_products, "products")
     return made
@@ -105,6 +105,14 @@ def test_review_pages(spark, stages):
     assert sorted((r.review_id, r.product_id) for r in stages.reviews.current().collect()) == [(8, 2), (9, 2)]
 
 
+def test_kafka_records_become_messages(spark):
+    rows = [(b"1", b"{}", 5, "2024-01-01 00:00:00.001"), (None, b"{}", 4, "2024-01-01 00:00:00.002")]
+    records = spark.createDataFrame(rows, "key binary, value binary, offset bigint, t string")
+    got = messages.from_kafka(records.withColumn("timestamp", F.col("t").cast("timestamp"))).collect()
+    assert [(r.key, r.value) for r in got] == [("1", "{}"), (None, "{}")]
+    assert got[0].seq < got[1].seq
+
+
 def test_compaction_keeps_the_current_rows(spark, stages, tmp_path):
     table = stages.reviews
     row = lambda i, batch: spark.createDataFrame([(i, batch)], "review_id bigint, rating int").withColumn(
