@@ -23,21 +23,22 @@ from martlens.sources.tables import LogTable
 MESSAGE = "seq BIGINT, key STRING, value STRING"
 Scorer = Callable[[DataFrame], DataFrame]
 
+# Place of a row among all of its key.
+ORDER_AT = "order_at STRUCT<seq: BIGINT, stage: INT, batch: BIGINT>"
 # Update logs hold what messages set; `present` lists the columns each row sets.
 UPDATES = (
     "product_id BIGINT, name STRING, url STRING, image_url STRING, description STRING, "
     "shop_id BIGINT, category_id INT, rating DECIMAL(3,2), sold_count INT, review_count INT, "
     "discount_rate INT, short_description STRING, authors STRING, specifications STRING, "
-    "configurable_options STRING, present ARRAY<STRING>, order_at STRUCT<seq: BIGINT, stage: INT, batch: BIGINT>"
+    f"configurable_options STRING, present ARRAY<STRING>, {ORDER_AT}"
 )
-SELLERS = "shop_id BIGINT, shop_name STRING, order_at STRUCT<seq: BIGINT, stage: INT, batch: BIGINT>"
-CUSTOMERS = "customer_id BIGINT, customer_name STRING, order_at STRUCT<seq: BIGINT, stage: INT, batch: BIGINT>"
-ORDER_AT = "order_at STRUCT<seq: BIGINT, stage: INT, batch: BIGINT>"
-PRICES = schemas.TABLES["product_prices"] + ", " + ORDER_AT
-REVIEWS = schemas.TABLES["reviews"] + ", " + ORDER_AT
-ORDERS = schemas.TABLES["orders"] + ", " + ORDER_AT
-ORDER_LINES = schemas.TABLES["order_lines"] + ", " + ORDER_AT
-SENTIMENTS = schemas.TABLES["review_sentiment"] + ", " + ORDER_AT
+SELLERS = f"shop_id BIGINT, shop_name STRING, {ORDER_AT}"
+CUSTOMERS = f"customer_id BIGINT, customer_name STRING, {ORDER_AT}"
+PRICES = f"{schemas.TABLES['product_prices']}, {ORDER_AT}"
+REVIEWS = f"{schemas.TABLES['reviews']}, {ORDER_AT}"
+ORDERS = f"{schemas.TABLES['orders']}, {ORDER_AT}"
+ORDER_LINES = f"{schemas.TABLES['order_lines']}, {ORDER_AT}"
+SENTIMENTS = f"{schemas.TABLES['review_sentiment']}, {ORDER_AT}"
 LISTED = ("name", "url", "image_url", "description", "shop_id", "category_id", "rating", "sold_count")
 REJECTS = "stage STRING, seq BIGINT, value STRING, reason STRING"
 METRICS = "stage STRING, processed BIGINT, failed BIGINT"
@@ -56,6 +57,15 @@ def _place(batch_id: int) -> Column:
     return F.struct(batch.alias("seq"), F.lit(0).alias("stage"), batch.alias("batch"))
 
 
+def _shorten_products(log: DataFrame) -> DataFrame:
+    """One update per product that sets the last value of every column that was ever set."""
+    columns = [c for c in log.columns if c not in ("product_id", "present", "order_at")]
+    last = log.groupBy("product_id").agg(F.max("order_at").alias("order_at"))
+    folded = merge.fold_updates(log, "product_id", columns, "present", "order_at").join(last, "product_id")
+    sets = F.array_compact(F.array(*[F.when(F.col(f"_set_{c}"), F.lit(c)) for c in columns]))
+    return folded.withColumn("present", sets).select(*log.columns)
+
+
 def _fold_products(log: DataFrame) -> DataFrame:
     columns = [c for c in log.columns if c not in ("product_id", "present", "order_at")]
     folded = merge.fold_updates(log, "product_id", columns, "present", "order_at")
@@ -63,27 +73,43 @@ def _fold_products(log: DataFrame) -> DataFrame:
     return folded.withColumn("sold_count", sold).select("product_id", *columns)
 
 
+def _shorten_shops(log: DataFrame) -> DataFrame:
+    named = F.when(X.is_truthy("shop_name", log.schema["shop_name"].dataType), F.col("order_at"))
+    name = F.max_by("shop_name", named).alias("shop_name")
+    return log.groupBy("shop_id").agg(name, F.max("order_at").alias("order_at"))
+
+
 def _fold_shops(log: DataFrame) -> DataFrame:
-    folded = merge.fold_updates(log, "shop_id", ["shop_name"], "truthy", "order_at")
     placeholder = F.concat(F.lit("Shop "), F.col("shop_id"))
-    return folded.select("shop_id", F.coalesce("shop_name", placeholder).alias("shop_name"))
+    return _shorten_shops(log).select("shop_id", F.coalesce("shop_name", placeholder).alias("shop_name"))
 
 
-def _fold_customers(log: DataFrame) -> DataFrame:
-    return log.groupBy("customer_id").agg(F.max_by("customer_name", "order_at").alias("customer_name"))
+def _shorten_customers(log: DataFrame) -> DataFrame:
+    name = F.max_by("customer_name", "order_at").alias("customer_name")
+    return log.groupBy("customer_id").agg(name, F.max("order_at").alias("order_at"))
 
 
-def _shortest(key: str) -> Callable[[DataFrame], DataFrame]:
-    """First wins: the earliest row of each key, with its place in the order."""
-    return lambda log: merge.first_wins(log, key, "order_at")
+def _fold_customers(log: DataFrame) -> DataFrame:
+    return _shorten_customers(log).drop("order_at")
 
 
-def _first(key: str) -> Callable[[DataFrame], DataFrame]:
-    return lambda log: _shortest(key)(log).drop("order_at")
+def _shorten_prices(log: DataFrame) -> DataFrame:
+    """The price recorded first for each product and time."""
+    values = [F.min_by(c, "order_at").alias(c) for c in merge.PRICE_VALUES]
+    return log.groupBy("product_id", "timestamp").agg(*values, F.min("order_at").alias("order_at"))
 
 
 def _fold_prices(log: DataFrame) -> DataFrame:
-    return merge.price_rows(log, seq="order_at")
+    return _shorten_prices(log).drop("order_at")
+
+
+def _shorten_once(key: str) -> Callable[[DataFrame], DataFrame]:
+    """First wins: the earliest row of each key, with its place in the order."""
+    return lambda log: merge.first_wins(log, key, "order_at")
+
+
+def _fold_once(key: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda log: merge.first_wins(log, key, "order_at").drop("order_at")
 
 
 class Stages:
@@ -92,15 +118,15 @@ class Stages:
     def __init__(self, spark: SparkSession, root: str, scorer: Scorer = sentiment.score_with_lexicon):
         self.spark, self.root, self.scorer = spark, root, scorer
         table = lambda name, *how: LogTable(spark, f"{root}/tables/{name}", *how)
-        once = lambda name, columns, key: table(name, columns, _first(key), _shortest(key))
-        self.products = table("products", UPDATES, _fold_products)
-        self.shops = table("shops", SELLERS, _fold_shops)
-        self.categories = table("categories", "category_id INT", lambda log: log.distinct())
-        self.prices = table("product_prices", PRICES, _fold_prices)
+        once = lambda name, columns, key: table(name, columns, _fold_once(key), _shorten_once(key))
+        self.products = table("products", UPDATES, _fold_products, _shorten_products)
+        self.shops = table("shops", SELLERS, _fold_shops, _shorten_shops)
+        self.categories = table("categories", "category_id INT", DataFrame.distinct, DataFrame.distinct)
+        self.prices = table("product_prices", PRICES, _fold_prices, _shorten_prices)
         self.reviews = once("reviews", REVIEWS, "review_id")
         self.orders = once("orders", ORDERS, "review_id")
         self.order_lines = once("order_lines", ORDER_LINES, "order_id")
-        self.customers = table("customers", CUSTOMERS, _fold_customers)
+        self.customers = table("customers", CUSTOMERS, _fold_customers, _shorten_customers)
         self.sentiment = once("review_sentiment", SENTIMENTS, "review_id")
         self.rejects = table("rejects", REJECTS)
         self.metrics = table("metrics", METRICS)

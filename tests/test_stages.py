@@ -105,6 +105,21 @@ def test_review_pages(spark, stages):
     assert sorted((r.review_id, r.product_id) for r in stages.reviews.current().collect()) == [(8, 2), (9, 2)]
 
 
+def test_compaction_of_every_kind_of_log(spark, stages, tmp_path):
+    root = stages.root
+    land(spark, root, "products", [(12, 1, product(1, name="again", rating=None)), (13, 1, product(1, price=7))])
+    stages.run(stream(spark, root, "products"), stages.on_products, "products")
+    detail = {"id": 1, "description": "d", "current_seller": {"id": 5, "name": "Best"}, "categories": {"id": 3}}
+    land(spark, root, "details", [(14, 1, detail)])
+    stages.run(stream(spark, root, "details"), stages.on_details, "details")
+    land(spark, root, "reviews", [(20, 1, review(1, 1)), (21, 2, review(2, 1, created_by={"id": 901, "name": "Later"}))])
+    stages.run(stream(spark, root, "reviews"), stages.on_reviews, "reviews")
+    for table in (stages.products, stages.shops, stages.categories, stages.prices, stages.customers, stages.orders):
+        small = table.compact_to(str(tmp_path / "small" / table.path.split("/")[-1]))
+        assert sorted(map(str, small.current().collect())) == sorted(map(str, table.current().collect()))
+        assert small.log().count() == table.current().count()
+
+
 def test_kafka_records_become_messages(spark):
     rows = [(b"1", b"{}", 5, "2024-01-01 00:00:00.001"), (None, b"{}", 4, "2024-01-01 00:00:00.002")]
     records = spark.createDataFrame(rows, "key binary, value binary, offset bigint, t string")
