@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -31,6 +32,20 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like `durable`, but as compressed columns; the shuffle files behind it are removed with the job."""
+    spark = prepare(df.sparkSession)
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup, "false")
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(cleanup, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 

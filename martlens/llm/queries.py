@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martlens.llm import bpe, chat, packing
+from martlens.llm import bpe, chat, packing, repeats
 from martlens.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -25,6 +25,11 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_repeated_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.digests(repeats.without_repeats(table(spark, folder, "documents")))
+
+
 @query()
 def op3_bpe_coding(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), VOCABULARY)
