@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martlens.llm import bpe, chat, packing, repeats
+from martlens.llm import bpe, chat, packing, repeats, simhash
 from martlens.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -30,6 +30,12 @@ def op1_repeated_windows(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.digests(repeats.without_repeats(table(spark, folder, "documents")))
 
 
+@query()
+def op2_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 @query()
 def op3_bpe_coding(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), VOCABULARY)
