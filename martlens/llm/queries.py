@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martlens.llm import bpe, chat, packing, repeats, simhash
+from martlens.llm import bpe, chat, host_rules, packing, repeats, simhash
 from martlens.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -41,6 +41,35 @@ def op3_bpe_coding(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), VOCABULARY)
 
 
+@query(r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents),
+windows AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s FROM d, unnest(range(1, len(w) - 1)) AS u(i)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM twice, unnest([i, i + 1, i + 2]) AS u(p) GROUP BY doc_id),
+rows AS (
+  SELECT doc_id, source, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+         len(w) < 50 OR 100 * coalesce(n, 0) > 50 * len(w) AS base_failed
+  FROM d LEFT JOIN covered USING (doc_id)),
+hosts AS (SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS f FROM rows GROUP BY source),
+corpus AS (SELECT sum(f) / sum(n) AS m, greatest(sum(f * f / n) / sum(n) - (sum(f) / sum(n)) ** 2, 0) AS v FROM hosts),
+prior AS (SELECT m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 1), 1e6) ELSE 1e6 END AS k FROM corpus),
+rates AS (SELECT source, n, k, (f + m * k) / (n + k) AS r FROM hosts, prior)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT r - 2 * sqrt(r * (1 - r) / (n + k + 1)) > 0.5 AS kept
+FROM rows JOIN rates ON rows.source IS NOT DISTINCT FROM rates.source
+""")
+def op4_host_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return host_rules.judged(table(spark, folder, "documents")).drop("host", "rate")
+
+
 @query()
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), VOCABULARY)
