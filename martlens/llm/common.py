@@ -58,3 +58,18 @@ def whole_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def fold(id_col: str, parts: int) -> Column:
     """The crc32 of an id's decimal text, modulo `parts`."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % parts
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sizes: dict[int, int]) -> DataFrame:
+    """(doc_id, label, text) of at most sizes[c] labelled documents per class c, taken in the order of a hash of their ids.
+
+    Only ids are sorted; they are bounded, so they are broadcast and no text is shuffled to find the sample.
+    Rows that repeat an id count once.
+    """
+    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("doc_id is not null")
+    picks = None
+    for kind, size in sizes.items():
+        some = known.where(F.col("label") == kind).dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
+        picks = some if picks is None else picks.unionByName(some)
+    texts = whole_texts(docs).where("doc_id is not null")
+    return texts.join(F.broadcast(picks), "doc_id").select("doc_id", "label", "text").dropDuplicates(["doc_id"])

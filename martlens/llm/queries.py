@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martlens.llm import bpe, chat, host_rules, packing, repeats, simhash
-from martlens.llm.common import table
+from martlens.llm import bpe, chat, host_rules, langid, packing, quality, repeats, simhash, toxicity
+from martlens.llm.common import fold, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,42 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), VOCABULARY)
 
 
+def unheld(labels: DataFrame) -> DataFrame:
+    """The labelled rows that may be learned from: four fifths by a hash of the id."""
+    return labels.where(fold("doc_id", 5) != 0)
+
+
+def judged(scores: DataFrame, limit: float) -> DataFrame:
+    return scores.select(
+        "doc_id",
+        F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= limit).cast("int").alias("predicted"),
+    )
+
+
+@query()
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.learn(docs, unheld(table(spark, folder, "labels")))
+    return judged(toxicity.scored(docs, model), 0.5)
+
+
+@query()
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held = F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out")
+    model = langid.learn(docs.where(fold("doc_id", 4) != 2))
+    return langid.identified(docs, model).select("doc_id", held, "lang_pred", "score", "ambiguous")
+
+
+@query()
+def op9_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.learn(docs, unheld(table(spark, folder, "labels")))
+    return judged(quality.scored(docs, model), 0.3)
+
+
 @query("""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
