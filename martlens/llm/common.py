@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pathlib
 import tempfile
 import uuid
 
@@ -18,6 +19,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     context = spark.sparkContext
+    # where workers share the driver's disk they import this package from here; a cluster gets it by --py-files
+    context.environment.setdefault("PYTHONPATH", str(pathlib.Path(__file__).resolve().parents[2]))
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None and not context.master.startswith("local["):

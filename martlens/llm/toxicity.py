@@ -1,18 +1,18 @@
 """Toxicity by compression distance: which of two zstandard dictionaries shortens a text's windows more.
 
-The ordinary dictionary is trained by zstandard on ordinary texts.  The toxic one is the same followed by
-windows of toxic texts, the commonest last, where matches are cheapest; so the two differ only in what toxic
-text adds.  Windows go into it if they hold character runs that are significantly more frequent in toxic
-than in ordinary text (log-likelihood ratio), each run counted once per distinct neighbourhood, so that
+The ordinary dictionary is trained by zstandard on ordinary texts.  The toxic one consists of windows of toxic
+texts, the commonest last.  Windows go into it if they hold character runs that are significantly more frequent in
+toxic than in ordinary text (log-likelihood ratio), each run counted once per distinct neighbourhood, so that
 copies of a text count as one.  zstandard's own trainer keeps what is common, which here is common to both
 kinds of text: left to choose among whole toxic texts it reached an area under the curve of 0.75 only.
 
 A window is a word, cut after 48 characters.  It is compressed four times in a row between blanks, since a
-frame of a few bytes is never compressed; its gain is the difference of the two lengths by its own length.
-A document's gain is its best window's, and the threshold is the one that parts a second set of labelled
-documents best.
+frame of a few bytes is never compressed.  It speaks for toxic text if the toxic dictionary saves at least so many
+bytes against the ordinary one and makes the window at most so long.  These two thresholds are those that tell
+a second set of labelled documents apart best; the shares of such windows in its two classes turn a document's
+count into log-odds, and a third threshold parts the set with the fewest errors.
 
-Defined cases: null, empty and blank texts have gain 0; a repeated row gets the same score; without labelled
+Defined cases: null, empty and blank texts hold no window and have the score of even windows; a repeated row gets the same score; without labelled
 rows of both kinds every score is 0; columns other than the id and the text are left behind.
 """
 
@@ -36,7 +36,9 @@ SAMPLE = {0: 8000, 1: 4000}
 DICTIONARY, TEXT_BYTES, WINDOWS = 8192, 400, 256
 #: A run counts as toxic from this log-likelihood ratio and this ratio of frequencies (natural logarithm).
 RUN, SIGNIFICANT, CONTRAST = 5, 27.0, 2.0
-WINDOW_CHARS, TIMES, LEVEL, STEEPNESS = 48, 4, 3, 20.0
+WINDOW_CHARS, TIMES, LEVEL = 48, 4, 13
+#: Cells of windows: bytes saved, by compressed length from the shortest on; both are cut at the last one.
+SAVED, LENGTHS, SHORTEST = 16, 16, 5
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 REMEMBERED = 300_000
 
@@ -45,6 +47,7 @@ REMEMBERED = 300_000
 class Model:
     ordinary: bytes
     toxic: bytes
+    odds: np.ndarray  # what a window of each cell adds to a document's log-odds
     threshold: float
 
 
@@ -99,24 +102,52 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", sizes: dict[
     texts = sorted(" ".join(t.lower().split()).encode() for t in heads.toArrow()["head"].to_pylist())
     ordinary = _trained([t for t in texts if t])
     toxic = " ".join(reversed(windows)).encode()
-    # blanks in place of the windows, so that distances in both dictionaries are alike
-    model = Model(ordinary + b" " * (len(toxic) + 2), ordinary + b" " + toxic + b" ", 0.5)
     if not windows:
-        return Model(b"", b"", math.inf)
-    tried = sample.where("part = 0").select("doc_id", "label", "text")
-    rated = gains(tried, model, keep="label").toArrow()
-    return Model(model.ordinary, model.toxic, _threshold(rated["gain"].to_numpy(), rated["label"].to_numpy()))
+        return Model(b"", b"", np.zeros(SAVED * LENGTHS), math.inf)
+    toxic += b" "
+    tried = _histograms(sample.where("part = 0"), ordinary, toxic).toArrow()
+    label = tried["label"].to_numpy()
+    cells = np.array([np.frombuffer(c, np.int32) for c in tried["cells"].to_pylist()], np.float64).reshape(-1, SAVED * LENGTHS)
+    odds = _log_odds(cells[label == 1].sum(axis=0), cells[label == 0].sum(axis=0))
+    return Model(ordinary, toxic, odds, _threshold(cells @ odds, label))
+
+
+def _log_odds(toxic: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
+    """Log-odds by cell: one value for the cells within the two best thresholds and one for all others."""
+    a, b = toxic.reshape(SAVED, LENGTHS), ordinary.reshape(SAVED, LENGTHS)
+    total_a, total_b = a.sum() + 1, b.sum() + 1
+    best, within, shares = 0.0, np.zeros_like(a, bool), (1.0, 1.0)
+    for saved in range(1, SAVED):
+        for length in range(LENGTHS):
+            p, q = a[saved:, : length + 1].sum(), b[saved:, : length + 1].sum()
+            part = total_a / (total_a + total_b)
+            if p < 3 or p / total_a <= q / total_b:
+                continue
+            gain = p * math.log(p / ((p + q) * part)) + (q * math.log(q / ((p + q) * (1 - part))) if q else 0.0)
+            if gain > best:
+                best, within = gain, np.zeros_like(a, bool)
+                within[saved:, : length + 1] = True
+                shares = (p + 0.5) / total_a, (q + 0.5) / total_b
+    inside, outside = math.log(shares[0] / shares[1]), 0.0
+    if best:
+        outside = math.log((1 - shares[0]) / (1 - shares[1]))
+    return np.where(within.ravel(), inside, outside)
 
 
-def _threshold(gain: np.ndarray, label: np.ndarray) -> float:
-    """The middle of the gap that parts the classes with the fewest errors."""
+def _threshold(value: np.ndarray, label: np.ndarray) -> float:
+    """The middle of the gap that parts the classes with the fewest errors; even odds without both classes."""
     if not (label == 1).any() or not (label == 0).any():
-        return 0.65
-    values = np.unique(gain)
-    cuts = (values[1:] + values[:-1]) / 2 if len(values) > 1 else np.array([0.65])
-    errors = [(gain[label == 1] < c).sum() + (gain[label == 0] >= c).sum() for c in cuts]
-    best = np.flatnonzero(np.array(errors) == min(errors))
-    return float(cuts[best[len(best) // 2]])
+        return 0.0
+    order = np.argsort(value, kind="stable")
+    value, label = value[order], label[order]
+    # errors of a cut before each place: toxic ones below it and ordinary ones above
+    errors = np.concatenate([[0], np.cumsum(label == 1)]) + (label == 0).sum() - np.concatenate([[0], np.cumsum(label == 0)])
+    errors = errors[1:-1] + np.where(value[1:] > value[:-1], 0, len(value))
+    best = np.flatnonzero(errors == errors.min()) if len(errors) else []
+    if not len(best):
+        return 0.0
+    at = best[len(best) // 2]
+    return float((value[at] + value[at + 1]) / 2)
 
 
 class _Scale:
@@ -128,33 +159,30 @@ class _Scale:
         )
         made = [zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT) for d in (ordinary, toxic)]
         self.plain, self.toxic = (zstandard.ZstdCompressor(compression_params=options, dict_data=d) for d in made)
-        self.known: dict[str, float] = {}
+        self.known: dict[str, int] = {}
 
-    def _gain(self, word: str) -> float:
+    def _cell(self, word: str) -> int:
         window = word.strip(PUNCTUATION).encode()
-        if len(window) < 3:
-            gain = 0.0
-        else:
-            framed = (b" " + window + b" ") * TIMES
-            gain = (len(self.plain.compress(framed)) - len(self.toxic.compress(framed))) / max(len(window), 4)
+        framed = (b" " + window + b" ") * TIMES
+        length = len(self.toxic.compress(framed))
+        saved = min(max(len(self.plain.compress(framed)) - length, 0), SAVED - 1)
+        cell = saved * LENGTHS + min(max(length - SHORTEST, 0), LENGTHS - 1)
         if len(self.known) >= REMEMBERED:
             self.known.clear()
-        self.known[word] = gain
-        return gain
+        self.known[word] = cell
+        return cell
 
-    def text(self, text: str) -> float:
-        best, known = 0.0, self.known
+    def cells(self, text: str) -> np.ndarray:
+        """How many of a text's windows are in each cell."""
+        found, known, make = [], self.known, self._cell
         for word in text.lower().split():
-            if len(word) > WINDOW_CHARS:
-                parts = [word[i : i + WINDOW_CHARS] for i in range(0, len(word), WINDOW_CHARS)]
-                gain = max(known.get(p) if p in known else self._gain(p) for p in parts)
+            if len(word) <= WINDOW_CHARS:
+                cell = known.get(word)
+                found.append(make(word) if cell is None else cell)
             else:
-                gain = known.get(word)
-                if gain is None:
-                    gain = self._gain(word)
-            if gain > best:
-                best = gain
-        return best
+                parts = (word[i : i + WINDOW_CHARS] for i in range(0, len(word), WINDOW_CHARS))
+                found += [make(p) if (cell := known.get(p)) is None else cell for p in parts]
+        return np.bincount(found, minlength=SAVED * LENGTHS) if found else np.zeros(SAVED * LENGTHS, np.int64)
 
 
 @functools.lru_cache(maxsize=2)
@@ -162,21 +190,25 @@ def _scale(ordinary: bytes, toxic: bytes) -> _Scale:
     return _Scale(ordinary, toxic)
 
 
-def gains(texts: DataFrame, model: Model, keep: str | None = None) -> DataFrame:
-    """(doc_id, gain), with one more column if asked."""
-    held = ["doc_id"] + ([keep] if keep else [])
-
+def _histograms(sample: DataFrame, ordinary: bytes, toxic: bytes) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scale = _scale(model.ordinary, model.toxic) if model.toxic else None
+        scale = _scale(ordinary, toxic)
         for b in batches:
-            found = [scale.text(t) if scale else 0.0 for t in b["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(b[c] for c in held), pa.array(found, pa.float64())], [*held, "gain"])
+            cells = [scale.cells(t).astype(np.int32).tobytes() for t in b["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([b["label"], pa.array(cells, pa.binary())], ["label", "cells"])
 
-    fields = ", ".join(f"{c} {texts.schema[c].dataType.simpleString()}" for c in held)
-    return texts.select(*held, "text").mapInArrow(rows, f"{fields}, gain double")
+    return sample.select("label", "text").mapInArrow(rows, "label int, cells binary")
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score): 0 to 1, and 0.5 at the threshold."""
-    score = F.lit(0.0) if math.isinf(model.threshold) else 1 / (1 + F.exp(STEEPNESS * (F.lit(model.threshold) - F.col("gain"))))
-    return gains(whole_texts(docs), model).select("doc_id", score.alias("score"))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scale = _scale(model.ordinary, model.toxic) if model.toxic else None
+        for b in batches:
+            sums = [float(scale.cells(t) @ model.odds) if scale else 0.0 for t in b["text"].to_pylist()]
+            over = np.clip(np.array(sums, np.float64) - model.threshold, -500, 500)
+            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(1 / (1 + np.exp(-over)))], ["doc_id", "score"])
+
+    texts = whole_texts(docs)
+    return texts.mapInArrow(rows, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, score double")
