@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martlens.llm import bpe, chat, host_rules, langid, packing, quality, repeats, simhash, toxicity
+from martlens.llm import bpe, chat, curves, host_rules, langid, packing, quality, repeats, simhash, toxicity
 from martlens.llm.common import fold, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -75,6 +75,11 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), VOCABULARY)
 
 
+@query()
+def op6_curve_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return curves.neighbours(table(spark, folder, "embeddings"), "vec_id % 20 = 0", 20)
+
+
 def unheld(labels: DataFrame) -> DataFrame:
     """The labelled rows that may be learned from: four fifths by a hash of the id."""
     return labels.where(fold("doc_id", 5) != 0)
