@@ -5,7 +5,10 @@ from __future__ import annotations
 import pathlib
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martlens.session import configure
@@ -76,3 +79,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sizes: dict[
         picks = some if picks is None else picks.unionByName(some)
     texts = whole_texts(docs).where("doc_id is not null")
     return texts.join(F.broadcast(picks), "doc_id").select("doc_id", "label", "text").dropDuplicates(["doc_id"])
+
+
+def where_texts(docs: DataFrame, keep: Callable[[list[str]], np.ndarray], text_col: str = "text") -> DataFrame:
+    """The documents, with all their columns, whose texts `keep` says yes to; a null text is judged as empty."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(keep([t or "" for t in b[text_col].to_pylist()]), pa.bool_()))
+
+    return docs.mapInArrow(rows, docs.schema)

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from martlens.llm.common import labelled_sample, whole_texts
+from martlens.llm.common import labelled_sample, where_texts, whole_texts
 
 #: Hashed runs, dimensions of the space and labelled texts of each class at most: 4000 x 48 numbers are sent.
 BUCKETS_LOG, DIMENSIONS, PER_CLASS = 12, 48, 2000
@@ -127,3 +127,9 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(votes(sent.value, b["text"].to_pylist()))], ["doc_id", "score"])
 
     return texts.mapInArrow(rows, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, score double")
+
+
+def good(docs: DataFrame, model: Model, limit: float = 0.3) -> DataFrame:
+    """The documents, with all their columns, that score at least `limit`; all of them if nothing was labelled."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    return where_texts(docs, lambda texts: votes(sent.value, texts) >= limit) if len(model.votes) else docs

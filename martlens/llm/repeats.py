@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from martlens.llm.common import stored
 
@@ -259,11 +259,38 @@ def _by_document(places: DataFrame) -> DataFrame:
     return places.groupBy("doc").agg(F.collect_list("place").alias("places"))
 
 
-def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keyed_texts(docs: DataFrame, *more: Column) -> DataFrame:
     """(doc, tag, text): a non-null id, and 15 bits of a hash that tell apart rows with the same id."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
-    return docs.select(doc.alias("doc"), F.xxhash64(text).bitwiseAND(0x7FFF).alias("tag"), text.alias("text"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
+    return docs.select(doc.alias("doc"), F.xxhash64(text).bitwiseAND(0x7FFF).alias("tag"), text.alias("text"), *more)
+
+
+def _cut(batch: pa.RecordBatch, window: int) -> tuple[list[bytes], list[list[tuple[int, int]]]]:
+    """What stays of each text of (tag, text, places), and the runs that go."""
+    kept, spans = [], []
+    for tag, text, places in zip(*(batch[c].to_pylist() for c in ("tag", "text", "places")), strict=True):
+        data, runs = text.encode(), []
+        if places:
+            starts, counts = _ranges(places, tag)
+            runs = _joined(starts, starts + counts - 1 + window)
+        ends = [0, *(end for _, end in runs)]
+        starts_of_cuts = [*(start for start, _ in runs), len(data)]
+        kept.append(b"".join(data[a:b] for a, b in zip(ends, starts_of_cuts, strict=True)))
+        spans.append(runs)
+    return kept, spans
+
+
+def _with_places(docs: DataFrame, window: int) -> DataFrame:
+    """doc, tag, text, the whole row as a struct, and the places of the text's repeated windows."""
+    found = None
+    for places in repeated_places(keyed_texts(docs), window):
+        found = places if found is None else found.unionByName(places)
+    # the text travels once: the struct holds the other columns
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    keyed = keyed_texts(docs, F.struct(*others).alias("row"))
+    joined = keyed.join(_by_document(found).hint("shuffle_hash"), "doc", "left")
+    return joined.select("doc", "tag", "text", "row", "places")
 
 
 def without_repeats(docs: DataFrame, window: int = 100) -> DataFrame:
@@ -271,33 +298,35 @@ def without_repeats(docs: DataFrame, window: int = 100) -> DataFrame:
 
     A byte goes if a `window` that covers it also starts earlier, in a smaller document or before in its own.
     """
-    keyed = keyed_texts(docs)
-    places = None
-    for found in repeated_places(keyed, window):
-        places = found if places is None else places.unionByName(found)
-    joined = keyed.join(_by_document(places).hint("shuffle_hash"), "doc", "left")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for b in batches:
-            ids, kept, spans = [], [], []
-            for doc, tag, text, found in zip(*(b[c].to_pylist() for c in ("doc", "tag", "text", "places")), strict=True):
-                data, cut = text.encode(), []
-                if found:
-                    starts, counts = _ranges(found, tag)
-                    cut = _joined(starts, starts + counts - 1 + window)
-                at, parts = 0, []
-                for start, end in cut:
-                    parts.append(data[at:start])
-                    at = end
-                parts.append(data[at:])
-                ids.append(None if doc == NULL_ID else doc)
-                kept.append(b"".join(parts))
-                spans.append([{"start": s, "end": e} for s, e in cut])
-            yield _arrow([ids, kept, spans], ["doc_id", "kept", "spans"], [pa.int64(), pa.binary(), kind])
-
-    picked = joined.select("doc", "tag", "text", "places")
-    return picked.mapInArrow(rows, "doc_id long, kept binary, spans array<struct<start:long,end:long>>")
+            kept, spans = _cut(b, window)
+            ids = [None if doc == NULL_ID else doc for doc in b["doc"].to_pylist()]
+            runs = [[{"start": s, "end": e} for s, e in cut] for cut in spans]
+            yield _arrow([ids, kept, runs], ["doc_id", "kept", "spans"], [pa.int64(), pa.binary(), kind])
+
+    marked = _with_places(docs.select("doc_id", "text"), window).drop("row")
+    return marked.mapInArrow(rows, "doc_id long, kept binary, spans array<struct<start:long,end:long>>")
+
+
+def deduplicated(docs: DataFrame, window: int = 100) -> DataFrame:
+    """The documents, with all their columns, and the repeats cut out of their texts.
+
+    A letter that loses some of its bytes goes as a whole; a text of which nothing is left is empty.
+    """
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            kept, _ = _cut(b, window)
+            texts = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())
+            yield pa.RecordBatch.from_arrays([b["row"], texts], ["row", "kept"])
+
+    marked = _with_places(docs, window).drop("doc")
+    kind = marked.schema["row"].dataType.simpleString()
+    cut = marked.mapInArrow(rows, f"row {kind}, kept string")
+    return cut.select(*((F.col("kept") if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def _joined(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:

@@ -28,7 +28,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from martlens.llm.common import durable, fold, labelled_sample, whole_texts
+from martlens.llm.common import durable, fold, labelled_sample, where_texts, whole_texts
 
 #: Labelled documents learned from at most, by class (0: ordinary, 1: toxic).
 SAMPLE = {0: 8000, 1: 4000}
@@ -200,15 +200,26 @@ def _histograms(sample: DataFrame, ordinary: bytes, toxic: bytes) -> DataFrame:
     return sample.select("label", "text").mapInArrow(rows, "label int, cells binary")
 
 
+def scores(model: Model, texts: list[str]) -> np.ndarray:
+    """0 to 1 for each text, and 0.5 at the threshold."""
+    if not model.toxic:
+        return np.zeros(len(texts))
+    scale = _scale(model.ordinary, model.toxic)
+    over = np.array([float(scale.cells(t) @ model.odds) for t in texts], np.float64) - model.threshold
+    return 1 / (1 + np.exp(-np.clip(over, -500, 500)))
+
+
 def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score): 0 to 1, and 0.5 at the threshold."""
+    """(doc_id, score)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scale = _scale(model.ordinary, model.toxic) if model.toxic else None
         for b in batches:
-            sums = [float(scale.cells(t) @ model.odds) if scale else 0.0 for t in b["text"].to_pylist()]
-            over = np.clip(np.array(sums, np.float64) - model.threshold, -500, 500)
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(1 / (1 + np.exp(-over)))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(scores(model, b["text"].to_pylist()))], ["doc_id", "score"])
 
     texts = whole_texts(docs)
     return texts.mapInArrow(rows, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, score double")
+
+
+def without_toxic(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
+    """The documents, with all their columns, that score below `limit`."""
+    return where_texts(docs, lambda texts: scores(model, texts) < limit)
