@@ -11,6 +11,9 @@ SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{
 
 Name = Column | str
 
+#: Seconds since 1970 at the end of the year 9999.
+LAST_SECOND = 253_402_300_800
+
 
 def col(c: Name) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -81,9 +84,10 @@ def id_list(c: Name) -> Column:
 
 
 def moment(c: Name, fallback: Column) -> Column:
-    """Text holding epoch seconds or an ISO-8601 time to a UTC timestamp."""
+    """Text holding epoch seconds or an ISO-8601 time to a UTC timestamp; past the year 9999 it is no time."""
     text = col(c)
-    epoch = F.timestamp_seconds(text.try_cast("double"))
+    seconds = text.try_cast("double")
+    epoch = F.when(F.abs(seconds) < LAST_SECOND, F.timestamp_seconds(seconds))
     iso = text.try_cast("timestamp")
     numeric = text.rlike(r"^-?\d+(\.\d+)?$")
     return F.coalesce(F.when(numeric, epoch).otherwise(iso), fallback)

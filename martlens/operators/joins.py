@@ -7,8 +7,12 @@ AQE can split; where the result is aggregated, children are pre-aggregated inste
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martlens.session import work_dir
+
 PRICE_COLUMNS = ("price", "original_price", "discount_percent", "stock_available")
 
 
@@ -92,10 +96,12 @@ def parent_names(categories: DataFrame) -> DataFrame:
     )
 
 
-def category_paths(categories: DataFrame, max_depth: int = 8) -> DataFrame:
-    """Full path of each category from its root, by at most `max_depth` joins up the tree.
+def category_paths(categories: DataFrame) -> DataFrame:
+    """Full path of each category from its root, however deep it lies.
 
-    A category whose chain is longer or circular has `complete` false.
+    All open categories climb one step at a time until none is open; every step is written to the working
+    folder, so the plan stays short.  A category whose chain runs into a circle has `complete` false; its
+    path then ends where the circle closes.  A missing parent ends a path like a root does.
     """
     parents = categories.select(
         F.col("category_id").alias("_up"),
@@ -108,11 +114,28 @@ def category_paths(categories: DataFrame, max_depth: int = 8) -> DataFrame:
         F.lit(1).alias("depth"),
         F.col("parent_id").alias("_at"),
     )
-    for _ in range(max_depth - 1):
-        paths = paths.join(parents, F.col("_at") == F.col("_up"), "left").select(
+    spark, folder = categories.sparkSession, work_dir(categories.sparkSession, "paths")
+    closed, circles, step = [], None, 0
+    while True:
+        # a chain that is back at its own category, or at one known to lie on a circle, never ends
+        on_circle = F.col("_at") == F.col("category_id")
+        if circles is not None:
+            paths = paths.join(circles, F.col("_at") == F.col("_circle"), "left")
+            on_circle = on_circle | F.col("_circle").isNotNull()
+        state = F.when(F.col("_at").isNull(), "root").when(on_circle, "circle").otherwise("open")
+        paths.select("category_id", "path", "depth", "_at", state.alias("_state")).write.parquet(f"{folder}/{step}")
+        now = spark.read.parquet(f"{folder}/{step}")
+        ended = now.filter("_state <> 'open'")
+        closed.append(ended.select("category_id", "path", "depth", (F.col("_state") == "root").alias("complete")))
+        found = ended.filter("_state = 'circle'").select(F.col("category_id").alias("_circle"))
+        circles = found if circles is None else circles.unionByName(found)
+        todo = now.filter("_state = 'open'")
+        if todo.isEmpty():
+            return reduce(DataFrame.unionByName, closed)
+        paths = todo.join(parents, F.col("_at") == F.col("_up"), "left").select(
             "category_id",
             F.concat(F.coalesce(F.concat("_name", F.lit(" / ")), F.lit("")), "path").alias("path"),
             (F.col("depth") + F.col("_up").isNotNull().cast("int")).alias("depth"),
             F.col("_next").alias("_at"),
         )
-    return paths.select("category_id", "path", "depth", F.col("_at").isNull().alias("complete"))
+        step += 1

@@ -96,10 +96,13 @@ def score_with_model(
                 chunk = asked[start : start + batch_size]
                 try:
                     answers = model.predict([texts.iloc[i] for i in chunk])
+                    read = [(labels.get(a.lower(), "neutral"), round(float(c), 4)) for a, c in answers]
+                    if len(read) != len(chunk):
+                        continue  # which answer belongs to which text is unknown
                 except Exception:  # a failing batch must not lose its rows
                     continue
-                for i, (label, confidence) in zip(chunk, answers, strict=True):
-                    out[i] = (labels.get(label.lower(), "neutral"), round(float(confidence), 4))
+                for i, answer in zip(chunk, read, strict=True):
+                    out[i] = answer
             yield pd.DataFrame(out, columns=["sentiment", "confidence"])
 
     scored = X.once(rows.withColumn("_asked", score(text)), "_label", F.col("_asked"))

@@ -78,22 +78,19 @@ def newest_products(products: DataFrame, n: int = 10) -> DataFrame:
 
 
 def newest_reviews(reviews: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
-    """Newest reviews with the product name; the limit comes before the join.
+    """Newest reviews of known products, with the product name.
 
-    Every review belongs to a product, so limiting first gives the same rows.
+    Reviews without a product leave before the limit; names are looked up for n rows only.
     """
-    latest = newest(
-        reviews.select("review_id", "product_id", "user_name", "rating", "comment", "created_at"),
-        "created_at",
-        "review_id",
-        n,
-    )
+    wanted = reviews.select("review_id", "product_id", "user_name", "rating", "comment", "created_at")
+    latest = newest(joins.with_parent(wanted, products, "product_id"), "created_at", "review_id", n)
     names = products.select("product_id", F.col("name").alias("product_name"))
     return latest.join(names, "product_id")
 
 
 def newest_scored(reviews: DataFrame, sentiment: DataFrame, n: int = 10) -> DataFrame:
-    latest = newest(sentiment, "processed_at", "review_id", n)
+    """Newest scored reviews; sentiment without a review leaves before the limit."""
+    latest = newest(joins.with_parent(sentiment, reviews, "review_id"), "processed_at", "review_id", n)
     return reviews.select("review_id", "rating", "comment").join(latest, "review_id")
 
 

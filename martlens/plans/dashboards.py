@@ -84,16 +84,17 @@ def highly_rated(products: DataFrame, at_least: float = 4.5) -> DataFrame:
 
 
 def biggest_discounts(products: DataFrame, prices: DataFrame, n: int = 20) -> DataFrame:
-    """Products with the largest discount on their latest price."""
+    """Known products with the largest discount on their latest price."""
     latest = joins.latest_price(prices.select("product_id", "price", "original_price", "discount_percent", "timestamp"))
-    best = latest.orderBy(F.desc_nulls_last("discount_percent"), "product_id").limit(n)
+    best = joins.with_parent(latest, products, "product_id").orderBy(F.desc_nulls_last("discount_percent"), "product_id").limit(n)
     return best.join(products.select("product_id", "name"), "product_id").select(
         "product_id", "name", "price", "original_price", "discount_percent"
     )
 
 
 def most_volatile(products: DataFrame, prices: DataFrame, n: int = 20) -> DataFrame:
-    best = P.fluctuation(prices).orderBy(F.desc_nulls_last("span"), "product_id").limit(n)
+    known = joins.with_parent(P.fluctuation(prices), products, "product_id")
+    best = known.orderBy(F.desc_nulls_last("span"), "product_id").limit(n)
     return best.join(products.select("product_id", "name"), "product_id")
 
 
@@ -172,7 +173,8 @@ def declining_sentiment(products: DataFrame, reviews: DataFrame, sentiment: Data
 
 
 def most_reviewed(products: DataFrame, reviews: DataFrame, n: int = 10) -> DataFrame:
-    best = aggregates.review_counts(reviews).orderBy(F.desc("n_reviews"), "product_id").limit(n)
+    known = joins.with_parent(aggregates.review_counts(reviews), products, "product_id")
+    best = known.orderBy(F.desc("n_reviews"), "product_id").limit(n)
     return best.join(products.select("product_id", "name"), "product_id")
 
 
@@ -256,7 +258,7 @@ def trending(products: DataFrame, reviews: DataFrame, as_of: Column, days: int =
     )
     growth = F.round((F.col("recent") + 1) / (F.col("before") + 1), 4)
     best = (
-        recent.filter("recent > 0")
+        joins.with_parent(recent.filter("recent > 0"), products, "product_id")
         .withColumn("growth", growth)
         .orderBy(F.desc("growth"), F.desc("recent"), "product_id")
         .limit(n)

@@ -170,7 +170,27 @@ WITH RECURSIVE walk AS (
 SELECT category_id, path, depth, true AS complete FROM walk""",
 )
 def category_paths(m: SampleModel):
-    return J.category_paths(m.category_tree, max_depth=4)
+    return J.category_paths(m.category_tree)
+
+
+@query(
+    "J12",
+    """
+WITH RECURSIVE tree AS (
+  SELECT p_partkey AS category_id, p_brand AS category_name,
+         CASE WHEN p_partkey % 12 > 0 THEN p_partkey - 1 WHEN p_partkey % 60 = 48 THEN p_partkey + 11 END AS parent_id
+  FROM part),
+walk AS (
+  SELECT category_id, category_name AS path, 1 AS depth, parent_id AS above FROM tree
+  UNION ALL
+  SELECT w.category_id, t.category_name || ' / ' || path, depth + 1, t.parent_id
+  FROM walk w JOIN tree t ON t.category_id = w.above WHERE w.above <> w.category_id)
+SELECT category_id, arg_max(path, depth) AS path, max(depth) AS depth,
+       coalesce(arg_max(above, depth) <> category_id, true) AS complete
+FROM (SELECT category_id, path, depth, coalesce(above, -1) AS above FROM walk) GROUP BY category_id""",
+)
+def deep_category_paths(m: SampleModel):
+    return J.category_paths(m.deep_tree)
 
 
 # aggregations ------------------------------------------------------------------------------

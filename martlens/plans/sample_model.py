@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from martlens.session import spread
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 SITE = "https://shop.example/"
 # The stored times have no zone; they are read as such and taken as UTC.
@@ -58,25 +56,25 @@ class SampleModel:
             self._scans[name] = df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless})
         return self._scans[name]
 
-    @cached_property
-    def lines(self) -> DataFrame:
-        """Lines for the price history, which is grouped by part and by part and day."""
-        return spread(self.raw("lineitem"), "l_partkey")
-
-    @cached_property
-    def category_names(self) -> Column:
-        """All product types in order; a catalogue has few of them, here six."""
-        return self.raw("part").select(F.array_sort(F.collect_set("p_type"))).scalar()
-
     @cached_property
     def categories(self) -> DataFrame:
+        """One row per product type, numbered in order; only the distinct names are sorted."""
         names = self.raw("part").select("p_type").distinct()
         return names.select(
-            F.array_position(self.category_names, F.col("p_type")).cast("int").alias("category_id"),
+            F.row_number().over(Window.orderBy("p_type")).alias("category_id"),
             F.col("p_type").alias("category_name"),
             F.lit(None).cast("int").alias("parent_id"),
         )
 
+    @cached_property
+    def deep_tree(self) -> DataFrame:
+        """Chains of parts twelve deep, some circular: a tree whose depth is not known beforehand."""
+        key = F.col("p_partkey")
+        up = F.when(key % 12 > 0, key - 1).when(key % 60 == 48, key + 11)
+        return self.raw("part").select(
+            key.alias("category_id"), F.col("p_brand").alias("category_name"), up.alias("parent_id")
+        )
+
     @cached_property
     def category_tree(self) -> DataFrame:
         roots = self.raw("region").select(
@@ -108,7 +106,7 @@ class SampleModel:
         price = F.col("l_extendedprice").cast("decimal(12,2)")
         percent = F.round(F.col("l_discount") * 100).cast("int")
         return (
-            self.lines
+            self.raw("lineitem")
             .groupBy(F.col("l_partkey").alias("product_id"), F.col("l_shipdate").alias("timestamp"))
             .agg(
                 F.max(price).alias("price"),
@@ -127,19 +125,14 @@ class SampleModel:
 
     @cached_property
     def parts(self) -> DataFrame:
-        """Parts for building messages, which is work on every row."""
-        return spread(self.raw("part"), "p_partkey")
+        """Parts for building messages."""
+        return self.raw("part")
 
     @cached_property
     def review_facts(self) -> DataFrame:
         """Reviews without their text, which most reports never read."""
         return self._facts(self.raw("events"))
 
-    @cached_property
-    def message_facts(self) -> DataFrame:
-        """The same for building messages."""
-        return self._facts(spread(self.raw("events"), "event_id"))
-
     def _facts(self, events: DataFrame) -> DataFrame:
         key = F.col("event_id")
         return events.select(
@@ -156,11 +149,11 @@ class SampleModel:
 
     @cached_property
     def documents(self) -> DataFrame:
-        return spread(self.raw("documents"), "doc_id")
+        return self.raw("documents")
 
     @cached_property
     def pages(self) -> DataFrame:
-        return spread(self.raw("pages"), "page_id")
+        return self.raw("pages")
 
     @cached_property
     def reviews(self) -> DataFrame:
@@ -201,7 +194,7 @@ class SampleModel:
     @cached_property
     def products(self) -> DataFrame:
         sold = (
-            self.lines
+            self.raw("lineitem")
             .groupBy(F.col("l_partkey").alias("product_id"))
             .agg(
                 F.sum("l_quantity").cast("int").alias("sold"),
@@ -219,11 +212,12 @@ class SampleModel:
             .withColumnRenamed("p_partkey", "product_id")
             .join(sold, "product_id", "left")
             .join(rated, "product_id", "left")
+            .join(self.categories.select("category_id", F.col("category_name").alias("p_type")), "p_type", "left")
             .select(
                 "product_id",
                 F.col("p_name").alias("name"),
                 (key % n_rows(self.raw("supplier"))).alias("shop_id"),
-                F.array_position(self.category_names, F.col("p_type")).cast("int").alias("category_id"),
+                "category_id",
                 F.concat(F.lit(SITE + "p"), key).alias("url"),
                 F.col("p_brand").alias("short_description"),
                 (F.col("stars").cast("decimal(20,4)") / F.col("review_count"))

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martlens.operators import prices
 
-# Writers per partition, so that a period with most of the rows is not one task's work.
-FILES_PER_PERIOD = 8
 
 def hourly_rollup_stream(stream: DataFrame, lateness: str = "3 days") -> DataFrame:
     """The hourly price rollup as a stream.
@@ -51,10 +49,13 @@ def write_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQ
 
 
 def write_rollup(rollup: DataFrame, path: str, unit: str = "day", mode: str = "static") -> None:
-    """Store a rollup in one partition per calendar unit; mode="dynamic" replaces only those it has."""
+    """Store a rollup in one partition per calendar unit; mode="dynamic" replaces only those it has.
+
+    Rows are rebalanced by period: AQE splits a period that holds most of them and merges small ones.
+    """
     (
         rollup.withColumn("bucket_period", F.to_date(F.date_trunc(unit, "bucket")))
-        .repartition("bucket_period", F.pmod(F.xxhash64("product_id"), F.lit(FILES_PER_PERIOD)))
+        .hint("rebalance", F.col("bucket_period"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
         .partitionBy("bucket_period")
@@ -66,7 +67,8 @@ def refresh_stored(prices_df: DataFrame, path: str, as_of: Column, unit: str = "
     """The incremental refresh on disk.
 
     Only the partitions the refresh range touches are read and rewritten; a partition that the
-    range covers in part keeps its other buckets.
+    range covers in part keeps its other buckets.  A partition that comes out empty is removed after
+    the write, which by itself only replaces partitions that still have rows.
     """
     low, high = prices.refresh_range(as_of, **offsets)
     first, last = F.date_trunc(unit, low), F.date_trunc(unit, high)
@@ -74,4 +76,15 @@ def refresh_stored(prices_df: DataFrame, path: str, as_of: Column, unit: str = "
     in_reach = (F.col("bucket_period") >= first) & (F.col("bucket_period") <= last)
     touched = stored.filter(in_reach).drop("bucket_period")
     fresh = prices.refresh_rollup(touched, prices_df, as_of, **offsets)
+    period = F.to_date(F.date_trunc(unit, "bucket")).alias("bucket_period")
+    # no more rows than the range has periods
+    emptied = touched.select(period).distinct().exceptAll(fresh.select(period).distinct())
+    gone = [str(r.bucket_period) for r in emptied.toLocalIterator()]
     write_rollup(fresh, path, unit, mode="dynamic")
+    for day in gone:
+        _remove(prices_df.sparkSession, f"{path}/bucket_period={day}")
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from martlens.operators import crawl as C
 
-# id, parent, priority, pages
+# id, parent, priority, pages: an invented tree of kitchen goods with ties and one unset priority among the leaves
 SEEDS = [
-    (8322, None, 10, 50), (1789, 8322, 9, 50), (1846, None, 9, 50), (1801, 1846, 9, 50), (1795, 8322, 8, 30),
-    (8594, None, 8, 100), (871, 8594, 7, 80), (316, 8594, 7, 80), (1882, None, 6, 40), (2549, None, 5, 40),
-    (1686, None, 5, 40),
+    (100, None, 5, 20), (110, 100, 7, 12), (120, 100, 7, 12), (200, None, 3, 9), (210, 200, 3, 6), (211, 210, 1, 4),
+    (300, None, 2, 2),
 ]
 COLUMNS = (
     "category_id int, parent_category_id int, priority int, max_pages int, is_active boolean, crawl_status string, "
@@ -33,55 +32,57 @@ def act(spark, queue, *actions):
 
 
 def test_seeds(queue):
-    assert queue.count() == 11
-    assert C.next_category(queue).first().category_id == 8322
-    assert C.next_pending(queue).first().category_id == 8322
-    assert C.status_counts(queue).first().pending == 11
+    assert queue.count() == 7
+    assert C.next_category(queue).first().category_id == 110  # of equal priorities the smaller id
+    assert C.next_pending(queue).first().category_id == 110
+    assert C.status_counts(queue).first().pending == 7
 
 
 def test_adding_twice_and_new(spark, queue):
-    new = spark.createDataFrame([(8322, 1), (42, 2)], "category_id int, priority int")
+    new = spark.createDataFrame([(110, 1), (400, 2)], "category_id int, priority int")
     got = {r.category_id: r for r in C.add_categories(queue, new).collect()}
-    assert len(got) == 12 and got[8322].priority == 10
-    assert (got[42].crawl_status, got[42].is_active) == ("pending", True)
+    assert len(got) == 8 and got[110].priority == 7
+    assert (got[400].crawl_status, got[400].is_active) == ("pending", True)
 
 
 def test_actions(spark, queue):
     moved = act(
         spark,
         queue,
-        (8322, "status", "completed", None),
-        (1789, "status", "failed", "timeout"),
-        (1846, "deactivate", None, None),
-        (8322, "reset", None, None),
-        (1801, "status", "completed", None),
-        (1846, "activate", None, None),
-        (1795, "deactivate", None, None),
-        (777, "reset", None, None),
+        (110, "status", "completed", None),
+        (120, "status", "failed", "timeout"),
+        (100, "deactivate", None, None),
+        (110, "reset", None, None),
+        (210, "status", "completed", None),
+        (100, "activate", None, None),
+        (300, "deactivate", None, None),
+        (999, "reset", None, None),
     )
     rows = {r.category_id: r for r in moved.collect()}
-    assert len(rows) == 11
-    r = rows[8322]
+    assert len(rows) == 7
+    r = rows[110]
     assert (r.crawl_status, r.last_crawled_page, r.total_products_crawled, r.last_crawled_at) == ("pending", 0, 0, None)
-    assert (rows[1789].crawl_status, rows[1789].notes) == ("failed", "Error: timeout")
-    assert rows[1846].is_active and not rows[1795].is_active
-    assert rows[1801].notes is None and rows[1801].last_crawled_at is not None
-    assert C.next_category(moved).first().category_id == 8322
-    assert [r.category_id for r in C.failed(moved).collect()] == [1789]
+    assert (rows[120].crawl_status, rows[120].notes) == ("failed", "Error: timeout")
+    assert rows[100].is_active and not rows[300].is_active
+    assert rows[210].notes is None and rows[210].last_crawled_at is not None
+    assert C.next_category(moved).first().category_id == 110
+    assert [r.category_id for r in C.failed(moved).collect()] == [120]
 
 
 def test_completed_are_repeated_when_nothing_else_is_left(spark, queue):
+    # crawled the later, the smaller the id; 211 was never crawled
+    crawled = F.timestamp_add("DAY", -F.col("category_id"), F.lit("2024-01-01").cast("timestamp"))
     done = queue.withColumn("crawl_status", F.lit("completed")).withColumn(
-        "last_crawled_at", F.when(F.col("category_id") != 316, F.timestamp_add("DAY", F.col("priority"), F.lit("2024-01-01").cast("timestamp")))
+        "last_crawled_at", F.when(F.col("category_id") != 211, crawled)
     )
-    assert C.next_category(done).first().category_id == 316  # never crawled comes first
-    assert C.next_category(done.filter("category_id != 316")).first().category_id == 1686
+    assert C.next_category(done).first().category_id == 211  # never crawled comes first
+    assert C.next_category(done.filter("category_id != 211")).first().category_id == 300
     assert C.next_category(done.limit(0)).count() == 0
 
 
 def test_null_priority_comes_first_as_in_the_store(spark, queue):
-    with_null = queue.withColumn("priority", F.when(F.col("category_id") != 871, F.col("priority")))
-    assert C.next_pending(with_null).first().category_id == 871
+    with_null = queue.withColumn("priority", F.when(F.col("category_id") != 211, F.col("priority")))
+    assert C.next_pending(with_null).first().category_id == 211
 
 
 def test_resume_page(spark):
