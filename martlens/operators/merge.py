@@ -217,9 +217,9 @@ def ensure_categories(categories: DataFrame, messages: DataFrame) -> DataFrame:
 
 
 def first_wins(rows: DataFrame, key: str, seq: str = "seq") -> DataFrame:
-    """The earliest row of each key."""
+    """The earliest row of each key; rows with the same number are told apart by their other columns."""
     others = [c for c in rows.columns if c not in (key, seq)]
-    first = rows.groupBy(key).agg(F.min_by(F.struct(seq, *others), seq).alias("_first"))
+    first = rows.groupBy(key).agg(F.min(F.struct(seq, *others)).alias("_first"))
     return first.select(key, "_first.*").select(*rows.columns)
 
 

@@ -186,3 +186,51 @@ UNION ALL SELECT 'reviews', (SELECT count(*) FROM ({REVIEW_DETAIL_SQL}) r WHERE
 )
 def stage_metrics(m: SampleModel):
     return _stages(m).metrics.current()
+
+
+# product pages as they land: every third is cut off, every seventh has no list, every eleventh a bad key
+_PAGE_KIND = """CASE WHEN k % 3 = 0 THEN 'not a JSON object' WHEN k % 11 = 0 THEN 'key is not a product id'
+  WHEN k % 7 = 0 THEN 'no list of reviews' END"""
+
+
+def _page_stage(m: SampleModel) -> Stages:
+    """Landed review pages, some of which cannot be read, through their stage."""
+    stages = Stages(m.spark, work_dir(m.spark, "pages")).create()
+    k = F.col("p_partkey")
+    reviews = ",".join(f'{{"id": %d{i}, "rating": 5, "content": "ok"}}' for i in (1, 2))
+    data = F.when(k % 7 == 0, "null").otherwise(F.format_string(f"[{reviews}]", k, k))
+    body = F.concat(F.lit('{"data": '), data, F.lit(', "paging": {"last_page": 1}}'))
+    cut = F.when(k % 3 == 0, F.substring(body, 1, 12)).otherwise(body)
+    key = F.when(k % 11 == 0, "abc").otherwise(k.cast("string"))
+    _land(m.raw("part").select(k.alias("seq"), key.alias("key"), cut.alias("value")), f"{stages.root}/in/pages")
+    stages.run(messages.read_stream(m.spark, "json", {}, f"{stages.root}/in/pages"), stages.on_review_pages, "pages")
+    return stages
+
+
+@query(
+    "T7 P1",
+    f"""
+WITH pages AS (SELECT k, {_PAGE_KIND} AS reason FROM (SELECT p_partkey AS k FROM part))
+SELECT 'sent' AS outcome, k AS product_id, CAST(k || i AS VARCHAR) AS key FROM pages, (VALUES ('1'), ('2')) v(i) WHERE reason IS NULL
+UNION ALL SELECT reason, CASE WHEN reason <> 'not a JSON object' THEN k END, NULL FROM pages WHERE reason IS NOT NULL""",
+)
+def staged_review_pages(m: SampleModel):
+    """Review messages sent on, and refused pages with what can be read from their kept body."""
+    stages = _page_stage(m)
+    product = F.get_json_object("value", "$.product_id").cast("bigint")
+    sent = stages.topics["review-detail"].current().select(F.lit("sent").alias("outcome"), product.alias("product_id"), "key")
+    lost = stages.rejects.current()
+    readable = F.col("reason") != "not a JSON object"
+    return sent.unionByName(
+        lost.select(F.col("reason").alias("outcome"), F.when(readable, F.col("seq")).alias("product_id"), F.lit(None).cast("string").alias("key"))
+    )
+
+
+@query(
+    "T9",
+    f"""
+WITH pages AS (SELECT {_PAGE_KIND} AS reason FROM (SELECT p_partkey AS k FROM part))
+SELECT 'review_pages' AS stage, count(*) FILTER (reason IS NULL) AS processed, count(reason) AS failed FROM pages""",
+)
+def review_page_metrics(m: SampleModel):
+    return _page_stage(m).metrics.current()

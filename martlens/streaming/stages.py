@@ -2,7 +2,7 @@
 
 Each stage handles one micro-batch with joins instead of lookups and writes everything the
 batch causes under the batch's own id, so a replay after a crash rewrites the same rows.
-Rows a stage refuses go to the rejects table with a reason.  Reviews, orders and sentiments
+Rows a stage refuses go to the rejects table with a reason and their whole body, so they can be replayed.  Reviews, orders and sentiments
 that repeat in a later batch are settled when the tables are read (the first wins), so a batch
 costs what the batch holds, not what the tables hold.
 """
@@ -57,6 +57,11 @@ def _place(batch_id: int) -> Column:
     return F.struct(batch.alias("seq"), F.lit(0).alias("stage"), batch.alias("batch"))
 
 
+def _unreadable(body: str) -> Column:
+    """Whether a message is anything but a JSON object."""
+    return F.json_object_keys(body).isNull()
+
+
 def _shorten_products(log: DataFrame) -> DataFrame:
     """One update per product that sets the last value of every column that was ever set."""
     columns = [c for c in log.columns if c not in ("product_id", "present", "order_at")]
@@ -175,13 +180,13 @@ class Stages:
     def on_products(self, batch: DataFrame, batch_id: int) -> None:
         """Flat product items: products, prices, placeholder shops and categories, detail requests."""
         stage = "products"
-        read = messages.json_messages(batch, schemas.PRODUCT_MESSAGE)
+        read = messages.json_messages(batch.withColumn("body", F.col("value")), schemas.PRODUCT_MESSAGE)
         checked = quality.with_violations(read, quality.PRODUCT)
         broken = F.when(F.size("violations") > 0, F.array_join("violations", ","))
         reason = F.when(F.col("corrupt").isNotNull(), "not a JSON object").otherwise(broken)
         judged = (
             checked.withColumn("reason", reason)
-            .withColumn("value", F.coalesce("corrupt", "key"))
+            .withColumnRenamed("body", "value")
             .drop("violations", "corrupt")
             .persist()
         )
@@ -206,13 +211,12 @@ class Stages:
     def on_details(self, batch: DataFrame, batch_id: int) -> None:
         """Landed detail payloads: enrich products, name shops, ask for reviews."""
         stage = "details"
-        found = parse.product_details(batch.select("seq", "value"))
+        found = parse.product_details(batch.select("seq", F.col("value").alias("body"), "value"))
         has_id = F.coalesce(F.col("product_id"), F.lit(0)) != 0
-        judged = found.withColumns(
-            {"reason": F.when(~has_id, "missing product_id"), "value": F.lit(None).cast("string")}
-        ).persist()
+        reason = F.when(_unreadable("body"), "not a JSON object").when(~has_id, "missing product_id")
+        judged = found.withColumn("reason", reason).withColumnRenamed("body", "value").persist()
         ok = judged.filter("reason IS NULL").drop("reason", "value")
-        values = [c for c in found.columns if c not in ("seq", "product_id", "shop_name")]
+        values = [c for c in found.columns if c not in ("seq", "body", "product_id", "shop_name")]
         sets = F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.lit(c)) for c in values]))
         order = _order(1, batch_id).alias("order_at")
         self.products.append(ok.select("product_id", *values, sets.alias("present"), order), stage, batch_id)
@@ -226,18 +230,32 @@ class Stages:
         judged.unpersist()
 
     def on_review_pages(self, batch: DataFrame, batch_id: int) -> None:
-        """Landed review pages (key = product id): one review message per element."""
+        """Landed review pages (key = product id): one review message per element.
+
+        A page is judged before it is taken apart, so one that cannot be read is refused, not lost.
+        """
         stage = "review_pages"
-        elements = parse.page_elements(batch, "value", ("seq", "key"))
+        read = messages.json_messages(batch.withColumn("body", F.col("value")), schemas.PAGE)
+        product = F.col("key").try_cast("bigint")
+        reason = (
+            F.when(F.col("corrupt").isNotNull(), "not a JSON object")
+            .when(product.isNull(), "key is not a product id")
+            .when(F.col("data").isNull(), "no list of reviews")
+        )
+        judged = read.select("seq", "key", F.col("body").alias("value"), reason.alias("reason"), "data").persist()
+        elements = judged.filter("reason IS NULL").select(
+            "seq", "key", F.posexplode("data").alias("position", "element")
+        )
         review = F.from_json("element", schemas.REVIEW_DETAIL)
-        stamped = elements.withColumn("_r", review.withField("product_id", F.col("key").cast("bigint")))
+        stamped = elements.withColumn("_r", review.withField("product_id", product))
         out = stamped.select(
             (F.col("seq") + F.col("position")).alias("seq"),
             F.col("_r.id").cast("string").alias("key"),
             F.to_json("_r", {"ignoreNullFields": "false"}).alias("value"),
         )
         self.topics["review-detail"].append(out, stage, batch_id)
-        self._finish(stage, batch_id, out.withColumn("reason", F.lit(None).cast("string")))
+        self._finish(stage, batch_id, judged)
+        judged.unpersist()
 
     def on_reviews(self, batch: DataFrame, batch_id: int) -> None:
         """Full reviews: store those of known products, then their orders and sentiment.
@@ -247,19 +265,21 @@ class Stages:
         """
         stage = "reviews"
         now = F.current_timestamp()
-        read = parse.review_details(batch.select("seq", "value"), now)
+        read = parse.review_details(batch.select("seq", F.col("value").alias("body"), "value"), now)
         products = self.products.log().select("product_id")
         known = products.distinct().withColumn("_known", F.lit(True))
         falsy = lambda c: F.coalesce(F.col(c), F.lit(0)) == 0
         reason = (
-            F.when(falsy("review_id"), "missing review_id")
+            F.when(_unreadable("body"), "not a JSON object")
+            .when(falsy("review_id"), "missing review_id")
             .when(falsy("product_id"), "missing product_id")
             .when(F.col("_known").isNull(), "unknown product")
             .when(~F.coalesce(F.col("rating").between(1, 5), F.lit(False)), "rating out of range")
         )
         judged = (
             read.join(known, "product_id", "left")
-            .withColumns({"reason": reason, "value": F.col("review_id").cast("string")})
+            .withColumn("reason", reason)
+            .withColumnRenamed("body", "value")
             .drop("_known")
             .persist()
         )

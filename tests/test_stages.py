@@ -86,8 +86,8 @@ def test_reviews_in_two_batches_first_wins_and_replay_changes_nothing(spark, sta
     assert sorted(orders) == [1, 4, 5] and float(orders[4].total_amount) == 102.0
     labels = {r.review_id: r.sentiment for r in stages.sentiment.current().collect()}
     assert labels == {1: "positive", 4: "neutral", 5: "positive"}
-    reasons = sorted((r.value, r.reason) for r in stages.rejects.current().filter("stage = 'reviews'").collect())
-    assert reasons == [("2", "rating out of range"), ("3", "unknown product")]
+    reasons = sorted((json.loads(r.value)["id"], r.reason) for r in stages.rejects.current().filter("stage = 'reviews'").collect())
+    assert reasons == [(2, "rating out of range"), (3, "unknown product")]
 
     before = snapshot(stages)
     # the second batch again, as after a crash between its writes and its commit
@@ -105,6 +105,28 @@ def test_review_pages(spark, stages):
     assert sorted((r.review_id, r.product_id) for r in stages.reviews.current().collect()) == [(8, 2), (9, 2)]
 
 
+def test_no_page_is_lost(spark, stages):
+    page = {"data": [review(8, None)], "paging": {"last_page": 1}}
+    bad = [(41, 2, '{"data": ['), (42, 2, {"data": None}), (43, "abc", page), (44, 2, "[]")]
+    land(spark, stages.root, "pages", [(40, 2, page), *bad])
+    stages.run(stream(spark, stages.root, "pages"), stages.on_review_pages, "pages")
+    refused = {r.seq: (r.reason, r.value) for r in stages.rejects.current().filter("stage = 'review_pages'").collect()}
+    assert {k: v[0] for k, v in refused.items()} == {
+        41: "not a JSON object", 42: "no list of reviews", 43: "key is not a product id", 44: "not a JSON object",
+    }
+    assert refused[41][1] == '{"data": [' and json.loads(refused[43][1]) == page
+    counts = stages.metrics.current().filter("stage = 'review_pages'").first()
+    assert (counts.processed, counts.failed) == (1, 4)
+
+
+def test_unreadable_messages_keep_their_body(spark, stages):
+    for name, stage in (("details", stages.on_details), ("reviews", stages.on_reviews)):
+        land(spark, stages.root, name, [(50, 1, "{cut")])
+        stages.run(stream(spark, stages.root, name), stage, name)
+        row = stages.rejects.current().filter(F.col("stage") == name).first()
+        assert (row.value, row.reason) == ("{cut", "not a JSON object")
+
+
 def test_compaction_of_every_kind_of_log(spark, stages, tmp_path):
     root = stages.root
     land(spark, root, "products", [(12, 1, product(1, name="again", rating=None)), (13, 1, product(1, price=7))])
