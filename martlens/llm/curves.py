@@ -90,7 +90,7 @@ def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     odd = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     sized = sized.where(~odd & F.exists("v", lambda x: x != 0))
     common = sized.groupBy(F.size("v").alias("n")).count().orderBy(F.col("count").desc(), "n").first()
-    length = common["n"] if common else 0
+    length = common["n"] if common else 1
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

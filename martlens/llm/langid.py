@@ -94,9 +94,10 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     drawn = drawn.sort_by([("lang", "ascending"), ("id", "ascending")])  # the same model whatever the order of tasks
     names = drawn["lang"].to_pylist()
     languages = tuple(sorted(set(names)))
-    codes = codewords(len(languages))
     if len(languages) < 2:
-        return Model(languages, codes, np.zeros((1, 0), np.float32), np.zeros(0, np.float32))
+        none = np.zeros((0, 0), np.float32)
+        return Model(languages, none, none, none)
+    codes = codewords(len(languages))
     x = np.stack([np.frombuffer(b, np.float16) for b in drawn["x"].to_pylist()]).astype(np.float32)
     x = np.hstack([x, np.ones((len(x), 1), np.float32)])
     of = np.searchsorted(languages, names)

@@ -20,7 +20,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -90,15 +89,17 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
 def _packed(rows: DataFrame, capacity: int) -> DataFrame:
     """Pack each group by itself; sequences are numbered within the group, `room` is what they leave."""
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
-        lengths = pdf["length"].to_numpy()
+    def pack(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
+        lengths = group["length"].to_numpy()
         bins, places = sum_of_squares(lengths, capacity)
-        filled = np.bincount(bins, weights=lengths).astype(np.int64)
-        return pdf.assign(bin=bins, offset=places, room=capacity - filled[bins])
+        room = capacity - np.bincount(bins, weights=lengths).astype(np.int64)[bins]
+        for name, column in (("bin", bins), ("offset", places), ("room", room)):
+            group = group.append_column(name, pa.array(column, pa.int64()))
+        return group
 
     fields = f"{rows.schema.simpleString()[7:-1]},bin:long,offset:long,room:long"
-    return rows.groupBy("group").applyInPandas(pack, fields)
+    return rows.groupBy("group").applyInArrow(pack, fields)
 
 
 def packed(docs: DataFrame, path: str, capacity: int = 4096, closing_id: int = 1) -> DataFrame:

@@ -134,11 +134,12 @@ def without_near_duplicates(docs: DataFrame, words: int = 3, distance: int = 2,
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_hash")
     best = found.select(*group, order.alias("o")).groupBy("component_id", "lone").agg(F.min("o").alias("o"))
     keep = durable(best.select(F.col("o.doc_id").alias("keep_id"), F.col("o.text_hash").alias("keep_hash")))
-    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
-    mine = docs.withColumn("text_hash__", text_hash)
-    same = mine["doc_id"].eqNullSafe(keep["keep_id"]) & (mine["text_hash__"] == keep["keep_hash"])
-    kept = mine.join(keep, same, "left_semi")
-    return kept.dropDuplicates(["doc_id", "text_hash__"]).drop("text_hash__")
+    own = "text_hash"
+    while own in docs.columns:
+        own += "_"
+    mine = docs.withColumn(own, F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = mine["doc_id"].eqNullSafe(keep["keep_id"]) & (mine[own] == keep["keep_hash"])
+    return mine.join(keep, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)
 
 
 def as_hex(fp: Column) -> Column:
