@@ -222,6 +222,31 @@ def listing_shops(m: SampleModel):
     return parse.shop_items(S.listing_elements(m))
 
 
+@query(
+    "P4 V9",
+    """
+SELECT p_partkey AS product_id, p_name AS name FROM part WHERE p_partkey % 9 = 0""",
+)
+def refused_catalog_products(m: SampleModel):
+    return parse.rejected(parse.catalog_products(S.catalog_elements(m), site=SITE)).select("product_id", "name")
+
+
+@query(
+    "U10",
+    f"""
+SELECT product_id, CASE WHEN item THEN p_name ELSE name END AS name,
+       CASE WHEN item THEN '{SITE}' || CASE WHEN p_partkey % 5 = 0 THEN '' ELSE 'p' || p_partkey END ELSE url END AS url,
+       CASE WHEN item THEN p_size ELSE sold_count END AS sold_count, review_count
+FROM (SELECT *, p_partkey % 9 <> 0 AS item FROM part) JOIN (SELECT product_id, name, url, sold_count, review_count FROM m_products)
+  ON product_id = p_partkey""",
+)
+def product_overwrite(m: SampleModel):
+    stored = m.products.select("product_id", "name", "url", "sold_count", "review_count")
+    items = parse.accepted(parse.catalog_products(S.catalog_elements(m), site=SITE))
+    numbered = items.withColumn("seq", F.col("product_id"))
+    return U.overwrite_rows(stored, numbered, "product_id", ["review_count"], m.review_time)
+
+
 @query(
     "P5 Q14",
     f"""
@@ -246,6 +271,11 @@ def flat_reviews(m: SampleModel):
     return parse.accepted(parse.flat_reviews(S.flat_review_elements(m), m.review_time))
 
 
+@query("P6", "SELECT product_id, rating FROM m_facts WHERE review_id % 6 = 0")
+def refused_flat_reviews(m: SampleModel):
+    return parse.rejected(parse.flat_reviews(S.flat_review_elements(m), m.review_time)).select("product_id", "rating")
+
+
 REVIEW_DETAIL_SQL = f"""
 SELECT review_id * 2 + copy AS seq, review_id, product_id,
        CASE WHEN review_id % 3 = 1 THEN 'Full ' || user_name WHEN review_id % 9 = 0 THEN 'Anonymous' ELSE user_name END AS user_name,
