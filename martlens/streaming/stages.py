@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martlens import schemas
@@ -168,6 +169,18 @@ class Stages:
         )
         self.metrics.append(totals, stage, batch_id)
 
+    def _time(self, stage: str, batch_id: int) -> Column:
+        """When a batch was first seen; a replay gets the same time, hence the same rows."""
+        path = f"{self.root}/times/{stage}/{batch_id}"
+        try:
+            seen = self.spark.read.schema("at TIMESTAMP").parquet(path).first()
+        except AnalysisException:  # no such folder: the first time
+            seen = None
+        if seen is None:
+            seen = self.spark.range(1).select(F.current_timestamp().alias("at")).first()
+            self.spark.createDataFrame([seen], "at TIMESTAMP").coalesce(1).write.mode("overwrite").parquet(path)
+        return F.lit(seen["at"])
+
     def _send(self, topic: str, rows: DataFrame, key: str, stage: str, batch_id: int) -> None:
         """Append JSON messages to a topic; the batch number is their place."""
         body = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
@@ -191,7 +204,7 @@ class Stages:
             .persist()
         )
         ok = judged.filter("reason IS NULL")
-        at = X.moment("kafka_timestamp", X.moment("crawled_at", F.current_timestamp()))
+        at = X.moment("kafka_timestamp", X.moment("crawled_at", self._time(stage, batch_id)))
         sets = F.array_intersect("present", F.array(*[F.lit(c) for c in LISTED]))
         listed = ok.withColumns({"present": sets, "rating": F.col("rating").try_cast("decimal(3,2)")})
         blank = {f.name: F.lit(None).cast(f.dataType) for f in self.products.schema if f.name not in listed.columns}
@@ -264,7 +277,7 @@ class Stages:
         writes is repaired by the replay instead of losing messages.
         """
         stage = "reviews"
-        now = F.current_timestamp()
+        now = self._time(stage, batch_id)
         read = parse.review_details(batch.select("seq", F.col("value").alias("body"), "value"), now)
         products = self.products.log().select("product_id")
         known = products.distinct().withColumn("_known", F.lit(True))
