@@ -139,11 +139,10 @@ def sentiment_coverage(reviews: DataFrame, sentiment: DataFrame) -> DataFrame:
     )
 
 
-def ordered_names(df: DataFrame, keys: Sequence[str], name: str, out: str = "names") -> DataFrame:
-    """The distinct names of each group as one sorted, comma-separated text.
+def ordered_names(df: DataFrame, keys: Sequence[str], name: str, out: str = "place") -> DataFrame:
+    """The distinct names of each group, numbered in order.
 
-    For short name lists such as the columns of an index; names are made distinct first.
+    One row per name: a group may have any number of them, so they are not joined into one text.
     """
     distinct = df.select(*keys, name).distinct()
-    listed = F.array_join(F.array_sort(F.collect_list(name)), ", ")
-    return distinct.groupBy(*keys).agg(listed.alias(out))
+    return distinct.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(name)))

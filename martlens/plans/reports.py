@@ -331,13 +331,12 @@ def sentiment_coverage(m: SampleModel):
 @query(
     "A14",
     """
-SELECT category_name, string_agg(p_brand, ', ' ORDER BY p_brand) AS brands
-FROM (SELECT DISTINCT category_name, short_description AS p_brand FROM m_products JOIN m_categories USING (category_id))
-GROUP BY 1""",
+SELECT category_name, short_description AS brand, CAST(row_number() OVER (PARTITION BY category_name ORDER BY short_description) AS INTEGER) AS place
+FROM (SELECT DISTINCT category_name, short_description FROM m_products JOIN m_categories USING (category_id))""",
 )
 def brands_per_category(m: SampleModel):
-    named = m.products.join(m.categories, "category_id")
-    return A.ordered_names(named, ["category_name"], "short_description", "brands")
+    named = m.products.join(m.categories, "category_id").withColumnRenamed("short_description", "brand")
+    return A.ordered_names(named, ["category_name"], "brand")
 
 
 # windows and top-k -------------------------------------------------------------------------

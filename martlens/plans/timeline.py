@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from martlens import schemas
-from martlens.operators import prices as P, sentiment as M
+from martlens.operators import derive as D, prices as P, sentiment as M
 from martlens.plans import sample_messages as S
 from martlens.plans.ingest import REVIEW_DETAIL_SQL
 from martlens.plans.oracle import PRICE_NOW, dbl, ts
@@ -52,6 +52,20 @@ def retained_prices(m: SampleModel):
     return P.retained(m.product_prices.select("product_id", "price", "timestamp"), m.price_time)
 
 
+@query(
+    "T4",
+    f"""
+SELECT product_id, {dbl('price')}, {ts('ts', '"timestamp"')} FROM m_prices
+WHERE date_trunc('month', ts) >= date_trunc('month', {PRICE_NOW} - INTERVAL 90 DAY)""",
+)
+def stored_retention(m: SampleModel):
+    """Whole months older than the retained days leave the disk."""
+    path = work_dir(m.spark, "history") + "/prices"
+    rollups.write_history(m.product_prices.select("product_id", "price", "timestamp"), path, "month")
+    rollups.drop_expired(m.spark, path, m.price_time, 90, "month")
+    return m.spark.read.parquet(path).drop("price_period")
+
+
 @query(
     "T10",
     f"""
@@ -114,6 +128,19 @@ def streamed_hourly_rollup(m: SampleModel):
     return m.spark.read.parquet(f"{root}/out")
 
 
+@query("S2 S3", "SELECT event_type AS topic, CAST(event_id AS VARCHAR) AS key, user_id FROM events")
+def streamed_keyed_messages(m: SampleModel):
+    """Events sent as keyed messages, a second run of the stream sending nothing twice."""
+    root = work_dir(m.spark, "stream-topics")
+    raw = m.spark.readStream.schema(TABLES["events"]).option("pathGlobFilter", "events.parquet").parquet(m.folder)
+    body = F.to_json(F.struct("event_id", "user_id"))
+    sent = raw.select(F.col("event_type").alias("topic"), F.col("event_id").cast("string").alias("key"), body.alias("value"))
+    for _ in range(2):
+        messages.stream_topics(sent, f"{root}/out", f"{root}/checkpoint")
+    read = m.spark.read.schema("topic STRING, key STRING, value STRING").json(f"{root}/out")
+    return read.select("topic", "key", F.get_json_object("value", "$.user_id").cast("bigint").alias("user_id"))
+
+
 @query("T5 U6", "SELECT event_id, event_id % 5 AS product_id FROM events")
 def streamed_first_messages(m: SampleModel):
     root = work_dir(m.spark, "stream-first")
@@ -197,8 +224,8 @@ def _page_stage(m: SampleModel) -> Stages:
     """Landed review pages, some of which cannot be read, through their stage."""
     stages = Stages(m.spark, work_dir(m.spark, "pages")).create()
     k = F.col("p_partkey")
-    reviews = ",".join(f'{{"id": %d{i}, "rating": 5, "content": "ok"}}' for i in (1, 2))
-    data = F.when(k % 7 == 0, "null").otherwise(F.format_string(f"[{reviews}]", k, k))
+    reviews = ",".join(f'{{"id": %d{i}, "rating": 5, "content": "good", "created_by": {{"id": %d, "name": "N"}}}}' for i in (1, 2))
+    data = F.when(k % 7 == 0, "null").otherwise(F.format_string(f"[{reviews}]", k, k, k, k))
     body = F.concat(F.lit('{"data": '), data, F.lit(', "paging": {"last_page": 1}}'))
     cut = F.when(k % 3 == 0, F.substring(body, 1, 12)).otherwise(body)
     key = F.when(k % 11 == 0, "abc").otherwise(k.cast("string"))
@@ -234,3 +261,30 @@ SELECT 'review_pages' AS stage, count(*) FILTER (reason IS NULL) AS processed, c
 )
 def review_page_metrics(m: SampleModel):
     return _page_stage(m).metrics.current()
+
+
+@query(
+    "T7 T8 D5 U7 U8",
+    f"""
+WITH kinds AS (SELECT k, {_PAGE_KIND} AS reason FROM (SELECT p_partkey AS k FROM part)),
+priced AS (SELECT p_partkey AS product_id, CASE WHEN (p_partkey + 1) % 7 = 0 THEN 0 WHEN (p_partkey + 1) % 6 <> 0 THEN p_partkey % 100 + 10 END AS price FROM part)
+SELECT k * 10 + i AS review_id, k AS product_id, CASE WHEN k <> 0 THEN k * 10 + i END AS order_id,
+       CASE WHEN k <> 0 THEN CAST(nullif(price, 0) AS DOUBLE) END AS total_amount, 'positive' AS sentiment
+FROM kinds JOIN priced ON product_id = k, (VALUES (1), (2)) v(i) WHERE reason IS NULL AND k <> 0""",
+)
+def staged_chain(m: SampleModel):
+    """Products and review pages through every stage; the order, sentiment and backfill stages add nothing twice."""
+    stages = _page_stage(m)
+    _land(S.product_messages(m, versions=1), f"{stages.root}/in/products")
+    stages.run(messages.read_stream(m.spark, "json", {}, f"{stages.root}/in/products"), stages.on_products, "products")
+    sent = lambda topic: stages.topics[topic].current()
+    stages.on_reviews(sent("review-detail"), 0)
+    stages.on_orders(sent("orders"), 0)
+    stages.on_sentiment(sent("sentiment-analysis"), 0)
+    # a backfill queues nothing that is scored already
+    queue = D.backfill_sentiment_queue(stages.reviews.current(), stages.sentiment.current().select("review_id"))
+    body = F.to_json(F.struct("review_id", "comment"))
+    stages.on_sentiment(queue.select(F.lit(1).cast("bigint").alias("seq"), F.lit(None).cast("string").alias("key"), body.alias("value")), 1)
+    orders = stages.orders.current().select("review_id", "order_id", "total_amount")
+    scores = stages.sentiment.current().select("review_id", "sentiment")
+    return stages.reviews.current().select("review_id", "product_id").join(orders, "review_id", "left").join(scores, "review_id", "left")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from martlens import schemas
 from martlens.functions import scalars as X
@@ -89,6 +90,20 @@ def routed(items: DataFrame) -> DataFrame:
     )
 
 
+def stream_topics(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Send a stream of messages with a topic to JSON files, one folder per topic, each message exactly once."""
+    query = (
+        stream.writeStream.format("json")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .partitionBy(TOPIC)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
 def write_topics(messages: DataFrame, path: str) -> None:
     """Land messages as JSON files, one folder per topic."""
     messages.write.mode("overwrite").partitionBy(TOPIC).json(path)

@@ -85,6 +85,28 @@ def refresh_stored(prices_df: DataFrame, path: str, as_of: Column, unit: str = "
         _remove(prices_df.sparkSession, f"{path}/bucket_period={day}")
 
 
+def write_history(prices_df: DataFrame, path: str, unit: str = "day") -> None:
+    """Store price rows in one partition per calendar unit, so that reports and retention touch few of them."""
+    (
+        prices_df.withColumn("price_period", F.to_date(F.date_trunc(unit, "timestamp")))
+        .hint("rebalance", F.col("price_period"))
+        .write.mode("overwrite")
+        .partitionBy("price_period")
+        .parquet(path)
+    )
+
+
+def drop_expired(spark: SparkSession, path: str, as_of: Column, days: int = 90, unit: str = "day") -> None:
+    """Remove the periods of a stored history that ended before the retained days; no row is read.
+
+    The names of the periods come from the folders, so the driver sees one row per period.
+    """
+    oldest = F.to_date(F.date_trunc(unit, prices.since(as_of, days)))
+    periods = spark.read.parquet(path).select("price_period").distinct()
+    for row in periods.filter(F.col("price_period") < oldest).toLocalIterator():
+        _remove(spark, f"{path}/price_period={row.price_period}")
+
+
 def _remove(spark: SparkSession, folder: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(folder)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

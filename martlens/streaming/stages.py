@@ -1,4 +1,4 @@
-"""The message stages: products, product details, review pages, reviews, orders and sentiment.
+"""The message stages: products, product details, review pages, reviews, orders, sentiment and shops.
 
 Each stage handles one micro-batch with joins instead of lookups and writes everything the
 batch causes under the batch's own id, so a replay after a crash rewrites the same rows.
@@ -303,19 +303,69 @@ class Stages:
         self._send("orders", parse.order_messages(new), "review_id", stage, batch_id)
         self._send("sentiment-analysis", parse.sentiment_messages(new), "review_id", stage, batch_id)
         buyers = new.withColumnRenamed("user_name", "customer_name").withColumn("order_date", F.col("created_at"))
-        prices = self.prices.current(new, "product_id")
-        facts = derive.order_facts(buyers, products, prices).persist()
-        write(self.orders, derive.orders_of(facts).withColumn("created_at", now))
-        write(self.order_lines, derive.order_lines_of(facts).withColumn("created_at", now))
-        named = buyers.filter(~falsy("customer_id"))
-        order = _order(2, batch_id).alias("order_at")
-        self.customers.append(named.select("customer_id", "customer_name", order), stage, batch_id)
+        self._write_orders(buyers, now, stage, batch_id)
         scored = self.scorer(new.select("review_id", "comment"))
         write(self.sentiment, sentiment.sentiment_rows(scored, now))
         self._finish(stage, batch_id, judged)
-        for held in (facts, new, judged):
+        for held in (new, judged):
             held.unpersist()
 
+    def _write_orders(self, buyers: DataFrame, now: Column, stage: str, batch_id: int) -> None:
+        """Orders, their lines and customers of accepted reviews or order messages."""
+        products = self.products.log().select("product_id")
+        prices = self.prices.current(buyers, "product_id")
+        facts = derive.order_facts(buyers, products, prices, now=now).persist()
+        rows = ((self.orders, derive.orders_of(facts)), (self.order_lines, derive.order_lines_of(facts)))
+        for table, made in rows:
+            placed = made.withColumns({"created_at": now, "order_at": _place(batch_id)})
+            table.append(placed, stage, batch_id)
+        named = buyers.filter(F.coalesce(F.col("customer_id"), F.lit(0)) != 0)
+        order = _order(2, batch_id).alias("order_at")
+        self.customers.append(named.select("customer_id", "customer_name", order), stage, batch_id)
+        facts.unpersist()
+
+    def _judged(self, batch: DataFrame, schema: str, reasons: Column) -> DataFrame:
+        """Decoded messages with their body as `value` and why they are refused, or null."""
+        read = messages.json_messages(batch.withColumn("body", F.col("value")), schema)
+        reason = F.when(F.col("corrupt").isNotNull(), "not a JSON object").otherwise(reasons)
+        return read.withColumn("reason", reason).withColumnRenamed("body", "value").drop("corrupt", "present").persist()
+
+    def on_orders(self, batch: DataFrame, batch_id: int) -> None:
+        """Order messages: one order per review; those the review stage has written already change nothing."""
+        stage = "orders"
+        missing = [F.when(F.coalesce(F.col(c), F.lit(0)) == 0, f"missing {c}") for c in ("review_id", "product_id", "customer_id")]
+        judged = self._judged(batch, schemas.ORDER_MESSAGE, F.coalesce(*missing))
+        ok = judged.filter("reason IS NULL").drop("reason", "value", "key")
+        self._write_orders(merge.first_wins(ok, "review_id"), self._time(stage, batch_id), stage, batch_id)
+        self._finish(stage, batch_id, judged)
+        judged.unpersist()
+
+    def on_sentiment(self, batch: DataFrame, batch_id: int) -> None:
+        """Scoring messages, of new reviews or from the backfill queue: each review keeps its first score."""
+        stage = "sentiment"
+        missing = F.when(F.coalesce(F.col("review_id"), F.lit(0)) == 0, "missing review_id")
+        judged = self._judged(batch, schemas.SENTIMENT_MESSAGE, missing)
+        ok = judged.filter("reason IS NULL").select("seq", "review_id", "comment")
+        scored = self.scorer(merge.first_wins(ok, "review_id").drop("seq"))
+        rows = sentiment.sentiment_rows(scored, self._time(stage, batch_id)).withColumn("order_at", _place(batch_id))
+        self.sentiment.append(rows, stage, batch_id)
+        self._finish(stage, batch_id, judged)
+        judged.unpersist()
+
+    def on_shops(self, batch: DataFrame, batch_id: int) -> None:
+        """Flat shop items: names of shops, the last message of each winning."""
+        stage = "shops"
+        read = messages.json_messages(batch.withColumn("body", F.col("value")), schemas.SHOP_MESSAGE)
+        broken = F.when(F.size("violations") > 0, F.array_join("violations", ","))
+        reason = F.when(F.col("corrupt").isNotNull(), "not a JSON object").otherwise(broken)
+        checked = quality.with_violations(read, quality.SHOP).withColumn("reason", reason)
+        judged = checked.withColumnRenamed("body", "value").drop("violations", "corrupt").persist()
+        order = _order(3, batch_id).alias("order_at")
+        named = judged.filter("reason IS NULL").select("shop_id", "shop_name", order)
+        self.shops.append(named, stage, batch_id)
+        self._finish(stage, batch_id, judged)
+        judged.unpersist()
+
     def run(self, stream: DataFrame, stage: Callable[[DataFrame, int], None], name: str) -> None:
         """Feed everything available to a stage; progress is kept in the stage's checkpoint."""
         (

@@ -69,3 +69,13 @@ def test_a_model_that_answers_too_little_is_neutral(spark):
     rows = spark.createDataFrame([("good",), ("fine",), (None,)], "comment string")
     got = sentiment.score_with_model(rows, TooFew).collect()
     assert {(r.sentiment, r.confidence) for r in got} == {("neutral", 0.0)}
+
+
+def test_expired_periods_leave_the_disk(spark, tmp_path):
+    rows = [(1, 5.0, dt.datetime(2024, m, 15)) for m in (1, 2, 3, 4)]
+    path = str(tmp_path / "history")
+    rollups.write_history(spark.createDataFrame(rows, "product_id bigint, price double, timestamp timestamp"), path, "month")
+    rollups.drop_expired(spark, path, F.lit("2024-04-20").cast("timestamp"), 60, "month")
+    assert sorted(p.name for p in (tmp_path / "history").glob("price_period=*")) == [
+        "price_period=2024-02-01", "price_period=2024-03-01", "price_period=2024-04-01",
+    ]

@@ -211,3 +211,23 @@ def test_csv_keeps_null_empty_and_line_breaks(spark, tmp_path):
     assert sorted(map(tuple, files.read_csv(spark, str(tmp_path / "c"), "id INT, t STRING").collect())) == rows
     files.write_json_lines(df, str(tmp_path / "j"))
     assert sorted(map(tuple, files.read_json_lines(spark, str(tmp_path / "j"), "id INT, t STRING").collect())) == rows
+
+
+def test_order_sentiment_and_shop_stages(spark, stages):
+    root = stages.root
+    land(spark, root, "reviews", [(20, 1, review(1, 1))])
+    stages.run(stream(spark, root, "reviews"), stages.on_reviews, "reviews")
+    before = [sorted(map(str, t.current().collect())) for t in (stages.orders, stages.order_lines, stages.sentiment)]
+    stages.on_orders(stages.topics["orders"].current(), 0)
+    stages.on_sentiment(stages.topics["sentiment-analysis"].current(), 0)
+    assert [sorted(map(str, t.current().collect())) for t in (stages.orders, stages.order_lines, stages.sentiment)] == before
+    late = {"review_id": 5, "product_id": 2, "customer_id": 9, "customer_name": "Q", "order_date": "2024-02-03T04:05:06", "rating": 4}
+    land(spark, root, "orders", [(30, 5, late), (31, 6, {**late, "review_id": 0}), (32, 7, "{cut")])
+    stages.run(stream(spark, root, "orders"), stages.on_orders, "orders")
+    assert sorted(r.review_id for r in stages.orders.current().collect()) == [1, 5]
+    refused = stages.rejects.current().filter("stage = 'orders'").collect()
+    assert sorted(r.reason for r in refused) == ["missing review_id", "not a JSON object"]
+    shops = [(40, 5, {"shop_id": 5, "shop_name": "Old"}), (41, 5, {"shop_id": 5, "shop_name": "New"}), (42, 6, {"shop_id": 6, "shop_name": ""})]
+    land(spark, root, "shops", shops)
+    stages.run(stream(spark, root, "shops"), stages.on_shops, "shops")
+    assert [(r.shop_id, r.shop_name) for r in stages.shops.current().collect()] == [(5, "New")]
