@@ -26,7 +26,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     context.environment.setdefault("PYTHONPATH", str(pathlib.Path(__file__).resolve().parents[2]))
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not context.master.startswith("local["):
+        if folder is None and not (context.master == "local" or context.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
     return spark
@@ -66,6 +66,16 @@ def fold(id_col: str, parts: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % parts
 
 
+def thinned(id_col: str, size: int | Column, count: int | Column) -> Column:
+    """Whether a row is among about three times `size` of `count` rows, by a hash of its id.
+
+    Taking the first `size` of these instead of all keeps what every task sends for it small.
+    """
+    scale = 1 << 30
+    wanted = F.lit(3.0 * scale) * (F.lit(size) if isinstance(size, int) else size)
+    return F.pmod(F.xxhash64(id_col, F.lit("thinned")), F.lit(scale)) * (F.lit(count) if isinstance(count, int) else count) < wanted
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sizes: dict[int, int]) -> DataFrame:
     """(doc_id, label, text) of at most sizes[c] labelled documents per class c, taken in the order of a hash of their ids.
 
@@ -73,9 +83,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sizes: dict[
     Rows that repeat an id count once.
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("doc_id is not null")
+    counts = known.agg(*(F.count_if(F.col("label") == kind) for kind in sizes)).first()
     picks = None
-    for kind, size in sizes.items():
-        some = known.where(F.col("label") == kind).dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
+    for (kind, size), count in zip(sizes.items(), counts, strict=True):
+        some = known.where((F.col("label") == kind) & thinned("doc_id", size, count)).dropDuplicates(["doc_id"])
+        some = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
         picks = some if picks is None else picks.unionByName(some)
     texts = whole_texts(docs).where("doc_id is not null")
     return texts.join(F.broadcast(picks), "doc_id").select("doc_id", "label", "text").dropDuplicates(["doc_id"])

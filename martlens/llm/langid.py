@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from martlens.llm.common import whole_texts
+from martlens.llm.common import thinned, whole_texts
 
 #: Hashed character runs, and the texts learned from: so many of each of so many languages at most.
 BUCKETS_LOG, PER_LANGUAGE, LANGUAGES = 12, 500, 100
@@ -74,10 +74,11 @@ def codewords(count: int) -> np.ndarray:
 def _sample(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """(lang, text): a bounded number of texts of each of the commonest languages, in the order of a hash of ids."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col("doc_id").isNotNull())
-    common = known.groupBy(lang_col).count().orderBy(F.col("count").desc(), lang_col).limit(LANGUAGES).select(lang_col)
-    ids = known.join(F.broadcast(common), lang_col, "left_semi").select("doc_id", F.col(lang_col).alias("learned"))
+    ids = known.select("doc_id", F.col(lang_col).alias("learned"))
+    common = ids.groupBy("learned").agg(F.count("*").alias("held")).orderBy(F.col("held").desc(), "learned").limit(LANGUAGES)
+    ids = ids.join(F.broadcast(common), "learned").where(thinned("doc_id", F.lit(PER_LANGUAGE), F.col("held"))).drop("held")
     order = W.partitionBy("learned").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picks = ids.withColumn("n", F.row_number().over(order)).where(F.col("n") <= PER_LANGUAGE).drop("n").dropDuplicates(["doc_id"])
+    picks = ids.distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= PER_LANGUAGE).drop("n").dropDuplicates(["doc_id"])
     texts = known.select("doc_id", F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return texts.join(F.broadcast(picks), "doc_id").select("doc_id", F.col("learned").alias("lang"), "text").dropDuplicates(["doc_id"])
 
