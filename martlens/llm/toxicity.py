@@ -13,7 +13,7 @@ a second set of labelled documents apart best; the shares of such windows in its
 count into log-odds, and a third threshold parts the set with the fewest errors.
 
 Defined cases: null, empty and blank texts hold no window and have the score of even windows; a repeated row gets the same score; without labelled
-rows of both kinds every score is 0; columns other than the id and the text are left behind.
+rows of both kinds, or with too few to tell them apart, every score is 0; columns other than the id and the text are left behind.
 """
 
 from __future__ import annotations
@@ -102,14 +102,16 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", sizes: dict[
     texts = sorted(" ".join(t.lower().split()).encode() for t in heads.toArrow()["head"].to_pylist())
     ordinary = _trained([t for t in texts if t])
     toxic = " ".join(reversed(windows)).encode()
+    unlearned = Model(b"", b"", np.zeros(SAVED * LENGTHS), math.inf)
     if not windows:
-        return Model(b"", b"", np.zeros(SAVED * LENGTHS), math.inf)
+        return unlearned
     toxic += b" "
     tried = _histograms(sample.where("part = 0"), ordinary, toxic).toArrow()
     label = tried["label"].to_numpy()
     cells = np.array([np.frombuffer(c, np.int32) for c in tried["cells"].to_pylist()], np.float64).reshape(-1, SAVED * LENGTHS)
     odds = _log_odds(cells[label == 1].sum(axis=0), cells[label == 0].sum(axis=0))
-    return Model(ordinary, toxic, odds, _threshold(cells @ odds, label))
+    # without a window that tells the classes of the second set apart nothing is known
+    return Model(ordinary, toxic, odds, _threshold(cells @ odds, label)) if odds.any() else unlearned
 
 
 def _log_odds(toxic: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
@@ -135,19 +137,15 @@ def _log_odds(toxic: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
 
 
 def _threshold(value: np.ndarray, label: np.ndarray) -> float:
-    """The middle of the gap that parts the classes with the fewest errors; even odds without both classes."""
-    if not (label == 1).any() or not (label == 0).any():
-        return 0.0
+    """The cut that parts the classes with the fewest errors: halfway between two values, or above all of them."""
     order = np.argsort(value, kind="stable")
-    value, label = value[order], label[order]
-    # errors of a cut before each place: toxic ones below it and ordinary ones above
-    errors = np.concatenate([[0], np.cumsum(label == 1)]) + (label == 0).sum() - np.concatenate([[0], np.cumsum(label == 0)])
-    errors = errors[1:-1] + np.where(value[1:] > value[:-1], 0, len(value))
-    best = np.flatnonzero(errors == errors.min()) if len(errors) else []
-    if not len(best):
-        return 0.0
-    at = best[len(best) // 2]
-    return float((value[at] + value[at + 1]) / 2)
+    value, toxic = value[order], label[order] == 1
+    # errors of a cut above each value: toxic ones up to it and ordinary ones beyond
+    errors = np.cumsum(toxic) + np.cumsum(~toxic[::-1])[::-1] - ~toxic
+    last = np.concatenate([value[1:] > value[:-1], [True]])  # of equal values only the last can have a cut above
+    cuts = np.concatenate([(value[1:] + value[:-1]) / 2, [value[-1] + 1]])[last]
+    best = np.flatnonzero(errors[last] == errors[last].min())
+    return float(cuts[best[len(best) // 2]])
 
 
 class _Scale:

@@ -92,3 +92,18 @@ def test_toxic_words_are_learned_and_copies_count_once(ready):
     model = toxicity.learn(docs, ready.createDataFrame(labels[:300], "doc_id long, toxic int"))
     got = {r.doc_id: r.score >= 0.5 for r in toxicity.scored(docs, model).collect()}
     assert np.mean([got[i] == (i % 4 == 0) for i in range(300, 400)]) >= 0.97
+
+
+def test_thresholds():
+    cut = toxicity._threshold
+    assert cut(np.array([-2.0, -1.0, 3.0, 4.0]), np.array([0, 0, 1, 1])) == 1.0
+    assert cut(np.zeros(5), np.array([0, 0, 1, 0, 0])) == 1.0  # nothing to tell by: all are ordinary
+    assert cut(np.array([1.0, 2.0, 2.0, 5.0]), np.array([0, 0, 1, 1])) in (1.5, 3.5)
+    assert cut(np.array([1.0, 2.0]), np.array([0, 0])) == 3.0
+
+
+def test_too_few_labels_refuse_nothing(ready):
+    folder = "/root/testdata/sf0.001"
+    docs = ready.read.parquet(f"{folder}/documents.parquet")
+    model = toxicity.learn(docs, ready.read.parquet(f"{folder}/labels.parquet").limit(30))
+    assert toxicity.without_toxic(docs, model).count() >= 0.9 * docs.count()
