@@ -2,7 +2,8 @@
 
 Vectors are projected on a few random directions, shifted by a random amount and ordered along a Hilbert curve,
 several times with other directions and shifts.  Each order is cut at its quantiles into blocks of neighbouring keys.
-A query looks at the blocks around its own in every order; what it finds is ranked by the exact inner
+A query looks at the blocks around its own in every order, at more of them where these hold fewer than k + 1
+different vectors; what it finds is ranked by the exact inner
 product of the original vectors, and the orders' findings are merged.
 
 Equal vectors are one row with the few smallest of their ids, so a vector that a third of all rows share is
@@ -141,6 +142,20 @@ def _sizes(rows_of: DataFrame, cuts: np.ndarray, directions: int, blocks: int) -
     return out.reshape(len(cuts), blocks)
 
 
+def _windows(held: np.ndarray, reach: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Curves x blocks: the first block of each block's window and the one past it, so wide that it holds `least` vectors or all."""
+    curves, blocks = held.shape
+    first = np.tile(np.clip(np.arange(blocks) - reach // 2, 0, blocks - reach), (curves, 1))
+    past = first + reach
+    before = np.concatenate([np.zeros((curves, 1), np.int64), np.cumsum(held, axis=1)], axis=1)
+    while True:
+        inside = np.take_along_axis(before, past, axis=1) - np.take_along_axis(before, first, axis=1)
+        short = inside < np.minimum(least, before[:, -1:])
+        if not short.any():
+            return first, past
+        first, past = np.maximum(first - short, 0), np.minimum(past + short, blocks)
+
+
 def neighbours(
     vectors: DataFrame,
     queries_where: str,
@@ -165,11 +180,11 @@ def neighbours(
     held = _sizes(distinct, cuts, directions, blocks)
     reach = min(window, blocks)
     seen = _sizes(askers, cuts, directions, blocks)
+    first, past = _windows(held, reach, k + 1)
     # queries that look at a block: those of the blocks whose window holds it
-    first = np.clip(np.arange(blocks) - reach // 2, 0, blocks - reach)
     looking = np.zeros_like(seen)
-    for b in range(blocks):
-        looking[:, first[b] : first[b] + reach] += seen[:, b : b + 1]
+    for c, b in np.ndindex(seen.shape):
+        looking[c, first[c, b] : past[c, b]] += seen[c, b]
     chunks = np.maximum(-(-held // CHUNK), 1)
     slices = np.maximum(-(-looking // SLICE), 1)
 
@@ -199,8 +214,9 @@ def neighbours(
         for b in batches:
             own = _block_of(_matrix(b["vec"]), cuts, directions).ravel()
             row, curve = np.divmod(np.arange(len(own)), curves)
-            row, curve = np.repeat(row, reach), np.repeat(curve, reach)
-            block = (first[own][:, None] + np.arange(reach)).ravel()
+            start, n = first[curve, own], past[curve, own] - first[curve, own]
+            row, curve, start = (np.repeat(x, n) for x in (row, curve, start))
+            block = start + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             n = chunks[curve, block]
             chunk = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             row, curve, block = (np.repeat(x, n) for x in (row, curve, block))
