@@ -37,7 +37,7 @@ CHUNK, HELD = 1 << 20, 1 << 19
 #: Depths of the passes as shares of the window; the last is the window itself.
 DEPTHS = (0.28, 0.85, 1.0)
 NULL_ID = 2**63 - 1
-CELLS = "anchor long, cell long, doc long, place long"
+CELLS = "anchor long, cell long, doc long, tag long, place long"
 
 _POSITION = np.uint64((1 << 24) - 1)
 _STEP = 0x9E3779B97F4A7C15
@@ -90,7 +90,7 @@ def cells_of(parts: list[bytes], window: int, depth: int) -> tuple[np.ndarray, .
 
 
 def _first_and_later(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Of rows sorted by (anchor, cell, doc, place): which begin an anchor, and the row that begins their cell."""
+    """Of rows sorted by (anchor, cell, doc, tag, place): which begin an anchor, and the row that begins their cell."""
     anchor, cell = rows[0], rows[1]
     new_anchor = np.concatenate([[True], anchor[1:] != anchor[:-1]])
     new_cell = new_anchor | np.concatenate([[True], cell[1:] != cell[:-1]])
@@ -98,6 +98,11 @@ def _first_and_later(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return new_anchor, begin
 
 
+def _alike(rows: list[np.ndarray], begin: np.ndarray) -> np.ndarray:
+    """Which rows are of the same document and place as the row that begins their cell."""
+    return np.logical_and.reduce([c == c[begin] for c in rows[2:]])
+
+
 def _arrow(columns: list, names: list[str], kinds: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
@@ -127,8 +132,8 @@ class _Sender:
         if self.parts:
             anchor, cell, of, start, windows = cells_of(self.parts, self.window, self.depth)
             doc, tag, base = (np.array(x, np.int64) for x in zip(*self.of, strict=True))
-            place = (tag[of] << 48) | ((start + base[of]) << 8) | windows
-            self.rows.append([anchor, cell, doc[of], place])
+            place = ((start + base[of]) << 8) | windows
+            self.rows.append([anchor, cell, doc[of], tag[of], place])
             self.held += len(anchor)
             self.parts, self.of, self.size = [], [], 0
         if self.held >= HELD:
@@ -143,17 +148,17 @@ class _Sender:
         rows = [c[order] for c in rows]
         _, begin = _first_and_later(rows)
         first = begin == np.arange(len(begin))
-        same = (rows[2] == rows[2][begin]) & (rows[3] == rows[3][begin])
+        same = _alike(rows, begin)
         keep = first | ~same
         later = ~first[keep]
-        anchor, cell, doc, place = (c[keep] for c in rows)
+        anchor, cell, doc, tag, place = (c[keep] for c in rows)
         # a known repeat has no cell; it crosses the shuffle under a number of its own
-        anchor = np.where(later, _mixed((doc ^ (place << 20)).view(np.uint64)).view(np.int64), anchor)
+        anchor = np.where(later, _mixed((doc ^ tag ^ (place << 20)).view(np.uint64)).view(np.int64), anchor)
         for at in range(0, len(anchor), 1 << 16):
             s = slice(at, at + (1 << 16))
             cells = pa.array(cell[s], pa.int64(), mask=later[s])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor[s]), cells, pa.array(doc[s]), pa.array(place[s])], ["anchor", "cell", "doc", "place"]
+                [pa.array(anchor[s]), cells, *(pa.array(c[s]) for c in (doc, tag, place))], ["anchor", "cell", "doc", "tag", "place"]
             )
 
     def rest(self) -> Iterator[pa.RecordBatch]:
@@ -172,11 +177,10 @@ def _whole(window: int, depth: int):
     return rows
 
 
-def _ranges(places: list[int], tag: int) -> tuple[np.ndarray, np.ndarray]:
+def _ranges(places: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted (first start, number of starts) of one document's places, overlapping or touching ones joined."""
     p = np.unique(np.array(places, np.int64))
-    p = p[p >> 48 == tag]
-    starts, ends = (p >> 8) & ((1 << 40) - 1), None
+    starts = p >> 8
     order = np.argsort(starts, kind="stable")
     starts, ends = starts[order], (starts + (p & 255))[order]
     if not len(starts):
@@ -193,7 +197,7 @@ def _within(window: int, depth: int):
         for b in batches:
             for doc, tag, text, places in zip(*(b[c].to_pylist() for c in ("doc", "tag", "text", "places")), strict=True):
                 data = text.encode()
-                for start, count in zip(*_ranges(places, tag), strict=True):
+                for start, count in zip(*_ranges(places), strict=True):
                     yield from sender.add(doc, tag, int(start), data[start : start + count - 1 + window])
         yield from sender.rest()
 
@@ -201,30 +205,30 @@ def _within(window: int, depth: int):
 
 
 def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted cells to (doc, place, contested): repeats, and first cells whose anchor has other cells too."""
-    held: list[np.ndarray] = [np.empty(0, np.int64)] * 4
+    """Sorted cells to (doc, tag, place, contested): repeats, and first cells whose anchor has other cells too."""
+    held: list[np.ndarray] = [np.empty(0, np.int64)] * 5
     sent = 0  # of the held rows, how many have been given out
 
-    def out(doc, place, contested):
-        return _arrow([doc, place, contested], ["doc", "place", "contested"], [pa.int64(), pa.int64(), pa.bool_()])
+    def out(doc, tag, place, contested):
+        return _arrow([doc, tag, place, contested], ["doc", "tag", "place", "contested"], [pa.int64()] * 3 + [pa.bool_()])
 
     for b in batches:
         known = np.asarray(b["cell"].is_null())
         if known.any():
-            doc, place = (b[c].to_numpy()[known] for c in ("doc", "place"))
-            yield out(doc, place, np.zeros(len(doc), bool))
+            doc, tag, place = (b[c].to_numpy()[known] for c in ("doc", "tag", "place"))
+            yield out(doc, tag, place, np.zeros(len(doc), bool))
             b = b.filter(pa.array(~known))
         if not b.num_rows:
             continue
-        rows = [np.concatenate([h, b[c].to_numpy()]) for h, c in zip(held, ("anchor", "cell", "doc", "place"), strict=True)]
+        rows = [np.concatenate([h, b[c].to_numpy()]) for h, c in zip(held, ("anchor", "cell", "doc", "tag", "place"), strict=True)]
         n = len(rows[0])
         new_anchor, begin = _first_and_later(rows)
         first = begin == np.arange(n)
-        later = ~first & ((rows[2] != rows[2][begin]) | (rows[3] != rows[3][begin]))
+        later = ~first & ~_alike(rows, begin)
         group = np.cumsum(new_anchor) - 1
         contested = first & (np.bincount(group, weights=first) > 1)[group]
         give = (contested | later) & (np.arange(n) >= sent)
-        yield out(rows[2][give], rows[3][give], contested[give])
+        yield out(*(c[give] for c in rows[2:]), contested[give])
         # the last anchor may go on: keep its first row and the row that begins its last cell
         opened = np.flatnonzero(new_anchor)[-1]
         stay = np.unique([opened, begin[-1]])
@@ -233,12 +237,12 @@ def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sorted_out(cells: DataFrame) -> DataFrame:
-    dealt = cells.repartition("anchor").sortWithinPartitions("anchor", "cell", "doc", "place")
-    return stored(dealt.mapInArrow(_streamed, "doc long, place long, contested boolean"))
+    dealt = cells.repartition("anchor").sortWithinPartitions("anchor", "cell", "doc", "tag", "place")
+    return stored(dealt.mapInArrow(_streamed, "doc long, tag long, place long, contested boolean"))
 
 
 def repeated_places(keyed: DataFrame, window: int) -> list[DataFrame]:
-    """Per pass (doc, place): runs of window starts that repeat an earlier window."""
+    """Per pass (doc, tag, place): runs of window starts that repeat an earlier window."""
     depths = [max(1, round(window * d)) for d in DEPTHS]
     if window - depths[0] + 1 > 255:
         raise ValueError("a cell holds at most 255 windows: use a window of at most 350")
@@ -247,32 +251,33 @@ def repeated_places(keyed: DataFrame, window: int) -> list[DataFrame]:
     for level, depth in enumerate(depths):
         if level:
             todo = _by_document(open_cells)
-            texts = keyed.join(todo.hint("shuffle_hash"), "doc").select("doc", "tag", "text", "places")
+            texts = keyed.join(todo.hint("shuffle_hash"), ["doc", "tag"]).select("doc", "tag", "text", "places")
             cells = texts.mapInArrow(_within(window, depth), CELLS)
         out = _sorted_out(cells)
-        found.append(out.where(~F.col("contested")).select("doc", "place"))
-        open_cells = out.where("contested").select("doc", "place")
+        found.append(out.where(~F.col("contested")).select("doc", "tag", "place"))
+        open_cells = out.where("contested").select("doc", "tag", "place")
     return found
 
 
 def _by_document(places: DataFrame) -> DataFrame:
-    return places.groupBy("doc").agg(F.collect_list("place").alias("places"))
+    """The places of each text; a text that comes several times under one id gives each of its places once."""
+    return places.groupBy("doc", "tag").agg(F.collect_set("place").alias("places"))
 
 
 def keyed_texts(docs: DataFrame, *more: Column) -> DataFrame:
-    """(doc, tag, text): a non-null id, and 15 bits of a hash that tell apart rows with the same id."""
+    """(doc, tag, text): a non-null id, and the hash of the text that tells apart rows with the same id."""
     text = F.coalesce(F.col("text"), F.lit(""))
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
-    return docs.select(doc.alias("doc"), F.xxhash64(text).bitwiseAND(0x7FFF).alias("tag"), text.alias("text"), *more)
+    return docs.select(doc.alias("doc"), F.xxhash64(text).alias("tag"), text.alias("text"), *more)
 
 
 def _cut(batch: pa.RecordBatch, window: int) -> tuple[list[bytes], list[list[tuple[int, int]]]]:
-    """What stays of each text of (tag, text, places), and the runs that go."""
+    """What stays of each text of (text, places), and the runs that go."""
     kept, spans = [], []
-    for tag, text, places in zip(*(batch[c].to_pylist() for c in ("tag", "text", "places")), strict=True):
+    for text, places in zip(*(batch[c].to_pylist() for c in ("text", "places")), strict=True):
         data, runs = text.encode(), []
         if places:
-            starts, counts = _ranges(places, tag)
+            starts, counts = _ranges(places)
             runs = _joined(starts, starts + counts - 1 + window)
         ends = [0, *(end for _, end in runs)]
         starts_of_cuts = [*(start for start, _ in runs), len(data)]
@@ -289,7 +294,7 @@ def _with_places(docs: DataFrame, window: int) -> DataFrame:
     # the text travels once: the struct holds the other columns
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     keyed = keyed_texts(docs, F.struct(*others).alias("row"))
-    joined = keyed.join(_by_document(found).hint("shuffle_hash"), "doc", "left")
+    joined = keyed.join(_by_document(found).hint("shuffle_hash"), ["doc", "tag"], "left")
     return joined.select("doc", "tag", "text", "row", "places")
 
 
