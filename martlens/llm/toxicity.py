@@ -6,7 +6,7 @@ toxic than in ordinary text (log-likelihood ratio), each run counted once per di
 copies of a text count as one.  zstandard's own trainer keeps what is common, which here is common to both
 kinds of text: left to choose among whole toxic texts it reached an area under the curve of 0.75 only.
 
-A window is a word, cut after 48 characters.  It is compressed four times in a row between blanks, since a
+A window is a word, or each part of 48 characters of a longer one.  It is compressed four times in a row between blanks, since a
 frame of a few bytes is never compressed.  It speaks for toxic text if the toxic dictionary saves at least so many
 bytes against the ordinary one and makes the window at most so long.  These two thresholds are those that tell
 a second set of labelled documents apart best; the shares of such windows in its two classes turn a document's
@@ -28,12 +28,12 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from martlens.llm.common import durable, fold, labelled_sample, where_texts, whole_texts
+from martlens.llm.common import durable, fold, labelled_sample, thinned, where_texts, whole_texts
 
 #: Labelled documents learned from at most, by class (0: ordinary, 1: toxic).
 SAMPLE = {0: 8000, 1: 4000}
-#: Size of the ordinary dictionary, bytes of each text it is trained on, and the windows added at most.
-DICTIONARY, TEXT_BYTES, WINDOWS = 8192, 400, 256
+#: Size of the ordinary dictionary, the pieces of texts it is trained on at most, their characters, and the windows added at most.
+DICTIONARY, PIECES, PIECE_CHARS, WINDOWS = 8192, 6000, 400, 256
 #: A run counts as toxic from this log-likelihood ratio and this ratio of frequencies (natural logarithm).
 RUN, SIGNIFICANT, CONTRAST = 5, 27.0, 2.0
 WINDOW_CHARS, TIMES, LEVEL = 48, 4, 13
@@ -52,18 +52,30 @@ class Model:
 
 
 def _contexts(sample: DataFrame) -> DataFrame:
-    """Distinct (label, word before, word, word after) with the word's runs of characters."""
+    """Distinct (label, word before, word, word after) as the word's parts of WINDOW_CHARS with their runs of characters."""
     words = F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != "")
     listed = sample.select("label", F.explode(F.array(words)).alias("words"))
     around = F.transform(
         "words", lambda w, i: F.struct(F.get("words", i - 1).alias("before"), w.alias("word"), F.get("words", i + 1).alias("after"))
     )
     distinct = listed.select("label", F.explode(around).alias("c")).select("label", "c.*").distinct()
-    bare = F.regexp_replace("word", r"^\p{Punct}+|\p{Punct}+$", "")
-    framed = F.concat(F.lit(" "), F.substring("word", 1, WINDOW_CHARS), F.lit(" "))
+    # parts overlap by RUN - 1, so that every run of a word is in one of them; a last part that the one before holds is left out
+    step = F.regexp_extract_all("word", F.lit(f"(?s).{{1,{WINDOW_CHARS - RUN + 1}}}"), F.lit(0))
+    steps = distinct.select("label", F.filter(step, lambda x, i: (i == 0) | (F.char_length(x) >= RUN)).alias("steps"), step.alias("all"))
+    part = F.transform(
+        "steps",
+        lambda x, i: F.struct(
+            F.concat(x, F.substring(F.coalesce(F.get("all", i + 1), F.lit("")), 1, RUN - 1)).alias("part"),
+            F.when(i == 0, " ").otherwise("").alias("left"),
+            F.when(i == F.size("steps") - 1, " ").otherwise("").alias("right"),
+        ),
+    )
+    parts = steps.select("label", F.explode(part).alias("p")).select("label", "p.*")
+    framed = F.concat("left", "part", "right")
     starts = F.sequence(F.lit(1), F.greatest(F.char_length(framed) - (RUN - 1), F.lit(1)))
     runs = F.array_distinct(F.transform(starts, lambda i: F.substring(framed, i, RUN)))
-    return distinct.select("label", bare.alias("word")).withColumn("runs", runs)
+    bare = F.regexp_replace("part", r"^\p{Punct}+|\p{Punct}+$", "")
+    return parts.select("label", bare.alias("word"), runs.alias("runs"))
 
 
 def _toxic_windows(sample: DataFrame) -> list[str]:
@@ -94,13 +106,21 @@ def _trained(texts: list[bytes]) -> bytes:
         return b" ".join(texts)[-DICTIONARY:]
 
 
+def _pieces(sample: DataFrame) -> list[bytes]:
+    """What the ordinary dictionary is trained on: PIECES pieces at most, in the order of a hash, of whole texts."""
+    cut = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{PIECE_CHARS}}}"), F.lit(0))
+    cuts = sample.select("doc_id", F.posexplode(cut).alias("at", "piece")).where(F.trim("piece") != "")
+    cuts = cuts.select(F.xxhash64("doc_id", "at").alias("number"), "piece")
+    drawn = cuts.where(thinned("number", PIECES, cuts.count())).orderBy(F.xxhash64("number"), "number").limit(PIECES)
+    texts = sorted(" ".join(t.lower().split()).encode() for t in drawn.toArrow()["piece"].to_pylist())
+    return [t for t in texts if t]
+
+
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", sizes: dict[int, int] = SAMPLE) -> Model:
     """Fit on a bounded sample of labelled rows: two thirds for the dictionaries, one for the threshold."""
     sample = durable(labelled_sample(docs, labels, label, sizes).withColumn("part", fold("doc_id", 3)))
     windows = _toxic_windows(sample.where("part > 0").select("label", "text"))
-    heads = sample.where("part > 0 and label = 0").select(F.substring("text", 1, TEXT_BYTES).alias("head"))
-    texts = sorted(" ".join(t.lower().split()).encode() for t in heads.toArrow()["head"].to_pylist())
-    ordinary = _trained([t for t in texts if t])
+    ordinary = _trained(_pieces(sample.where("part > 0 and label = 0")))
     toxic = " ".join(reversed(windows)).encode()
     unlearned = Model(b"", b"", np.zeros(SAVED * LENGTHS), math.inf)
     if not windows:
