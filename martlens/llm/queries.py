@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martlens.llm import bpe, chat, curves, host_rules, langid, packing, quality, repeats, simhash, toxicity, whitening
+from martlens.llm import bpe, chat, curves, host_rules, langid, packing, quality, repair, repeats, simhash, toxicity, whitening
 from martlens.llm.common import fold, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -141,3 +141,73 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
     return whitening.whitened(vectors, whitening.learn(vectors))
+
+
+def _step(cost: int | str, op: str, rest: str, turn: str = "") -> str:
+    """SQL of the repair that does `op` and then `rest`."""
+    turns = f"list_prepend({turn}, {rest}.t)" if turn else f"{rest}.t"
+    return f"{{'c': {rest}.c + {cost}, 'a': '{op}' || {rest}.a, 't': {turns}}}"
+
+
+def _takes(initial: str, role: str, rest: str) -> str:
+    """SQL of the cheapest way to let row r stand for a character of the pattern."""
+    return f"""CASE WHEN r.fault IN ('blank', 'duplicate') THEN {{'c': 1000000, 'a': '', 't': []::VARCHAR[]}}
+      WHEN r.initial = '{initial}' THEN {_step("r.kept", "K", rest, "r.role || ':' || r.text")}
+      ELSE {_step("r.kept + 1", "R", rest, f"'{role}:' || r.text")} END"""
+
+
+#: The pattern's automaton in SQL, from the last row back: x between pairs, y after a user's turn, w after the system's,
+#: z at the start; each holds cost, audit and turns of the best repair of the rows from i on.
+@query(rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '') AS chars
+  FROM conversations),
+summed AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(chars, lambda ch: [unicode(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                 lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295) % 20 AS kind
+  FROM keyed),
+damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, copy
+  FROM summed, unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS u(copy) WHERE kind <> 0),
+placed AS (
+  SELECT *, substring(role, 1, 1) AS initial, row_number() OVER o AS i, lag(substring(role, 1, 1)) OVER o || substring(role, 1, 1) AS pair,
+         rtrim(text, E' 	
+') AS said
+  FROM damaged WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+faulty AS (
+  SELECT *, CASE WHEN said = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM placed),
+turns AS (SELECT *, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS kept FROM faulty),
+back AS (
+  SELECT conv_id, max(i) + 1 AS i, {{'c': 0, 'a': '', 't': []::VARCHAR[]}} AS x, {{'c': 5, 'a': 'I', 't': ['assistant:']}} AS y,
+         {{'c': 10, 'a': 'II', 't': ['user:', 'assistant:']}} AS w, {{'c': 0, 'a': '', 't': []::VARCHAR[]}} AS z
+  FROM turns GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, i, least(x0, {_step(5, "I", "y0", "'user:'")}), least(y0, {_step(5, "I", "x0", "'assistant:'")}),
+         least(w0, {_step(5, "I", "y0", "'user:'")}, {_step(10, "II", "x0").replace("x0.t", "list_concat(['user:', 'assistant:'], x0.t)")}),
+         least(z0, {_step(5, "I", "y0", "'user:'")})
+  FROM (SELECT r.conv_id, r.i, least({_step(2, "D", "b.x")}, {_takes("u", "user", "b.y")}) AS x0,
+               least({_step(2, "D", "b.y")}, {_takes("a", "assistant", "b.x")}) AS y0,
+               least({_step(2, "D", "b.w")}, {_takes("u", "user", "b.y")}) AS w0,
+               least({_step(2, "D", "b.z")}, {_takes("u", "user", "b.y")},
+                     CASE WHEN r.initial = 's' AND r.fault IN ('', 'truncated') THEN {_step("r.kept", "K", "b.w", "r.role || ':' || r.text")}
+                          ELSE {{'c': 1000000, 'a': '', 't': []::VARCHAR[]}} END) AS z0
+        FROM back b JOIN turns r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i - 1)),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM turns GROUP BY conv_id)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(z.c, 0) AS BIGINT) AS cost,
+       coalesce(z.a, '') AS audit, sha256(coalesce(array_to_string(z.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN (SELECT conv_id, z FROM back WHERE i = 1) f ON f.conv_id IS NOT DISTINCT FROM o.conv_id
+""")
+def op12_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    return repair.repair_report(conversations, repair.damaged(conversations))
