@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martlens.llm import bpe, chat, curves, host_rules, langid, packing, quality, repair, repeats, simhash, toxicity, whitening
+from martlens.llm import bpe, chat, curves, host_rules, langid, packing, quality, repair, repeats, sharding, simhash, toxicity, whitening
 from martlens.llm.common import fold, table
+from martlens.session import work_dir
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,7 +175,8 @@ damaged AS (
 placed AS (
   SELECT *, substring(role, 1, 1) AS initial, row_number() OVER o AS i, lag(substring(role, 1, 1)) OVER o || substring(role, 1, 1) AS pair,
          rtrim(text, E' 	
-') AS said
+
+') AS said
   FROM damaged WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
 faulty AS (
   SELECT *, CASE WHEN said = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
@@ -211,3 +213,20 @@ LEFT JOIN (SELECT conv_id, z FROM back WHERE i = 1) f ON f.conv_id IS NOT DISTIN
 def op12_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
     conversations = table(spark, folder, "conversations")
     return repair.repair_report(conversations, repair.damaged(conversations))
+
+
+@query()
+def op13_virtual_slots(spark: SparkSession, folder: str) -> DataFrame:
+    stored, version = sharding.sharded(table(spark, folder, "documents"), 24, work_dir(spark, "shards"))
+    text = F.col("doc.text")
+    return stored.select(
+        F.col("doc.doc_id").alias("doc_id"),
+        sharding.size_of(text).alias("size"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        F.col("place").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+        F.col("slot").alias("virtual_slot"),
+        F.lit(version).alias("map_version"),
+    )
