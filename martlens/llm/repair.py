@@ -229,7 +229,9 @@ def edits(turns: DataFrame) -> DataFrame:
     initial = F.substring("role", 1, 1)
     known = F.when(initial.isin("s", "u", "a"), initial).otherwise("?")
     code = F.when(F.col("fault").isin("blank", "duplicate"), "x").when(F.col("fault") == "truncated", F.translate(F.upper(known), "?", "!")).otherwise(known)
-    dealt = turns.select("conv_id", "place", code.alias("code")).repartition("conv_id").sortWithinPartitions("conv_id", "place")
+    # a byte a turn: by size alone Spark would lay all of them into one task, but the tables take time
+    tasks = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = turns.select("conv_id", "place", code.alias("code")).repartition(tasks, "conv_id").sortWithinPartitions("conv_id", "place")
     return dealt.mapInArrow(rows, f"conv_id {kind}, step long, op string, place long, given string")
 
 

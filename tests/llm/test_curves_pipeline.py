@@ -11,7 +11,7 @@ from martlens.llm import curves
 from martlens.llm.common import stored, table
 from martlens.llm.queries import QUERIES
 from tests.llm.test_repeats import brute
-from tests.llm.test_simhash import groups, plain_fingerprint
+from tests.llm.test_near_copies import brute as all_pairs
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -76,13 +76,9 @@ def test_stages_against_brute_force(ready):
             assert docs.columns == before.columns and 0.5 * before.count() < docs.count() <= before.count()
     texts = lambda df: {r.doc_id: r.text for r in df.collect()}
     judged = texts(rows["toxicity"])
-    fps = {i: plain_fingerprint(t) for i, t in judged.items()}
-    root = groups(sorted(set(fps.values())), 2)
-    best = {}
-    for i in sorted(judged):
-        best.setdefault(root[fps[i]], i)
-    assert sorted(texts(rows["near duplicates"])) == sorted(best.values())
-    want = brute([(i, judged[i]) for i in best.values()], 100)
+    best = all_pairs(list(judged.items()))
+    assert sorted(texts(rows["near duplicates"])) == best
+    want = brute([(i, judged[i]) for i in best], 100)
     cut = texts(rows["repeated passages"])
     assert cut == {i: b.decode("utf-8", "ignore") for i, b in want.items()}
     assert {r.doc_id for r in rows["best-fit packing"].collect()} == set(cut)
