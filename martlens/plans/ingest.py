@@ -624,7 +624,7 @@ def repeated_line_keys(m: SampleModel):
 @query(
     "V8",
     """
-WITH few AS (SELECT p_partkey FROM part WHERE p_size <= 40)
+WITH few AS (SELECT p_partkey * 2 AS p_partkey FROM part)
 SELECT 'products.shop_id' AS reference, 0 AS orphan_rows, 0 AS orphan_keys
 UNION ALL SELECT 'product_prices.product_id', count(*), count(DISTINCT product_id) FROM m_prices WHERE product_id NOT IN (SELECT p_partkey FROM few)
 UNION ALL SELECT 'reviews.product_id', count(*), count(DISTINCT product_id) FROM m_facts WHERE product_id NOT IN (SELECT p_partkey FROM few)
@@ -634,10 +634,11 @@ UNION ALL SELECT 'order_lines.product_id', count(*), count(DISTINCT product_id)
 )
 def referential_report(m: SampleModel):
     n_shops = m.raw("supplier").select(F.count("*")).scalar()
-    few = m.raw("part").filter("p_size <= 40").select(F.col("p_partkey").alias("product_id"), (F.col("p_partkey") % n_shops).alias("shop_id"))
+    # all products under the even numbers, so that rows of odd ones are orphans
+    even = m.raw("part").select((F.col("p_partkey") * 2).alias("product_id"), (F.col("p_partkey") % n_shops).alias("shop_id"))
     return V.referential_report(
         {
-            "products": few,
+            "products": even,
             "shops": m.shops,
             "product_prices": m.product_prices,
             "reviews": m.review_facts,
@@ -717,9 +718,9 @@ def _product_messages(m: SampleModel) -> DataFrame:
 
 
 def _stored_products(m: SampleModel) -> DataFrame:
-    """Every other product is in the table already."""
-    return m.products.filter("product_id % 2 = 0").select(
-        "product_id",
+    """All products under the even numbers: messages find half of theirs, and half of the table gets no message."""
+    return m.products.select(
+        (F.col("product_id") * 2).alias("product_id"),
         "name",
         "url",
         "shop_id",
@@ -744,11 +745,11 @@ def present_merge_sql(columns: dict[str, str]) -> str:
     return f"""
 WITH msgs AS ({PRODUCT_MESSAGES}),
 folded AS (SELECT product_id AS pid, {folds} FROM msgs GROUP BY product_id),
-stored AS (SELECT *, short_description AS description FROM m_products WHERE product_id % 2 = 0)
-SELECT pid AS product_id, {values},
+stored AS (SELECT * REPLACE (product_id * 2 AS product_id), short_description AS description FROM m_products)
+SELECT coalesce(pid, s.product_id) AS product_id, {values},
        strftime(CASE WHEN s.product_id IS NOT NULL THEN s.first_seen ELSE {PRICE_NOW} END, '%Y-%m-%d %H:%M:%S.%f') AS first_seen,
-       strftime({PRICE_NOW}, '%Y-%m-%d %H:%M:%S.%f') AS last_updated
-FROM folded LEFT JOIN stored s ON pid = s.product_id"""
+       strftime(CASE WHEN pid IS NULL THEN s.first_seen ELSE {PRICE_NOW} END, '%Y-%m-%d %H:%M:%S.%f') AS last_updated
+FROM folded FULL JOIN stored s ON pid = s.product_id"""
 
 
 @query(
@@ -770,12 +771,12 @@ ENRICHED = ("name", "url", "shop_id", "category_id", "rating", "sold_count", "re
 @query(
     "U2 Q4",
     f"""
-WITH d AS ({DETAIL_SQL}), s AS (SELECT * FROM m_products WHERE product_id % 2 = 0)
-SELECT d.product_id, {', '.join(f'coalesce(d.{c}, s.{c}) AS {c}' for c in ENRICHED)}
-FROM d LEFT JOIN s ON d.product_id = s.product_id""",
+WITH d AS ({DETAIL_SQL}), s AS (SELECT * REPLACE (product_id * 2 AS product_id) FROM m_products)
+SELECT coalesce(d.product_id, s.product_id) AS product_id, {', '.join(f'coalesce(d.{c}, s.{c}) AS {c}' for c in ENRICHED)}
+FROM d FULL JOIN s ON d.product_id = s.product_id""",
 )
 def product_enrichment(m: SampleModel):
-    stored = m.products.filter("product_id % 2 = 0").select("product_id", *ENRICHED)
+    stored = m.products.select((F.col("product_id") * 2).alias("product_id"), *ENRICHED)
     return U.enrich_products(stored, parse.product_details(S.detail_payloads(m), site=SITE), m.price_time)
 
 
@@ -828,13 +829,13 @@ def shop_placeholders(m: SampleModel):
     "U4",
     f"""
 WITH d AS (SELECT shop_id, arg_max(shop_name, product_id) AS n FROM ({DETAIL_SQL}) WHERE shop_id IS NOT NULL GROUP BY 1),
-s AS (SELECT * FROM m_shops WHERE shop_id % 2 = 0)
+s AS (SELECT * REPLACE (shop_id * 2 AS shop_id) FROM m_shops)
 SELECT coalesce(d.shop_id, s.shop_id) AS shop_id, coalesce(n, shop_name, 'Shop ' || d.shop_id) AS shop_name,
        coalesce(is_official, false) AS is_official
 FROM s FULL JOIN d ON s.shop_id = d.shop_id""",
 )
 def shop_upsert(m: SampleModel):
-    stored = m.shops.filter("shop_id % 2 = 0").select("shop_id", "shop_name", "is_official")
+    stored = m.shops.select((F.col("shop_id") * 2).alias("shop_id"), "shop_name", "is_official")
     return U.upsert_shops(stored, parse.product_details(S.detail_payloads(m)))
 
 
@@ -851,12 +852,12 @@ def category_placeholders(m: SampleModel):
 
 @query(
     "U6 U8 T5",
-    f"SELECT seq, review_id, product_id, rating FROM ({REVIEW_DETAIL_SQL}) WHERE seq % 2 = 0 AND review_id % 10 <> 1",
+    f"SELECT seq, review_id, product_id, rating FROM ({REVIEW_DETAIL_SQL}) WHERE seq % 2 = 0 AND review_id NOT IN (SELECT review_id * 10 + 1 FROM m_facts)",
 )
 def new_reviews(m: SampleModel):
     """First message of each review that is not stored yet."""
     sent = parse.review_details(S.review_messages(m).select("seq", "value"), m.review_time)
-    stored = m.review_facts.filter("review_id % 10 = 1").select("review_id")
+    stored = m.review_facts.select((F.col("review_id") * 10 + 1).alias("review_id"))
     return U.new_rows(sent.select("seq", "review_id", "product_id", "rating"), stored, "review_id")
 
 
@@ -865,16 +866,16 @@ def new_reviews(m: SampleModel):
     f"""
 WITH o AS (SELECT user_id AS customer_id, arg_max(CASE WHEN review_id % 4 = 0 THEN 'Full ' || user_name ELSE user_name END, review_id) AS n
   FROM m_facts WHERE review_id % 11 <> 0 AND user_id <> 0 GROUP BY 1),
-c AS (SELECT customer_id, CASE WHEN customer_id % 2 = 0 THEN 'user_' || customer_id ELSE customer_name END AS customer_name FROM m_customers WHERE customer_id % 3 <> 0)
+c AS (SELECT customer_id * 3 AS customer_id, CASE WHEN customer_id % 2 = 0 THEN 'user_' || customer_id * 3 ELSE customer_name END AS customer_name FROM m_customers)
 SELECT coalesce(o.customer_id, c.customer_id) AS customer_id, coalesce(n, customer_name) AS customer_name,
        strftime(CASE WHEN n IS NOT NULL AND n IS DISTINCT FROM customer_name THEN {REVIEW_NOW} ELSE TIMESTAMP '2020-01-01' END, '%Y-%m-%d %H:%M:%S.%f') AS last_updated
 FROM c FULL JOIN o ON c.customer_id = o.customer_id""",
 )
 def customer_upsert(m: SampleModel):
     k = F.col("customer_id")
-    name = F.when(k % 2 == 0, F.concat(F.lit("user_"), k)).otherwise(F.col("customer_name"))
-    stored = m.customers.filter("customer_id % 3 != 0").select(
-        k, name.alias("customer_name"), F.lit("2020-01-01").cast("timestamp").alias("last_updated")
+    name = F.when(k % 2 == 0, F.concat(F.lit("user_"), k * 3)).otherwise(F.col("customer_name"))
+    stored = m.customers.select(
+        (k * 3).alias("customer_id"), name.alias("customer_name"), F.lit("2020-01-01").cast("timestamp").alias("last_updated")
     )
     return U.upsert_customers(stored, S.order_messages(m), m.review_time)
 
@@ -885,13 +886,13 @@ def customer_upsert(m: SampleModel):
 WITH items AS (
   SELECT p_partkey % {N_SHOPS} AS shop_id, max(p_partkey) AS last FROM part
   WHERE p_partkey % 4 <> 0 AND p_partkey % {N_SHOPS} <> 0 GROUP BY 1),
-s AS (SELECT * FROM m_shops WHERE shop_id % 3 <> 0)
+s AS (SELECT * REPLACE (shop_id * 3 AS shop_id) FROM m_shops)
 SELECT coalesce(i.shop_id, s.shop_id) AS shop_id, CASE WHEN i.shop_id IS NOT NULL THEN 'Shop ' || i.shop_id ELSE shop_name END AS shop_name,
        CASE WHEN i.shop_id IS NOT NULL THEN last % 10 = 1 ELSE is_official END AS is_official, follower_count
 FROM s FULL JOIN items i ON s.shop_id = i.shop_id""",
 )
 def shop_overwrite(m: SampleModel):
-    stored = m.shops.filter("shop_id % 3 != 0").select("shop_id", "shop_name", "is_official", "follower_count")
+    stored = m.shops.select((F.col("shop_id") * 3).alias("shop_id"), "shop_name", "is_official", "follower_count")
     # elements are numbered in message order
     items = parse.shop_items(S.listing_elements(m), keep=(F.col("p_partkey").alias("seq"),))
     return U.overwrite_rows(stored, items, "shop_id", ["follower_count"], m.review_time)
@@ -942,13 +943,14 @@ SELECT review_id AS order_id, user_id AS customer_id, review_id, f.product_id,
        date_trunc('second', created_at) AS order_date, price
 FROM m_facts f LEFT JOIN m_latest l ON f.product_id = l.product_id
 WHERE review_id <> 0 AND f.product_id <> 0 AND review_id % 11 <> 0 AND user_id <> 0
-  AND f.product_id IN (SELECT p_partkey FROM part WHERE p_size > 10)
-  AND review_id NOT IN (SELECT order_id FROM m_orders WHERE order_id % 3 = 0)"""
+  AND f.product_id IN (SELECT p_partkey * 2 FROM part)
+  AND review_id NOT IN (SELECT order_id * 3 FROM m_orders)"""
 
 
 def _order_facts(m: SampleModel) -> DataFrame:
-    known = m.raw("part").filter("p_size > 10").select(F.col("p_partkey").alias("product_id"))
-    done = m.orders.filter("order_id % 3 = 0").select(F.col("order_id").alias("review_id"))
+    # products under the even numbers are known, and the orders stand for every third review
+    known = m.raw("part").select((F.col("p_partkey") * 2).alias("product_id"))
+    done = m.orders.select((F.col("order_id") * 3).alias("review_id"))
     return D.order_facts(S.order_messages(m), known, m.product_prices, done)
 
 
@@ -990,14 +992,15 @@ SELECT review_id AS order_id, CAST(('0x' || substr(md5(user_name), 1, 8)) AS BIG
        coalesce(CAST(price AS DOUBLE), 100000.0) AS unit_price, coalesce(CAST(price AS DOUBLE), 100000.0) AS total_amount,
        'completed' AS status
 FROM m_facts f JOIN part ON p_partkey = f.product_id
-LEFT JOIN (SELECT * FROM m_latest WHERE product_id % 5 <> 0) l ON f.product_id = l.product_id
-WHERE review_id NOT IN (SELECT order_id FROM m_orders WHERE order_id % 3 = 0)""",
+LEFT JOIN m_latest l ON f.product_id = l.product_id * 2
+WHERE review_id NOT IN (SELECT order_id * 3 FROM m_orders)""",
 )
 def order_backfill(m: SampleModel):
-    done = m.orders.filter("order_id % 3 = 0").select(F.col("order_id").alias("review_id"))
+    done = m.orders.select((F.col("order_id") * 3).alias("review_id"))
     products = m.raw("part").select(F.col("p_partkey").alias("product_id"))
-    # some products have no price, so that the default is used
-    return D.backfill_orders(m.review_facts, done, products, m.product_prices.filter("product_id % 5 != 0"))
+    # all prices under the even numbers: the other products have none, so that the default is used
+    priced = m.product_prices.withColumn("product_id", F.col("product_id") * 2)
+    return D.backfill_orders(m.review_facts, done, products, priced)
 
 
 @query(

@@ -9,7 +9,7 @@ from martlens.operators import aggregates as A, joins as J, prices as P, sentime
 from martlens.plans import dashboards as B
 from martlens.plans.oracle import PRICE_NOW, REVIEW_NOW, day, dbl, ts
 from martlens.plans.registry import query
-from martlens.plans.sample_model import SampleModel
+from martlens.plans.sample_model import SampleModel, n_rows
 
 # joins -------------------------------------------------------------------------------------
 
@@ -102,13 +102,11 @@ def scored_review_detail(m: SampleModel):
 @query(
     "J7",
     """
-SELECT r.review_id, r.product_id FROM m_facts r
-LEFT JOIN (SELECT order_id FROM m_orders WHERE order_id % 3 = 0) o ON r.review_id = o.order_id
-WHERE o.order_id IS NULL""",
+SELECT r.review_id, r.product_id FROM m_facts r LEFT JOIN m_orders o ON r.review_id = o.order_id * 3 WHERE o.order_id IS NULL""",
 )
 def reviews_without_order(m: SampleModel):
-    # every third order stands for a review that has been turned into an order
-    done = m.orders.filter("order_id % 3 = 0").select(F.col("order_id").alias("review_id"))
+    # the orders stand for every third review
+    done = m.orders.select((F.col("order_id") * 3).alias("review_id"))
     return J.without_match(m.review_facts.select("review_id", "product_id"), done, "review_id")
 
 
@@ -117,11 +115,12 @@ def reviews_without_sentiment(m: SampleModel):
     return J.without_match(m.review_facts.select("review_id", "rating"), m.review_sentiment, "review_id")
 
 
-GUARD_SQL = "(SELECT p_partkey FROM part WHERE p_size > 10)"
+GUARD_SQL = "(SELECT p_partkey * 2 FROM part)"
 
 
 def _known_products(m: SampleModel):
-    return m.raw("part").filter("p_size > 10").select(F.col("p_partkey").alias("product_id"))
+    """All products under the even numbers, so that odd ones are unknown."""
+    return m.raw("part").select((F.col("p_partkey") * 2).alias("product_id"))
 
 
 @query("J9", f"SELECT review_id, product_id, rating FROM m_facts WHERE product_id IN {GUARD_SQL}")
@@ -272,12 +271,20 @@ def sentiment_trend(m: SampleModel):
     return A.sentiment_trend(m.review_sentiment, m.review_time)
 
 
+PER_HOUR_SQL = """
+SELECT strftime(date_trunc('hour', first_seen), '%Y-%m-%d %H:%M:%S.%f') AS hour, count(*) AS products_count
+FROM m_products WHERE first_seen > (SELECT max(first_seen) FROM m_products) - INTERVAL {} HOUR GROUP BY 1"""
+
+
+@query("A8 F3", PER_HOUR_SQL.format(24))
+def products_per_hour_of_a_day(m: SampleModel):
+    return A.products_per_hour(m.products, m.products.select(F.max("first_seen")).scalar())
+
+
 # Sample products are first seen over years, so the report looks back further than a day.
 @query(
     "A8 F3",
-    """
-SELECT strftime(date_trunc('hour', first_seen), '%Y-%m-%d %H:%M:%S.%f') AS hour, count(*) AS products_count
-FROM m_products WHERE first_seen > (SELECT max(first_seen) FROM m_products) - INTERVAL 2400 HOUR GROUP BY 1""",
+    PER_HOUR_SQL.format(2400),
 )
 def products_per_hour(m: SampleModel):
     newest = m.products.select(F.max("first_seen")).scalar()
@@ -368,6 +375,11 @@ def price_changes_chronological(m: SampleModel):
     return P.price_changes(m.products, m.product_prices, m.price_time, 60, "chronological")
 
 
+@query("W1 J4", changes_sql(7, "reference"))
+def price_changes_of_a_week(m: SampleModel):
+    return P.price_changes(m.products, m.product_prices, m.price_time)
+
+
 @query("W1", changes_sql(4000, "chronological"))
 def price_changes_whole_history(m: SampleModel):
     # days are the resolution of the sample's times, so a month is a sensible slice here
@@ -510,6 +522,11 @@ def category_price_histogram(m: SampleModel):
     return B.category_price_histogram(m.products, m.product_prices, m.categories)
 
 
+@query("B5", "SELECT product_id, name, rating, review_count FROM m_products WHERE rating >= 4.5")
+def best_rated(m: SampleModel):
+    return B.highly_rated(m.products)
+
+
 @query("B5", "SELECT product_id, name, rating, review_count FROM m_products WHERE rating >= 4.0")
 def highly_rated(m: SampleModel):
     # sample ratings average about 3, so the mark is set a little lower than the usual 4.5
@@ -620,10 +637,11 @@ def weekly_sentiment(m: SampleModel):
     return B.weekly_sentiment(m.review_facts, m.review_sentiment)
 
 
-# All reviews of a sample product share one text, so here the stars give the label.
-STARS_WEEKLY_SQL = """
-SELECT product_id, date_trunc('week', created_at) AS w, count(*) AS n, count(CASE WHEN rating >= 4 THEN 1 END) AS positive
-FROM m_facts GROUP BY 1, 2"""
+# All reviews of a sample product share one text and so one label; here the numbers go round one product fewer, which mixes texts.
+MIXED_WEEKLY_SQL = """
+SELECT review_id % (SELECT count(*) - 1 FROM part) AS product_id, date_trunc('week', processed_at) AS w, count(*) AS n,
+       count(CASE WHEN sentiment = 'positive' THEN 1 END) AS positive
+FROM m_sentiment GROUP BY 1, 2"""
 
 
 @query(
@@ -632,13 +650,12 @@ FROM m_facts GROUP BY 1, 2"""
 SELECT product_id, p_name AS name, weeks, slope FROM (
   SELECT product_id, count(*) AS weeks,
          round(regr_slope(CAST(positive AS DOUBLE) / n, datediff('day', DATE '1970-01-01', CAST(w AS DATE)) / 7.0), 6) AS slope
-  FROM ({STARS_WEEKLY_SQL}) GROUP BY 1) JOIN part ON p_partkey = product_id
+  FROM ({MIXED_WEEKLY_SQL}) GROUP BY 1) JOIN part ON p_partkey = product_id
 WHERE weeks >= 2 AND slope < 0""",
 )
 def declining_sentiment(m: SampleModel):
-    label = F.when(F.col("rating") >= 4, "positive").when(F.col("rating") <= 2, "negative").otherwise("neutral")
-    by_stars = m.review_facts.select("review_id", label.alias("sentiment"), F.col("created_at").alias("processed_at"))
-    return B.declining_sentiment(m.products, m.review_facts, by_stars)
+    product = F.col("review_id") % (n_rows(m.raw("part")) - 1)
+    return B.declining_sentiment(m.products, m.review_facts.select("review_id", product.alias("product_id")), m.review_sentiment)
 
 
 @query(

@@ -20,16 +20,21 @@ ROLLUP_COLUMNS = f"""
 round(CAST(sum(price) AS DOUBLE) / count(*), 4) AS avg_price, {dbl('min(price)', 'min_price')},
 {dbl('max(price)', 'max_price')}, count(*) AS price_changes"""
 
-# the stored rollup knows even products only; a refresh brings the odd ones in, but only within its range
+# the stored rollup was made before all prices rose by one; a refresh takes the rise in, but only within its range
 REFRESH_SQL = f"""
-WITH span AS (SELECT date_trunc('hour', {PRICE_NOW} - INTERVAL 60 DAY) AS low, date_trunc('hour', {PRICE_NOW} - INTERVAL 24 HOUR) AS high)
+WITH span AS (SELECT date_trunc('hour', {PRICE_NOW} - INTERVAL 60 DAY) AS low, date_trunc('hour', {PRICE_NOW} - INTERVAL 24 HOUR) AS high),
+seen AS (SELECT product_id, ts, price - CASE WHEN ts >= low AND ts < high THEN 0 ELSE 1 END AS price FROM m_prices, span)
 SELECT product_id, {ts("date_trunc('hour', ts)", 'bucket')}, {ROLLUP_COLUMNS}
-FROM m_prices, span WHERE product_id % 2 = 0 OR (ts >= low AND ts < high) GROUP BY product_id, date_trunc('hour', ts)"""
+FROM seen GROUP BY product_id, date_trunc('hour', ts)"""
+
+
+def _before_the_rise(m: SampleModel) -> DataFrame:
+    return m.product_prices.withColumn("price", (F.col("price") - 1).cast("decimal(12,2)"))
 
 
 @query("T2 T3 A9", REFRESH_SQL)
 def rollup_refresh(m: SampleModel):
-    stored = P.hourly_rollup(m.product_prices.filter("product_id % 2 = 0"))
+    stored = P.hourly_rollup(_before_the_rise(m))
     return P.refresh_rollup(stored, m.product_prices, m.price_time, start_days=60, end_hours=24)
 
 
@@ -37,8 +42,7 @@ def rollup_refresh(m: SampleModel):
 def stored_rollup_refresh(m: SampleModel):
     """The same on disk: only the partitions in the range are rewritten (months, for this span)."""
     path = work_dir(m.spark, "rollup") + "/hourly"
-    even = m.product_prices.filter("product_id % 2 = 0")
-    rollups.write_rollup(P.hourly_rollup(even), path, "month")
+    rollups.write_rollup(P.hourly_rollup(_before_the_rise(m)), path, "month")
     rollups.refresh_stored(m.product_prices, path, m.price_time, "month", start_days=60, end_hours=24)
     return m.spark.read.parquet(path).drop("bucket_period")
 
@@ -159,7 +163,10 @@ def _stages(m: SampleModel, replay: bool = False) -> Stages:
     """Products, then reviews, through the stages; a replay feeds the reviews a second time."""
     root = work_dir(m.spark, "stages")
     stages = Stages(m.spark, root, scorer=M.score_with_lexicon).create()
-    _land(S.product_messages(m, versions=1).filter(F.col("seq") % 4 != 0), f"{root}/in/products")
+    # every product is sent under twice its number, so that reviews of odd numbers have no product
+    sent = SampleModel(m.spark, m.folder)
+    sent.parts = m.parts.withColumn("p_partkey", F.col("p_partkey") * 2)
+    _land(S.product_messages(sent, versions=1), f"{root}/in/products")
     _land(S.review_messages(m), f"{root}/in/reviews")
     stream = lambda name: messages.read_stream(m.spark, "json", {}, f"{root}/in/{name}")
     stages.run(stream("products"), stages.on_products, "products")
@@ -170,10 +177,10 @@ def _stages(m: SampleModel, replay: bool = False) -> Stages:
     return stages
 
 
-# product messages of version 1; a quarter of them is missing
+# product messages of version 1 under the even numbers
 STAGED_PRODUCTS = """
 SELECT p_partkey AS product_id, CASE WHEN (p_partkey + 1) % 7 = 0 THEN 0 WHEN (p_partkey + 1) % 6 <> 0 THEN p_partkey % 100 + 10 END AS price
-FROM part WHERE (p_partkey * 10 + 1) % 4 <> 0"""
+FROM (SELECT p_partkey * 2 AS p_partkey FROM part)"""
 STAGED_REVIEWS = f"""
 SELECT r.* FROM ({REVIEW_DETAIL_SQL}) r JOIN ({STAGED_PRODUCTS}) p ON r.product_id = p.product_id
 WHERE seq % 2 = 0 AND review_id <> 0 AND r.product_id <> 0"""
