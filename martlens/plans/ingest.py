@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from martlens import schemas
 from martlens.functions import scalars as X
-from martlens.operators import crawl as C, derive as D, merge as U, parse, quality as V, sentiment as M
+from martlens.operators import crawl as C, derive as D, merge as U, parse, quality as V, sentiment as M, similarity as near
 from martlens.plans import sample_messages as S
 from martlens.plans.oracle import PRICE_NOW, REVIEW_NOW, dbl, ts
 from martlens.plans.registry import query
@@ -936,6 +936,49 @@ def duplicate_products(m: SampleModel):
     return groups.join(names, "kept_id").select("product_name", "kept_id", "copies")
 
 
+def similar_sql(tokens: str) -> str:
+    """Groups by the true Jaccard similarity of all pairs; `tokens` gives (key, token) once each, and a null token where a row has none."""
+    return f"""
+WITH RECURSIVE tokens AS ({tokens}),
+sizes AS (SELECT key, count(token) AS n FROM tokens GROUP BY 1),
+links AS (
+  SELECT a.key AS u, b.key AS v FROM tokens a JOIN tokens b ON a.token = b.token AND a.key <> b.key
+  JOIN sizes x ON x.key = a.key JOIN sizes y ON y.key = b.key GROUP BY 1, 2, x.n, y.n HAVING 9 * count(*) >= 4 * (x.n + y.n)
+  UNION ALL SELECT lowest, e.key FROM (SELECT s.key, min(s.key) OVER () AS lowest FROM sizes s WHERE n = 0) e
+  UNION ALL SELECT e.key, lowest FROM (SELECT s.key, min(s.key) OVER () AS lowest FROM sizes s WHERE n = 0) e),
+reached AS (SELECT key, key AS other FROM sizes UNION SELECT l.v, r.other FROM reached r JOIN links l ON l.u = r.key)
+SELECT key, min(other) AS group_id FROM reached GROUP BY 1"""
+
+
+@query(
+    "U13",
+    similar_sql(
+        """
+SELECT DISTINCT doc_id AS key, array_to_string(w[i:i + 4], ' ') AS token FROM (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                             '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents)
+LEFT JOIN LATERAL unnest(CASE WHEN len(w) > 0 THEN range(1, greatest(len(w) - 4, 1) + 1) END) AS u(i) ON true"""
+    ).replace("SELECT key, min", "SELECT key AS doc_id, min"),
+)
+def near_duplicate_reviews(m: SampleModel):
+    """Review texts that share four fifths of their runs of five words, directly or over others."""
+    return near.near_duplicate_groups(m.documents, "doc_id", near.word_shingles("text"))
+
+
+@query(
+    "U13",
+    similar_sql(
+        """
+SELECT DISTINCT p_partkey AS key, t[i:i + 2] AS token FROM (SELECT p_partkey, lower(p_name || ' ' || p_brand) AS t FROM part),
+  unnest(range(1, greatest(length(t) - 2, 1) + 1)) AS u(i)"""
+    ).replace("SELECT key, min", "SELECT key AS product_id, min"),
+)
+def near_duplicate_products(m: SampleModel):
+    """Products whose names and brands share four fifths of their runs of three letters."""
+    parts = m.raw("part").withColumnRenamed("p_partkey", "product_id")
+    return near.near_duplicate_groups(parts, "product_id", near.character_runs(F.concat("p_name", F.lit(" "), "p_brand")))
+
+
 # derived facts -----------------------------------------------------------------------------
 
 ORDER_FACTS_SQL = f"""
