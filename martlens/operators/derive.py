@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martlens.functions import scalars as X
@@ -18,6 +20,7 @@ def order_facts(
     existing_orders: DataFrame | None = None,
     now: Column | None = None,
     as_of: Column | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Order messages to order rows with their single line.
 
@@ -37,6 +40,7 @@ def order_facts(
     if dict(messages.dtypes)["order_date"] == "string":
         date = X.moment("order_date", now if now is not None else F.current_timestamp())
     return priced.select(
+        *keep,
         F.col("review_id").alias("order_id"),
         "customer_id",
         "review_id",
@@ -50,12 +54,13 @@ def order_facts(
     )
 
 
-def orders_of(facts: DataFrame) -> DataFrame:
-    return facts.select("order_id", "customer_id", "review_id", "order_date", "total_amount", "status")
+def orders_of(facts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return facts.select(*keep, "order_id", "customer_id", "review_id", "order_date", "total_amount", "status")
 
 
-def order_lines_of(facts: DataFrame) -> DataFrame:
+def order_lines_of(facts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return facts.select(
+        *keep,
         F.col("order_id").alias("order_line_id"),
         "order_id",
         "product_id",

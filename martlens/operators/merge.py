@@ -156,7 +156,7 @@ def price_rows(messages: DataFrame, at: str = "timestamp", seq: str = "seq") ->
     """Price rows of the messages whose price is set and not zero, the first per product and time."""
     priced = messages.filter(X.is_truthy("price", messages.schema["price"].dataType))
     return priced.groupBy("product_id", F.col(at).alias("timestamp")).agg(
-        *[F.min_by(v, seq).alias(v) for v in PRICE_VALUES]
+        *[F.min_by(v, seq).alias(v) for v in PRICE_VALUES], F.min(seq).alias(seq)
     )
 
 

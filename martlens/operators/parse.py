@@ -240,9 +240,10 @@ def star_histogram(payloads: DataFrame, body: str = "value", keep: tuple[str, ..
     )
 
 
-def order_messages(reviews: DataFrame) -> DataFrame:
+def order_messages(reviews: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """The order message of each accepted review."""
     return reviews.select(
+        *keep,
         "review_id",
         "product_id",
         "customer_id",
@@ -252,9 +253,10 @@ def order_messages(reviews: DataFrame) -> DataFrame:
     )
 
 
-def sentiment_messages(reviews: DataFrame) -> DataFrame:
+def sentiment_messages(reviews: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """The scoring message of each review; a null comment becomes ''."""
     return reviews.select(
+        *keep,
         "review_id",
         "product_id",
         F.coalesce("comment", F.lit("")).alias("comment"),
@@ -263,15 +265,16 @@ def sentiment_messages(reviews: DataFrame) -> DataFrame:
     )
 
 
-def detail_requests(products: DataFrame) -> DataFrame:
+def detail_requests(products: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Detail requests; a missing or zero spid falls back to the product id."""
     spid = F.nullif("spid", F.lit(0)) if "spid" in products.columns else F.lit(None).cast("bigint")
-    return products.select("product_id", F.coalesce(spid, "product_id").alias("spid"))
+    return products.select(*keep, "product_id", F.coalesce(spid, "product_id").alias("spid"))
 
 
-def review_requests(details: DataFrame) -> DataFrame:
+def review_requests(details: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Review requests; an unknown seller becomes 1."""
     return details.select(
+        *keep,
         "product_id",
         F.coalesce("spid", "product_id").alias("spid"),
         F.coalesce(F.nullif("seller_id", F.lit(0)), F.lit(1)).alias("seller_id"),

@@ -256,7 +256,7 @@ def staged_review_pages(m: SampleModel):
     lost = stages.rejects.current()
     readable = F.col("reason") != "not a JSON object"
     return sent.unionByName(
-        lost.select(F.col("reason").alias("outcome"), F.when(readable, F.col("seq")).alias("product_id"), F.lit(None).cast("string").alias("key"))
+        lost.select(F.col("reason").alias("outcome"), F.when(readable, F.col("seq.at")).alias("product_id"), F.lit(None).cast("string").alias("key"))
     )
 
 
@@ -291,7 +291,7 @@ def staged_chain(m: SampleModel):
     # a backfill queues nothing that is scored already
     queue = D.backfill_sentiment_queue(stages.reviews.current(), stages.sentiment.current().select("review_id"))
     body = F.to_json(F.struct("review_id", "comment"))
-    stages.on_sentiment(queue.select(F.lit(1).cast("bigint").alias("seq"), F.lit(None).cast("string").alias("key"), body.alias("value")), 1)
+    stages.on_sentiment(queue.select(messages.place(F.lit(1)).alias("seq"), F.lit(None).cast("string").alias("key"), body.alias("value")), 1)
     orders = stages.orders.current().select("review_id", "order_id", "total_amount")
     scores = stages.sentiment.current().select("review_id", "sentiment")
     return stages.reviews.current().select("review_id", "product_id").join(orders, "review_id", "left").join(scores, "review_id", "left")

@@ -42,3 +42,9 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).options(**CSV, emptyValue="").csv(path)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder, whichever store it lies in; one that is gone already is no error."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -11,6 +11,20 @@ from martlens import schemas
 from martlens.functions import scalars as X
 
 TOPIC = "topic"
+#: Where a message stands among all others; numbers are compared one after the other, so none has to fit into another.
+PLACE = "STRUCT<at: BIGINT, part: INT, offset: BIGINT, position: INT>"
+LANDED = "seq BIGINT, timestamp TIMESTAMP, partition INT, offset BIGINT, key STRING, value STRING"
+
+
+def place(at: Column, part: Column | None = None, offset: Column | None = None, position: Column | None = None) -> Column:
+    """A message's place: its number or time, then its partition, its offset there, and its position if it is part of a message."""
+    zero = F.lit(0)
+    return F.struct(
+        at.cast("bigint").alias("at"),
+        (zero if part is None else part).cast("int").alias("part"),
+        (zero if offset is None else offset).cast("bigint").alias("offset"),
+        (zero if position is None else position).cast("int").alias("position"),
+    )
 
 
 def json_messages(raw: DataFrame, schema: str, value: str = "value") -> DataFrame:
@@ -47,20 +61,26 @@ def corrupt(messages: DataFrame) -> DataFrame:
 
 
 def read_stream(spark: SparkSession, fmt: str, options: dict[str, str], path: str | None = None) -> DataFrame:
-    """A message stream from its beginning, as seq, key and value.
+    """A message stream from its beginning, as seq (a place), key and value.
 
     fmt="kafka" needs Spark's Kafka connector on the class path.  fmt="json" reads landed files
-    of such messages.
+    of such messages, numbered or with time, partition and offset.
     """
     reader = spark.readStream.format(fmt).options(**options)
     if fmt == "kafka":
         return from_kafka(reader.option("startingOffsets", "earliest").load())
-    return reader.schema("seq BIGINT, key STRING, value STRING").load(path)
+    return landed(reader.schema(LANDED).load(path))
+
+
+def landed(rows: DataFrame) -> DataFrame:
+    """Rows of LANDED as messages; those with an offset are placed like Kafka records, others by their number."""
+    kafka = place(F.unix_millis("timestamp"), F.col("partition"), F.col("offset"))
+    return rows.select(F.when(F.col("offset").isNotNull(), kafka).otherwise(place(F.col("seq"))).alias("seq"), "key", "value")
 
 
 def from_kafka(records: DataFrame) -> DataFrame:
-    """Kafka records to messages; `seq` rises with time and, within a millisecond, with the offset."""
-    seq = F.unix_millis("timestamp") * 1_000_000 + F.col("offset") % 1_000_000
+    """Kafka records to messages; `seq` rises with time and, within a millisecond, with partition and offset."""
+    seq = place(F.unix_millis("timestamp"), F.col("partition"), F.col("offset"))
     return records.select(
         seq.alias("seq"), F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martlens.operators import prices
+from martlens.sources import files
 
 
 def hourly_rollup_stream(stream: DataFrame, lateness: str = "3 days") -> DataFrame:
@@ -82,7 +83,7 @@ def refresh_stored(prices_df: DataFrame, path: str, as_of: Column, unit: str = "
     gone = [str(r.bucket_period) for r in emptied.toLocalIterator()]
     write_rollup(fresh, path, unit, mode="dynamic")
     for day in gone:
-        _remove(prices_df.sparkSession, f"{path}/bucket_period={day}")
+        files.remove(prices_df.sparkSession, f"{path}/bucket_period={day}")
 
 
 def write_history(prices_df: DataFrame, path: str, unit: str = "day") -> None:
@@ -104,9 +105,5 @@ def drop_expired(spark: SparkSession, path: str, as_of: Column, days: int = 90,
     oldest = F.to_date(F.date_trunc(unit, prices.since(as_of, days)))
     periods = spark.read.parquet(path).select("price_period").distinct()
     for row in periods.filter(F.col("price_period") < oldest).toLocalIterator():
-        _remove(spark, f"{path}/price_period={row.price_period}")
+        files.remove(spark, f"{path}/price_period={row.price_period}")
 
-
-def _remove(spark: SparkSession, folder: str) -> None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -2,9 +2,10 @@
 
 Each stage handles one micro-batch with joins instead of lookups and writes everything the
 batch causes under the batch's own id, so a replay after a crash rewrites the same rows.
-Rows a stage refuses go to the rejects table with a reason and their whole body, so they can be replayed.  Reviews, orders and sentiments
-that repeat in a later batch are settled when the tables are read (the first wins), so a batch
-costs what the batch holds, not what the tables hold.
+Rows a stage refuses go to the rejects table with a reason and their whole body, so they can be replayed.  Of reviews that
+repeat, over whatever time, the first stored one wins: a batch looks its keys up in the folders they fall into.
+Those folders grow with the tables, but a batch of few keys reads few of them, and finished batches are merged
+as they become many.  Reviews that come before their product wait and are sent again with its first message.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from martlens import schemas
 from martlens.functions import scalars as X
@@ -20,12 +21,12 @@ from martlens.operators import derive, merge, parse, quality, sentiment
 from martlens.sources import messages
 from martlens.sources.tables import LogTable
 
-# `seq` numbers messages across all streams; see messages.from_kafka.
-MESSAGE = "seq BIGINT, key STRING, value STRING"
+# `seq` places messages across all streams; see messages.place.
+MESSAGE = f"seq {messages.PLACE}, key STRING, value STRING"
 Scorer = Callable[[DataFrame], DataFrame]
 
 # Place of a row among all of its key.
-ORDER_AT = "order_at STRUCT<seq: BIGINT, stage: INT, batch: BIGINT>"
+ORDER_AT = f"order_at STRUCT<seq: {messages.PLACE}, stage: INT, batch: BIGINT>"
 # Update logs hold what messages set; `present` lists the columns each row sets.
 UPDATES = (
     "product_id BIGINT, name STRING, url STRING, image_url STRING, description STRING, "
@@ -41,21 +42,22 @@ ORDERS = f"{schemas.TABLES['orders']}, {ORDER_AT}"
 ORDER_LINES = f"{schemas.TABLES['order_lines']}, {ORDER_AT}"
 SENTIMENTS = f"{schemas.TABLES['review_sentiment']}, {ORDER_AT}"
 LISTED = ("name", "url", "image_url", "description", "shop_id", "category_id", "rating", "sold_count")
-REJECTS = "stage STRING, seq BIGINT, value STRING, reason STRING"
+REJECTS = f"stage STRING, seq {messages.PLACE}, value STRING, reason STRING"
+WAITING = f"product_id BIGINT, {MESSAGE}"
 METRICS = "stage STRING, processed BIGINT, failed BIGINT"
 
 
 def _order(stage: int, batch_id: int) -> Column:
-    """Place of an update among all of its key: by message number, which all streams share."""
+    """Place of an update among all of its key: by the message's place, which all streams share."""
     return F.struct(
         F.col("seq"), F.lit(stage).alias("stage"), F.lit(batch_id).cast("bigint").alias("batch")
     )
 
 
 def _place(batch_id: int) -> Column:
-    """Place of a row in a table that one stream feeds with one row per key and batch."""
+    """Place of a row in a table that gets one row per key and batch."""
     batch = F.lit(batch_id).cast("bigint")
-    return F.struct(batch.alias("seq"), F.lit(0).alias("stage"), batch.alias("batch"))
+    return F.struct(messages.place(batch).alias("seq"), F.lit(0).alias("stage"), batch.alias("batch"))
 
 
 def _unreadable(body: str) -> Column:
@@ -124,15 +126,16 @@ class Stages:
     def __init__(self, spark: SparkSession, root: str, scorer: Scorer = sentiment.score_with_lexicon):
         self.spark, self.root, self.scorer = spark, root, scorer
         table = lambda name, *how: LogTable(spark, f"{root}/tables/{name}", *how)
-        once = lambda name, columns, key: table(name, columns, _fold_once(key), _shorten_once(key))
-        self.products = table("products", UPDATES, _fold_products, _shorten_products)
-        self.shops = table("shops", SELLERS, _fold_shops, _shorten_shops)
+        once = lambda name, columns, key: table(name, columns, _fold_once(key), _shorten_once(key), key)
+        self.products = table("products", UPDATES, _fold_products, _shorten_products, "product_id")
+        self.shops = table("shops", SELLERS, _fold_shops, _shorten_shops, "shop_id")
         self.categories = table("categories", "category_id INT", DataFrame.distinct, DataFrame.distinct)
-        self.prices = table("product_prices", PRICES, _fold_prices, _shorten_prices)
+        self.prices = table("product_prices", PRICES, _fold_prices, _shorten_prices, "product_id")
         self.reviews = once("reviews", REVIEWS, "review_id")
         self.orders = once("orders", ORDERS, "review_id")
         self.order_lines = once("order_lines", ORDER_LINES, "order_id")
-        self.customers = table("customers", CUSTOMERS, _fold_customers, _shorten_customers)
+        self.customers = table("customers", CUSTOMERS, _fold_customers, _shorten_customers, "customer_id")
+        self.waiting = table("waiting", WAITING, DataFrame.distinct, DataFrame.distinct, "product_id")
         self.sentiment = once("review_sentiment", SENTIMENTS, "review_id")
         self.rejects = table("rejects", REJECTS)
         self.metrics = table("metrics", METRICS)
@@ -146,6 +149,7 @@ class Stages:
             self.orders,
             self.order_lines,
             self.customers,
+            self.waiting,
             self.sentiment,
             self.rejects,
             self.metrics,
@@ -158,16 +162,18 @@ class Stages:
         return self
 
     def _finish(self, stage: str, batch_id: int, judged: DataFrame) -> None:
-        """Write refused rows and the counts; `judged` has seq, value and a reason or null."""
-        refused = F.col("reason").isNotNull()
-        rejects = judged.filter(refused).select(F.lit(stage).alias("stage"), "seq", "value", "reason")
+        """Write refused rows, and the counts observed in passing; `judged` has seq, value and a reason or null."""
+        refused, seen = F.col("reason").isNotNull(), Observation(f"{stage} {batch_id}")
+        counted = judged.observe(seen, F.count_if(~refused).alias("processed"), F.count_if(refused).alias("failed"))
+        rejects = counted.filter(refused).select(F.lit(stage).alias("stage"), "seq", "value", "reason")
         self.rejects.append(rejects, stage, batch_id)
-        totals = judged.agg(
-            F.lit(stage).alias("stage"),
-            F.count_if(~refused).alias("processed"),
-            F.count_if(refused).alias("failed"),
-        )
-        self.metrics.append(totals, stage, batch_id)
+        counts = (stage, seen.get.get("processed", 0), seen.get.get("failed", 0))
+        self.metrics.append(self.spark.createDataFrame([counts], METRICS), stage, batch_id)
+
+    def _settle(self, stage: str, batch_id: int) -> None:
+        """Merge what earlier batches of this stage left, before a new one adds to it."""
+        for table in self.tables:
+            table.settle(stage, batch_id)
 
     def _time(self, stage: str, batch_id: int) -> Column:
         """When a batch was first seen; a replay gets the same time, hence the same rows."""
@@ -182,10 +188,9 @@ class Stages:
         return F.lit(seen["at"])
 
     def _send(self, topic: str, rows: DataFrame, key: str, stage: str, batch_id: int) -> None:
-        """Append JSON messages to a topic; the batch number is their place."""
-        body = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
-        place = F.lit(batch_id).cast("bigint").alias("seq")
-        out = rows.select(place, F.col(key).cast("string").alias("key"), body.alias("value"))
+        """Append JSON messages to a topic, each in the place of the message that caused it."""
+        body = F.to_json(F.struct(*[c for c in rows.columns if c != "seq"]), {"ignoreNullFields": "false"})
+        out = rows.select("seq", F.col(key).cast("string").alias("key"), body.alias("value"))
         self.topics[topic].append(out, stage, batch_id)
 
     # stages ----------------------------------------------------------------------------------
@@ -193,6 +198,7 @@ class Stages:
     def on_products(self, batch: DataFrame, batch_id: int) -> None:
         """Flat product items: products, prices, placeholder shops and categories, detail requests."""
         stage = "products"
+        self._settle(stage, batch_id)
         read = messages.json_messages(batch.withColumn("body", F.col("value")), schemas.PRODUCT_MESSAGE)
         checked = quality.with_violations(read, quality.PRODUCT)
         broken = F.when(F.size("violations") > 0, F.array_join("violations", ","))
@@ -216,14 +222,20 @@ class Stages:
         self.shops.append(shops, stage, batch_id)
         self.categories.append(ok.filter(is_set("category_id")).select("category_id").distinct(), stage, batch_id)
         priced = merge.price_rows(ok.withColumn("timestamp", at))
-        self.prices.append(priced.withColumn("order_at", _place(batch_id)), stage, batch_id)
-        self._send("product-detail", parse.detail_requests(ok), "product_id", stage, batch_id)
+        self.prices.append(priced.withColumn("order_at", _order(0, batch_id)), stage, batch_id)
+        self._send("product-detail", parse.detail_requests(ok, ("seq",)), "product_id", stage, batch_id)
+        # reviews that came before their product are sent again with its first message
+        known = self.products.log(ok, before=(stage, batch_id)).select("product_id")
+        first = ok.select("product_id").distinct().join(known, "product_id", "left_anti").persist()
+        self.topics["review-detail"].append(self.waiting.current(first).drop("product_id"), stage, batch_id)
         self._finish(stage, batch_id, judged)
+        first.unpersist()
         judged.unpersist()
 
     def on_details(self, batch: DataFrame, batch_id: int) -> None:
         """Landed detail payloads: enrich products, name shops, ask for reviews."""
         stage = "details"
+        self._settle(stage, batch_id)
         found = parse.product_details(batch.select("seq", F.col("value").alias("body"), "value"))
         has_id = F.coalesce(F.col("product_id"), F.lit(0)) != 0
         reason = F.when(_unreadable("body"), "not a JSON object").when(~has_id, "missing product_id")
@@ -237,8 +249,8 @@ class Stages:
         categories = ok.filter("category_id IS NOT NULL").select("category_id").distinct()
         self.categories.append(categories, stage, batch_id)
         unknown_spid = F.lit(None).cast("bigint").alias("spid")
-        asked = ok.select("product_id", unknown_spid, F.col("shop_id").alias("seller_id"))
-        self._send("review-fetch", parse.review_requests(asked), "product_id", stage, batch_id)
+        asked = ok.select("seq", "product_id", unknown_spid, F.col("shop_id").alias("seller_id"))
+        self._send("review-fetch", parse.review_requests(asked, ("seq",)), "product_id", stage, batch_id)
         self._finish(stage, batch_id, judged)
         judged.unpersist()
 
@@ -248,6 +260,7 @@ class Stages:
         A page is judged before it is taken apart, so one that cannot be read is refused, not lost.
         """
         stage = "review_pages"
+        self._settle(stage, batch_id)
         read = messages.json_messages(batch.withColumn("body", F.col("value")), schemas.PAGE)
         product = F.col("key").try_cast("bigint")
         reason = (
@@ -262,7 +275,7 @@ class Stages:
         review = F.from_json("element", schemas.REVIEW_DETAIL)
         stamped = elements.withColumn("_r", review.withField("product_id", product))
         out = stamped.select(
-            (F.col("seq") + F.col("position")).alias("seq"),
+            F.col("seq").withField("position", F.col("position")).alias("seq"),
             F.col("_r.id").cast("string").alias("key"),
             F.to_json("_r", {"ignoreNullFields": "false"}).alias("value"),
         )
@@ -277,10 +290,11 @@ class Stages:
         writes is repaired by the replay instead of losing messages.
         """
         stage = "reviews"
+        self._settle(stage, batch_id)
         now = self._time(stage, batch_id)
         read = parse.review_details(batch.select("seq", F.col("value").alias("body"), "value"), now)
-        products = self.products.log().select("product_id")
-        known = products.distinct().withColumn("_known", F.lit(True))
+        read = read.persist()
+        known = self.products.log(read).select("product_id").distinct().withColumn("_known", F.lit(True))
         falsy = lambda c: F.coalesce(F.col(c), F.lit(0)) == 0
         reason = (
             F.when(_unreadable("body"), "not a JSON object")
@@ -296,28 +310,34 @@ class Stages:
             .drop("_known")
             .persist()
         )
-        new = merge.first_wins(judged.filter("reason IS NULL").drop("reason", "value"), "review_id").persist()
-        write = lambda table, rows: table.append(rows.withColumn("order_at", _place(batch_id)), stage, batch_id)
+        early = judged.filter("reason = 'unknown product'")
+        body = F.col("value")
+        self.waiting.append(early.select("product_id", "seq", F.col("review_id").cast("string").alias("key"), body), stage, batch_id)
+        ok = judged.filter("reason IS NULL").drop("reason", "value")
+        stored = self.reviews.log(ok, before=(stage, batch_id))
+        new = merge.new_rows(ok, stored, "review_id").persist()
+        write = lambda table, rows, place: table.append(rows.withColumn("order_at", place), stage, batch_id)
 
-        write(self.reviews, new.withColumn("crawled_at", now))
-        self._send("orders", parse.order_messages(new), "review_id", stage, batch_id)
-        self._send("sentiment-analysis", parse.sentiment_messages(new), "review_id", stage, batch_id)
+        write(self.reviews, new.withColumn("crawled_at", now), _order(0, batch_id))
+        self._send("orders", parse.order_messages(new, ("seq",)), "review_id", stage, batch_id)
+        self._send("sentiment-analysis", parse.sentiment_messages(new, ("seq",)), "review_id", stage, batch_id)
         buyers = new.withColumnRenamed("user_name", "customer_name").withColumn("order_date", F.col("created_at"))
         self._write_orders(buyers, now, stage, batch_id)
         scored = self.scorer(new.select("review_id", "comment"))
-        write(self.sentiment, sentiment.sentiment_rows(scored, now))
+        write(self.sentiment, sentiment.sentiment_rows(scored, now), _place(batch_id))
         self._finish(stage, batch_id, judged)
-        for held in (new, judged):
+        for held in (new, judged, read):
             held.unpersist()
 
     def _write_orders(self, buyers: DataFrame, now: Column, stage: str, batch_id: int) -> None:
         """Orders, their lines and customers of accepted reviews or order messages."""
-        products = self.products.log().select("product_id")
-        prices = self.prices.current(buyers, "product_id")
-        facts = derive.order_facts(buyers, products, prices, now=now).persist()
-        rows = ((self.orders, derive.orders_of(facts)), (self.order_lines, derive.order_lines_of(facts)))
+        products = self.products.log(buyers).select("product_id")
+        prices = self.prices.current(buyers)
+        keep = ("seq",)
+        facts = derive.order_facts(buyers, products, prices, now=now, keep=keep).persist()
+        rows = ((self.orders, derive.orders_of(facts, keep)), (self.order_lines, derive.order_lines_of(facts, keep)))
         for table, made in rows:
-            placed = made.withColumns({"created_at": now, "order_at": _place(batch_id)})
+            placed = made.withColumns({"created_at": now, "order_at": _order(0, batch_id)})
             table.append(placed, stage, batch_id)
         named = buyers.filter(F.coalesce(F.col("customer_id"), F.lit(0)) != 0)
         order = _order(2, batch_id).alias("order_at")
@@ -333,16 +353,20 @@ class Stages:
     def on_orders(self, batch: DataFrame, batch_id: int) -> None:
         """Order messages: one order per review; those the review stage has written already change nothing."""
         stage = "orders"
+        self._settle(stage, batch_id)
         missing = [F.when(F.coalesce(F.col(c), F.lit(0)) == 0, f"missing {c}") for c in ("review_id", "product_id", "customer_id")]
         judged = self._judged(batch, schemas.ORDER_MESSAGE, F.coalesce(*missing))
         ok = judged.filter("reason IS NULL").drop("reason", "value", "key")
-        self._write_orders(merge.first_wins(ok, "review_id"), self._time(stage, batch_id), stage, batch_id)
+        first = merge.first_wins(ok, "review_id").persist()
+        self._write_orders(first, self._time(stage, batch_id), stage, batch_id)
         self._finish(stage, batch_id, judged)
+        first.unpersist()
         judged.unpersist()
 
     def on_sentiment(self, batch: DataFrame, batch_id: int) -> None:
         """Scoring messages, of new reviews or from the backfill queue: each review keeps its first score."""
         stage = "sentiment"
+        self._settle(stage, batch_id)
         missing = F.when(F.coalesce(F.col("review_id"), F.lit(0)) == 0, "missing review_id")
         judged = self._judged(batch, schemas.SENTIMENT_MESSAGE, missing)
         ok = judged.filter("reason IS NULL").select("seq", "review_id", "comment")
@@ -355,6 +379,7 @@ class Stages:
     def on_shops(self, batch: DataFrame, batch_id: int) -> None:
         """Flat shop items: names of shops, the last message of each winning."""
         stage = "shops"
+        self._settle(stage, batch_id)
         read = messages.json_messages(batch.withColumn("body", F.col("value")), schemas.SHOP_MESSAGE)
         broken = F.when(F.size("violations") > 0, F.array_join("violations", ","))
         reason = F.when(F.col("corrupt").isNotNull(), "not a JSON object").otherwise(broken)
