@@ -160,3 +160,30 @@ def exact_percentiles(
             for n in shares
         ],
     )
+
+
+def as_of_join(
+    left: DataFrame, right: DataFrame, key: str, time: str, value_time: str, values: Sequence[str], unit: str = "month"
+) -> DataFrame:
+    """Every left row with the values of the newest right row of its key at or before its own time, null where there is none.
+
+    Both sides are merged in time slices of one calendar unit, so a hot key is cut up; the last right row of each slice is carried
+    over the slices after it.  Left rows without a key or a time get nulls.  The right side has one row per key and time.
+    """
+    value = F.struct(F.col(value_time).alias("_from"), *values)
+    asked = left.select(F.col(key).alias("_key"), F.col(time).alias("_time"), F.struct("*").alias("_row"))
+    told = right.where(F.col(key).isNotNull() & F.col(value_time).isNotNull())
+    told = told.select(F.col(key).alias("_key"), F.col(value_time).alias("_time"), value.alias("_value"))
+    usable = F.col("_key").isNotNull() & F.col("_time").isNotNull()
+    both = asked.where(usable).unionByName(told, allowMissingColumns=True)
+    sliced = _sliced(both, ["_key"], F.unix_micros(F.date_trunc(unit, "_time")))
+    # of equal times the right row comes first
+    upto = Window.partitionBy("_key", "_slice").orderBy("_time", F.col("_row").isNotNull())
+    near = sliced.withColumn("_near", F.last("_value", ignorenulls=True).over(upto)).where(F.col("_row").isNotNull())
+
+    ends = sliced.groupBy("_key", "_slice").agg(F.max("_value").alias("_value"))
+    before = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("_key", "_slice", F.last("_value", ignorenulls=True).over(before).alias("_far"))
+    found = near.join(carried, ["_key", "_slice"]).select("_row", F.coalesce("_near", "_far").alias("_value"))
+    nothing = asked.where(~usable).select("_row").withColumn("_value", F.lit(None).cast(told.schema["_value"].dataType))
+    return found.unionByName(nothing).select("_row.*", *[F.col("_value").getField(v).alias(v) for v in values])

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martlens.functions import scalars as X
+from martlens.functions.ordered import as_of_join
 from martlens.operators import joins, merge
 
 # Fixed value: unit price used by the backfill when a product has no price.
@@ -21,9 +22,12 @@ def order_facts(
     now: Column | None = None,
     as_of: Column | None = None,
     keep: Sequence[str] = (),
+    own_time: bool = False,
 ) -> DataFrame:
     """Order messages to order rows with their single line.
 
+    The price is the newest, or the newest at `as_of`, or with `own_time` the newest at each order's date.
+
     Messages without a review, product or customer id, and those of unknown products, give no
     order; of repeated reviews the first wins.  The order id is the review id (both are unique).
     """
@@ -34,18 +38,16 @@ def order_facts(
     if existing_orders is not None:
         known = joins.without_match(known, existing_orders, "review_id")
     fresh = merge.first_wins(known, "review_id") if "seq" in known.columns else known
-    price = joins.latest_price(prices.select("product_id", "price", "timestamp"), as_of)
-    priced = fresh.join(price.select("product_id", "price"), "product_id", "left")
-    date = F.col("order_date")
     if dict(messages.dtypes)["order_date"] == "string":
-        date = X.moment("order_date", now if now is not None else F.current_timestamp())
+        fresh = fresh.withColumn("order_date", X.moment("order_date", now if now is not None else F.current_timestamp()))
+    priced = _priced(fresh, prices, "order_date" if own_time else None, as_of)
     return priced.select(
         *keep,
         F.col("review_id").alias("order_id"),
         "customer_id",
         "review_id",
         "product_id",
-        date.alias("order_date"),
+        "order_date",
         F.lit(1).alias("quantity"),
         F.col("price").alias("unit_price"),
         # a price of zero gives no total
@@ -54,6 +56,14 @@ def order_facts(
     )
 
 
+def _priced(rows: DataFrame, prices: DataFrame, time: str | None, as_of: Column | None = None) -> DataFrame:
+    """Rows with the price of their product: in force at the row's own time, or the newest one."""
+    if time is not None:
+        return as_of_join(rows, prices, "product_id", time, "timestamp", ["price"])
+    price = joins.latest_price(prices.select("product_id", "price", "timestamp"), as_of)
+    return rows.join(price.select("product_id", "price"), "product_id", "left")
+
+
 def orders_of(facts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return facts.select(*keep, "order_id", "customer_id", "review_id", "order_date", "total_amount", "status")
 
@@ -79,13 +89,15 @@ def customers_of(messages: DataFrame, seq: str = "seq") -> DataFrame:
 
 
 def backfill_orders(
-    reviews: DataFrame, orders: DataFrame, products: DataFrame, prices: DataFrame
+    reviews: DataFrame, orders: DataFrame, products: DataFrame, prices: DataFrame, own_time: bool = False
 ) -> DataFrame:
-    """Orders for stored reviews that have none; the customer id is made from the user name."""
+    """Orders for stored reviews that have none; the customer id is made from the user name.
+
+    The price is the newest, or with `own_time` the one in force when the review was written.
+    """
     todo = joins.with_parent(joins.without_match(reviews, orders, "review_id"), products, "product_id")
-    price = joins.latest_price(prices.select("product_id", "price", "timestamp"))
     paid = F.coalesce(F.nullif("price", F.lit(0)), F.lit(BACKFILL_PRICE)).cast("decimal(12,2)")
-    return todo.join(price.select("product_id", "price"), "product_id", "left").select(
+    return _priced(todo, prices, "created_at" if own_time else None).select(
         F.col("review_id").alias("order_id"),
         X.name_id("user_name").alias("customer_id"),
         F.col("user_name").alias("customer_name"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from martlens import schemas
 from martlens.functions import scalars as X
+from martlens.functions.ordered import as_of_join
 from martlens.operators import crawl as C, derive as D, merge as U, parse, quality as V, sentiment as M, similarity as near
 from martlens.plans import sample_messages as S
 from martlens.plans.oracle import PRICE_NOW, REVIEW_NOW, dbl, ts
@@ -1046,6 +1047,42 @@ def order_backfill(m: SampleModel):
     return D.backfill_orders(m.review_facts, done, products, priced)
 
 
+# reviews are younger than every price here, so they are moved back into the years of the prices, each by its own span
+MOVED = "created_at - to_days(CAST(6000 + review_id % 3000 AS INTEGER))"
+
+
+@query(
+    "D4 J10",
+    f"""
+WITH moved AS (SELECT * REPLACE ({MOVED} AS created_at) FROM m_facts),
+priced AS (SELECT moved.*, l.price FROM moved ASOF LEFT JOIN m_prices l ON moved.product_id = l.product_id AND moved.created_at >= l.ts)
+SELECT review_id AS order_id, f.product_id, {ts('created_at', 'order_date')}, coalesce(CAST(price AS DOUBLE), 100000.0) AS unit_price
+FROM priced f JOIN part ON p_partkey = f.product_id
+WHERE review_id NOT IN (SELECT order_id * 3 FROM m_orders)""",
+)
+def order_backfill_at_own_time(m: SampleModel):
+    done = m.orders.select((F.col("order_id") * 3).alias("review_id"))
+    products = m.raw("part").select(F.col("p_partkey").alias("product_id"))
+    days = -(F.lit(6000) + F.col("review_id") % 3000)
+    moved = m.review_facts.withColumn("created_at", F.timestamp_add("DAY", days, F.col("created_at")))
+    orders = D.backfill_orders(moved, done, products, m.product_prices, own_time=True)
+    return orders.select("order_id", "product_id", "order_date", "unit_price")
+
+
+@query(
+    "J10 D1 D2",
+    f"""
+WITH dated AS (SELECT l.order_id, l.line_no, l.product_id, order_date FROM m_lines l JOIN m_orders USING (order_id))
+SELECT d.order_id, d.line_no, d.product_id, {ts('order_date')}, {dbl('p.price', 'price')}
+FROM dated d ASOF LEFT JOIN m_prices p ON d.product_id = p.product_id AND d.order_date >= p.ts""",
+)
+def order_lines_at_own_price(m: SampleModel):
+    """Order lines with the price that was in force when they were ordered."""
+    dates = m.orders.select("order_id", "order_date")
+    lines = m.order_lines.select("order_id", "line_no", "product_id").join(dates, "order_id")
+    return as_of_join(lines, m.product_prices, "product_id", "order_date", "timestamp", ["price"])
+
+
 @query(
     "D5 J8 K6",
     """

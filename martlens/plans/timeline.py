@@ -10,9 +10,10 @@ from martlens.plans import sample_messages as S
 from martlens.plans.ingest import REVIEW_DETAIL_SQL
 from martlens.plans.oracle import PRICE_NOW, dbl, ts
 from martlens.plans.registry import query
-from martlens.plans.sample_model import TABLES, SampleModel
+from martlens.plans.sample_model import TABLES, SampleModel, n_rows
 from martlens.session import work_dir
 from martlens.sources import messages
+from martlens.sources.tables import LogTable
 from martlens.streaming import rollups
 from martlens.streaming.stages import Stages
 
@@ -155,6 +156,33 @@ def streamed_first_messages(m: SampleModel):
     return m.spark.read.parquet(f"{root}/out")
 
 
+@query("T5 U6", "SELECT event_id, event_id % 5 AS product_id FROM events")
+def streamed_first_of_all_history(m: SampleModel):
+    """Every message comes again in a later batch, a month after the watermark has passed; the stored key drops it."""
+    root = work_dir(m.spark, "stream-ever")
+    stored = LogTable(m.spark, f"{root}/out", "event_id BIGINT, product_id BIGINT, timestamp TIMESTAMP", key="event_id").create()
+    for days in (0, 30):
+        rows = m.raw("events").select("event_id", (F.col("event_id") % 5).alias("product_id"), F.timestamp_add("DAY", F.lit(days), F.col("ts")).alias("timestamp"))
+        rows.write.mode("append").parquet(f"{root}/in")
+        stream = m.spark.readStream.schema(rows.schema).parquet(f"{root}/in")
+        rollups.store_first(stream, stored, "events", "timestamp", f"{root}/checkpoint")
+    return stored.current().select("event_id", "product_id")
+
+
+@query("S1", "SELECT CAST(user_id AS VARCHAR) AS key, max(event_id) AS last_event FROM events GROUP BY 1")
+def streamed_message_order(m: SampleModel):
+    """The last message of each key, all of one moment, told apart by offsets that pass multiples of a million."""
+    root = work_dir(m.spark, "stream-order")
+    k = F.col("event_id")
+    at = F.lit("2024-01-01").cast("timestamp").alias("timestamp")
+    offset = (k + 1_000_000 - n_rows(m.raw("events")) / 2).cast("bigint").alias("offset")
+    sent = m.raw("events").select(at, F.lit(0).alias("partition"), offset, F.col("user_id").cast("string").alias("key"), k.cast("string").alias("value"))
+    sent.write.json(f"{root}/in")
+    rollups.write_available(messages.read_stream(m.spark, "json", {}, f"{root}/in"), f"{root}/out", f"{root}/checkpoint")
+    last = F.max_by("value", "seq").cast("bigint").alias("last_event")
+    return m.spark.read.parquet(f"{root}/out").groupBy("key").agg(last)
+
+
 def _land(df: DataFrame, path: str) -> None:
     df.select("seq", "key", "value").write.mode("overwrite").json(path)
 
@@ -172,6 +200,7 @@ def _stages(m: SampleModel, replay: bool = False) -> Stages:
     stages.run(stream("products"), stages.on_products, "products")
     stages.run(stream("reviews"), stages.on_reviews, "reviews")
     if replay:
+        stages.seen = stages.orders.current().select(F.max("created_at")).first()[0]
         # a lost checkpoint: the same batch comes again under the same number
         stages.run(stream("reviews"), stages.on_reviews, "reviews-again")
     return stages
@@ -186,19 +215,44 @@ SELECT r.* FROM ({REVIEW_DETAIL_SQL}) r JOIN ({STAGED_PRODUCTS}) p ON r.product_
 WHERE seq % 2 = 0 AND review_id <> 0 AND r.product_id <> 0"""
 
 
-@query("T7 U6", f"SELECT review_id, product_id, user_name, rating, comment, has_images, helpful_count FROM ({STAGED_REVIEWS})")
+# times that a message does not have are those of its batch, which SQL cannot know
+OWN_TIME = "strftime(CASE WHEN review_id % 7 <> 0 THEN created_at END, '%Y-%m-%d %H:%M:%S.%f')"
+
+
+@query(
+    "T7 U6",
+    f"SELECT review_id, product_id, user_name, rating, comment, has_images, helpful_count, {OWN_TIME} AS created_at FROM ({STAGED_REVIEWS})",
+)
 def staged_reviews(m: SampleModel):
-    return _stages(m).reviews.current().drop("created_at", "crawled_at")
+    rows = _stages(m).reviews.current()
+    return rows.withColumn("created_at", F.nullif("created_at", "crawled_at")).drop("crawled_at")
+
+
+@query("T7", f"SELECT review_id, product_id, comment FROM ({STAGED_REVIEWS})")
+def staged_early_reviews(m: SampleModel):
+    """All reviews come a batch before their products, wait, and are sent again when these come."""
+    stages = Stages(m.spark, work_dir(m.spark, "early")).create()
+    sent = SampleModel(m.spark, m.folder)
+    sent.parts = m.parts.withColumn("p_partkey", F.col("p_partkey") * 2)
+    for name, rows, stage in (("reviews", S.review_messages(m), stages.on_reviews), ("products", S.product_messages(sent, versions=1), stages.on_products)):
+        _land(rows, f"{stages.root}/in/{name}")
+        stages.run(messages.read_stream(m.spark, "json", {}, f"{stages.root}/in/{name}"), stage, name)
+    stages.on_reviews(stages.topics["review-detail"].current(), 1)
+    return stages.reviews.current().select("review_id", "product_id", "comment")
 
 
 @query(
     "T6 T7 T8 D1 U7",
     f"""
-SELECT review_id AS order_id, customer_id, review_id, CAST(nullif(price, 0) AS DOUBLE) AS total_amount, 'completed' AS status
+SELECT review_id AS order_id, customer_id, review_id, CAST(nullif(price, 0) AS DOUBLE) AS total_amount, 'completed' AS status,
+       {OWN_TIME} AS order_date, true AS first_time
 FROM ({STAGED_REVIEWS}) JOIN ({STAGED_PRODUCTS}) USING (product_id) WHERE customer_id <> 0""",
 )
 def staged_orders_after_replay(m: SampleModel):
-    return _stages(m, replay=True).orders.current().drop("order_date", "created_at")
+    """`first_time`: the replay wrote the time at which the batch was first seen."""
+    stages = _stages(m, replay=True)
+    rows = stages.orders.current().withColumn("order_date", F.nullif("order_date", "created_at"))
+    return rows.withColumn("first_time", F.col("created_at") == F.lit(stages.seen)).drop("created_at")
 
 
 @query(

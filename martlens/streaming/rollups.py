@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from martlens.operators import prices
+from martlens.operators import merge, prices
 from martlens.sources import files
+from martlens.sources.tables import LogTable
 
 
 def hourly_rollup_stream(stream: DataFrame, lateness: str = "3 days") -> DataFrame:
@@ -23,6 +24,19 @@ def first_seen_stream(stream: DataFrame, key: str, time: str, within: str = "3 d
     return stream.withWatermark(time, within).dropDuplicatesWithinWatermark([key])
 
 
+def store_first(stream: DataFrame, table: LogTable, source: str, order: str, checkpoint: str) -> None:
+    """Append the first row of each key to a keyed table, whenever its copies come: a batch looks its keys up among all
+    stored rows, reading only the folders they fall into."""
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        table.settle(source, batch_id)
+        batch = batch.persist()
+        table.append(merge.new_rows(batch, table.log(batch, before=(source, batch_id)), table.key, order), source, batch_id)
+        batch.unpersist()
+
+    stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
 def throughput(rows: DataFrame, time: str, width: str = "1 hour") -> DataFrame:
     """Messages and messages per second in each time window."""
     w = F.window(time, width)
