@@ -73,6 +73,28 @@ def hourly_rollup(prices: DataFrame, width: str = "1 hour") -> DataFrame:
     return per_window.select("product_id", F.col("w.start").alias("bucket"), *values)
 
 
+def price_states(prices: DataFrame) -> DataFrame:
+    """What an hour's prices of a product come to, in a form that adds up: sum, count, lowest and highest."""
+    return prices.groupBy("product_id", F.date_trunc("hour", "timestamp").alias("bucket")).agg(
+        F.sum("price").alias("total"), F.count("price").alias("n"), F.min("price").alias("low"), F.max("price").alias("high"), F.count("*").alias("changes")
+    )
+
+
+def coarser_states(states: DataFrame, unit: str) -> DataFrame:
+    """States of days, weeks or months from those of hours; no price is read again."""
+    return states.groupBy("product_id", F.date_trunc(unit, "bucket").alias("bucket")).agg(
+        F.sum("total").alias("total"), F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("changes").alias("changes")
+    )
+
+
+def rollup_of(states: DataFrame) -> DataFrame:
+    """The rollup that states stand for, as `hourly_rollup` has it."""
+    return states.select(
+        "product_id", "bucket", X.mean(F.col("total"), F.col("n")).alias("avg_price"),
+        F.col("low").alias("min_price"), F.col("high").alias("max_price"), F.col("changes").alias("price_changes"),
+    )
+
+
 def refresh_range(as_of: Column, start_days: int = 3, end_hours: int = 1) -> tuple[Column, Column]:
     """First and last moment of the buckets a refresh rebuilds; both on bucket borders."""
     low = F.date_trunc("hour", as_of - F.make_dt_interval(days=F.lit(start_days)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from martlens.functions.ordered import as_of_join
 from martlens.operators import joins, prices as P
 from martlens.streaming import rollups
 
@@ -109,3 +110,42 @@ def test_filled_series(spark):
 
 def test_retention(spark):
     assert P.retained(history(spark, ROWS), at("2024-04-01 10:00"), 90).count() == 3
+
+
+def test_refresh_of_changed_days_reads_and_writes_only_those(spark, tmp_path):
+    kept = rollups.StoredRollup(spark, str(tmp_path))
+    kept.add(history(spark, ROWS), 0)
+    kept.refresh(-1, 0)
+    late = [(1, "2024-01-02 10:00", 26), (1, "2024-01-02 12:00", 8), (2, "2024-01-02 10:30", 4)]
+    for _ in range(2):  # the second time as after a crash
+        kept.add(history(spark, late), 1)
+        kept.refresh(0, 1)
+    want = [r for r in ROWS if r[:2] != late[0][:2]] + late
+    same = lambda df: sorted(map(str, df.select(F.col("product_id").cast("int"), "bucket", "avg_price", "min_price", "max_price", "price_changes").collect()))
+    assert same(kept.rollup()) == same(P.hourly_rollup(history(spark, want)))
+    assert {r.period.day for r in kept.changed(0, 1).select("period").distinct().collect()} == {2}
+    plan = kept.changed(0, 1)._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: ")[1].split("]")[0]
+    assert "period" in filters and "2024-01-02" in filters and "2024-01-05" not in filters
+    days = kept.rollup("day").where("bucket = '2024-01-02'").orderBy("product_id").collect()
+    assert [(float(r.avg_price), float(r.min_price), r.price_changes) for r in days] == [(18.0, 8.0, 3), (4.0, 4.0, 1)]
+
+
+def test_withdrawn_prices_leave_no_day_behind(spark, tmp_path):
+    kept = rollups.StoredRollup(spark, str(tmp_path))
+    kept.add(history(spark, ROWS), 0)
+    kept.refresh(-1, 0)
+    kept.add(history(spark, [(1, "2024-01-05 09:00", 1)]).withColumn("price", F.lit(None).cast("decimal(12,2)")), 1)
+    kept.refresh(0, 1)
+    assert sorted(r.bucket.day for r in kept.rollup().collect()) == [1, 2, 2]
+
+
+def test_prices_in_force_at_each_time(spark):
+    asked = spark.createDataFrame(
+        [(1, 1, "2024-01-01 09:00"), (2, 1, "2024-01-01 10:00"), (3, 1, "2024-03-01"), (4, 1, "2024-01-02 10:30"), (5, 2, "2024-01-09"), (6, 1, None), (7, None, "2024-01-09")],
+        "id int, product_id int, t string",
+    )
+    rows = as_of_join(asked.withColumn("at", F.col("t").cast("timestamp")), history(spark, ROWS), "product_id", "at", "timestamp", ["price"], "day")
+    got = {r.id: None if r.price is None else float(r.price) for r in rows.collect()}
+    assert got == {1: None, 2: 10.0, 3: 30.0, 4: 20.0, 5: None, 6: None, 7: None}
+    assert rows.columns == ["id", "product_id", "t", "at", "price"]
