@@ -150,6 +150,22 @@ def count_words(c: Name, wanted: Iterable[str]) -> Column:
     return F.regexp_count(text, F.lit(rf"(?<!\p{{L}})(?:{one_of})(?!\p{{L}})"))
 
 
+def word_balance(c: Name, plus: Iterable[str], minus: Iterable[str]) -> Column:
+    """How many more of a text's words are among `plus` than among `minus`, in one scan of the text."""
+    plus, minus = sorted(set(plus)), sorted(set(minus))
+    wanted = sorted({*plus, *minus})
+    if any(not w.isalpha() for w in wanted):
+        raise ValueError("words must consist of letters")
+    if not wanted:
+        return F.lit(0)
+    # most words are passed over by their first letter
+    first = "".join(sorted({w[0] for w in wanted}))
+    text = F.lower(F.coalesce(col(c), F.lit("")))
+    found = F.regexp_extract_all(text, F.lit(rf"(?<!\p{{L}})(?=[{first}])(?:{'|'.join(wanted)})(?!\p{{L}})"), F.lit(0))
+    among = lambda ws, side: F.size(F.filter(ws, lambda w: w.isin(side))) if side else F.lit(0)
+    return let(found, lambda ws: among(ws, plus) - among(ws, minus))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate `value` once and use it in `body`; a lambda would evaluate it per element."""
     return F.element_at(F.transform(F.array(value), body), 1)

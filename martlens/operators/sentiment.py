@@ -47,7 +47,7 @@ DEFAULT_LEXICON = Lexicon(
 
 def word_balance(text: Column | str, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
     """How many more positive than negative words a text has."""
-    return X.count_words(text, lexicon.positive) - X.count_words(text, lexicon.negative)
+    return X.word_balance(text, lexicon.positive, lexicon.negative)
 
 
 def label_of(balance: Column) -> Column:
@@ -76,11 +76,31 @@ class Model(Protocol):
     def predict(self, texts: Sequence[str]) -> list[tuple[str, float]]: ...
 
 
+def chunks_by_length(lengths: Sequence[int], batch_size: int, budget: int | None = None) -> list[list[int]]:
+    """Places of texts in chunks of like lengths: at most `batch_size` each, and at most `budget` characters once all are
+    padded to the longest; a longer text is a chunk of its own."""
+    chunks: list[list[int]] = []
+    for place in sorted(range(len(lengths)), key=lambda k: (lengths[k], k)):
+        padded = (len(chunks[-1]) + 1) * lengths[place] if chunks else 0
+        if not chunks or len(chunks[-1]) == batch_size or (budget is not None and padded > budget):
+            chunks.append([])
+        chunks[-1].append(place)
+    return chunks
+
+
+def padding_share(lengths: Sequence[int], chunks: Sequence[Sequence[int]]) -> float:
+    """Which share of what a model is given is padding, when every chunk is padded to its longest text."""
+    padded = sum(len(c) * max(lengths[k] for k in c) for c in chunks)
+    return 1 - sum(lengths) / padded if padded else 0.0
+
+
 def score_with_model(
-    rows: DataFrame, load: Callable[[], Model], text: str = "comment", batch_size: int = 8
+    rows: DataFrame, load: Callable[[], Model], text: str = "comment", batch_size: int = 8, budget: int | None = None
 ) -> DataFrame:
     """Add `sentiment` and `confidence` from a model that each worker loads once.
 
+    The texts of an Arrow batch are asked about in order of length, `batch_size` at a time or fewer where their padded length
+    would pass `budget` characters, and answered in their own order.
     Blank texts are neutral without asking the model.  A batch the model fails on is
     neutral with confidence 0.  `load` must be picklable; truncation is the model's business.
     """
@@ -92,8 +112,8 @@ def score_with_model(
         for texts in batches:
             out = [("neutral", 0.0)] * len(texts)
             asked = [i for i, t in enumerate(texts) if t is not None and t.strip()]
-            for start in range(0, len(asked), batch_size):
-                chunk = asked[start : start + batch_size]
+            for places in chunks_by_length([len(texts.iloc[i]) for i in asked], batch_size, budget):
+                chunk = [asked[k] for k in places]
                 try:
                     answers = model.predict([texts.iloc[i] for i in chunk])
                     read = [(labels.get(a.lower(), "neutral"), round(float(c), 4)) for a, c in answers]

@@ -1119,8 +1119,9 @@ FROM (SELECT {key}, {count(SAMPLE_LEXICON.positive)} AS pos, {count(SAMPLE_LEXIC
 
 @query("M1", lexicon_sql("review_id", "comment", "m_reviews"))
 def review_sentiment_scores(m: SampleModel):
-    scored = M.score_with_lexicon(m.reviews.select("review_id", "comment"), "comment", SAMPLE_LEXICON)
-    return scored.select("review_id", "sentiment", "confidence")
+    # reviews share texts here: each text is scored once, before it meets its reviews
+    scored = M.score_with_lexicon(m.documents.select("doc_id", "text"), "text", SAMPLE_LEXICON).drop("text")
+    return m.review_facts.select("review_id", "doc_id").join(scored, "doc_id").select("review_id", "sentiment", "confidence")
 
 
 def _sample_model() -> M.Model:

@@ -70,3 +70,22 @@ def test_softmax(spark, values):
 def test_mismatches(spark):
     df = spark.createDataFrame([(1, 5, "negative"), (2, 1, "positive"), (3, 3, "negative"), (4, 5, "positive")], "review_id int, rating int, sentiment string")
     assert sorted((r.review_id, r.mismatch) for r in M.mismatches(df).collect()) == [(1, "high_rating_negative"), (2, "low_rating_positive")]
+
+
+def test_chunks_are_of_like_lengths():
+    lengths = [5, 900, 7, 880, 6, 10, 2000, 4]
+    by_length = M.chunks_by_length(lengths, 3)
+    assert by_length == [[7, 0, 4], [2, 5, 3], [1, 6]]
+    assert sorted(sum(by_length, [])) == list(range(8))
+    bounded = M.chunks_by_length(lengths, 3, 1800)
+    assert bounded == [[7, 0, 4], [2, 5], [3, 1], [6]]
+    in_order = [[0, 1, 2], [3, 4, 5], [6, 7]]
+    assert M.padding_share(lengths, bounded) < M.padding_share(lengths, by_length) < M.padding_share(lengths, in_order)
+    assert M.chunks_by_length([], 8) == [] and M.padding_share([], []) == 0
+
+
+def test_balance_in_one_scan(spark):
+    texts = ["Good, good! bad", "goods badly", "xgood", "TỐT tệ tốt", None, "", "good-bad_good", "gut"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.b for r in df.select("i", M.word_balance("t").alias("b")).orderBy("i").collect()]
+    assert got == [1, 0, 0, 1, 0, 0, 1, 0]
