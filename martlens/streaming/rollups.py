@@ -94,9 +94,11 @@ def refresh_stored(prices_df: DataFrame, path: str, as_of: Column, unit: str = "
     period = F.to_date(F.date_trunc(unit, "bucket")).alias("bucket_period")
     # no more rows than the range has periods
     emptied = touched.select(period).distinct().exceptAll(fresh.select(period).distinct())
-    for row in emptied.toLocalIterator():
-        files.remove(prices_df.sparkSession, f"{path}/bucket_period={row.bucket_period}")
-    write_rollup(fresh, path, unit, mode="dynamic")
+    gone = [row.bucket_period for row in emptied.toLocalIterator()]
+    for day in gone:
+        files.remove(prices_df.sparkSession, f"{path}/bucket_period={day}")
+    kept = stored.filter(in_reach & ~F.col("bucket_period").isin(gone)).drop("bucket_period")
+    write_rollup(P.refresh_rollup(kept, prices_df, as_of, **offsets), path, unit, mode="dynamic")
 
 
 class StoredRollup:
