@@ -1,14 +1,16 @@
 """Quality by the votes of labelled neighbours in a latent-semantic space.
 
-A text is a bag of hashed character runs (three bytes, as they stand), weighed by inverse document frequency, next
-to four shares that runs do not show: words that repeat the word before, words used again, words in capitals and
+A text is a bag of hashed character runs (three bytes, as they stand), weighed by inverse document frequency over all
+documents, which the tasks count in one pass and add up in partial sums, next to four shares that runs do not show: words that repeat the word before, words used again, words in capitals and
 signs.  A truncated singular value decomposition of a bounded sample of labelled texts gives the space, and the
 sample's vectors in it, two classes of at most PER_CLASS rows, are what is sent to the tasks.  Every document
 is then compared with all of them, a block of documents at a time, as one product of matrices; the nearest
 vote with a power of their cosine.
 
 Defined cases: null and empty texts are the zero vector, get no votes and the score 0; repeated rows get the
-same score; without labelled rows every score is 0; columns other than the id and the text are left behind.
+same score; without labelled rows every score is 0; an empty table gives no rows; columns other than the id and the text are
+left behind.  Texts of any length are counted whole, piece by piece.  Of neighbours equally near, which of them vote is the
+choice of the partial sort, the same for equal texts.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from martlens.llm.common import labelled_sample, where_texts, whole_texts
 
@@ -60,9 +62,14 @@ def shares(text: str) -> np.ndarray:
     return np.sqrt(np.array([again, used, capitals, _SIGN[data].mean() if len(data) else 0.0], np.float32))
 
 
-def _weighed(found: np.ndarray, idf: np.ndarray, side: np.ndarray) -> np.ndarray:
-    x = np.log1p(found) * idf
-    return np.hstack([x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9), SHARES * side])
+def _weighed(logs: np.ndarray, idf: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Logarithms of counts and shares, texts x (buckets + shares), as weighed rows; in place of a copy of each step."""
+    x = np.empty((len(logs), logs.shape[1] + side.shape[1]), np.float32)
+    runs = x[:, : logs.shape[1]]
+    np.multiply(logs, idf, out=runs)
+    runs /= np.maximum(np.sqrt(np.einsum("ij,ij->i", runs, runs)), 1e-9)[:, None]
+    np.multiply(side, SHARES, out=x[:, logs.shape[1] :])
+    return x
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -78,13 +85,31 @@ def _decomposed(x: np.ndarray, dimensions: int) -> np.ndarray:
     return (basis @ right.T)[:, :dimensions].astype(np.float32)
 
 
+def rarity(docs: DataFrame) -> np.ndarray:
+    """Inverse document frequency of every bucket over all documents; each task sends one row for each bucket."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = np.zeros(1 << BUCKETS_LOG, np.int64), 0
+        for b in batches:
+            for text in b["text"].to_pylist():
+                held += counts(text) > 0
+                n += 1
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(held))), pa.array(np.concatenate([[n], held]))], ["bucket", "held"])
+
+    parts = whole_texts(docs).select("text").mapInArrow(rows, "bucket long, held long")
+    held = np.zeros((1 << BUCKETS_LOG) + 1)
+    for r in parts.groupBy("bucket").agg(F.sum("held").alias("held")).collect():
+        held[r.bucket + 1] = r.held
+    return (np.log((1 + held[0]) / (1 + held[1:])) + 0.1).astype(np.float32)
+
+
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> Model:
-    """Fit on a bounded sample of labelled rows."""
+    """Fit on a bounded sample of labelled rows; logarithms of their counts are sent in half precision."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b["text"].to_pylist()
-            runs = [np.minimum(counts(t), 65535).astype(np.uint16).tobytes() for t in texts]
+            runs = [np.log1p(counts(t)).astype(np.float16).tobytes() for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [b["doc_id"].cast(pa.string()), b["label"], pa.array(runs, pa.binary()), pa.array([shares(t).tobytes() for t in texts], pa.binary())],
                 ["id", "label", "runs", "shares"],
@@ -95,20 +120,23 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class:
     if not drawn.num_rows:
         empty = np.zeros((0, 0), np.float32)
         return Model(empty, empty, empty, empty)
-    drawn = drawn.sort_by([("label", "ascending"), ("id", "ascending")])  # the same model whatever the order of tasks
-    found = np.stack([np.frombuffer(b, np.uint16) for b in drawn["runs"].to_pylist()]).astype(np.float32)
-    side = np.stack([np.frombuffer(b, np.float32) for b in drawn["shares"].to_pylist()])
-    idf = (np.log((1 + len(found)) / (1 + (found > 0).sum(axis=0))) + 0.1).astype(np.float32)
-    x = _weighed(found, idf, side)
+    of, ids = drawn["label"].to_pylist(), drawn["id"].to_pylist()
+    order = sorted(range(len(ids)), key=lambda k: (of[k], ids[k]))  # the same model whatever the order of tasks
+    logs = np.stack([np.frombuffer(drawn["runs"][k].as_buffer(), np.float16) for k in order])
+    side = np.stack([np.frombuffer(drawn["shares"][k].as_buffer(), np.float32) for k in order])
+    del drawn
+    pa.default_memory_pool().release_unused()
+    idf = rarity(docs)
+    x = _weighed(logs, idf, side)
     space = _decomposed(x, DIMENSIONS)
-    return Model(idf, space, _unit(x @ space), drawn["label"].to_numpy().astype(np.float32))
+    return Model(idf, space, _unit(x @ space), np.array([of[k] for k in order], np.float32))
 
 
 def votes(model: Model, texts: list[str]) -> np.ndarray:
     """Scores of a block of texts."""
     if not len(model.votes) or not texts:
         return np.zeros(len(texts))
-    x = _weighed(np.stack([counts(t) for t in texts]), model.idf, np.stack([shares(t) for t in texts]))
+    x = _weighed(np.log1p(np.stack([counts(t) for t in texts])), model.idf, np.stack([shares(t) for t in texts]))
     cosine = _unit(x @ model.space) @ model.vectors.T
     voters = min(VOTERS, cosine.shape[1])
     near = np.argpartition(-cosine, voters - 1, axis=1)[:, :voters]
