@@ -6,11 +6,12 @@ smallest.  The rule keeps many different gaps in stock, so that later pieces fin
 are taken from long to short, and a new sequence is opened only when no open one can take the piece.
 
 Packing needs lengths only.  Pieces are dealt at random into groups of a bounded number of rows, each of
-which one task packs on its own; the few sequences of a group that stay clearly unfilled are opened
-again and packed together with those of other groups, until one group is left.
+which one task packs on its own; the sequences of a group that stay unfilled are opened again and packed together with
+those of other groups, until one group is left or a round fills less than a twentieth of what it was given.
 
 Defined cases: a null or empty text is its closing id alone; an empty table gives no row; repeated rows
-are packed each on its own; columns other than the id and the text are left behind.
+are packed each on its own; pieces of one length, and gaps that are equally good, are taken in order of id and piece,
+the smaller gap first.  Texts of any length are coded whole.  Columns other than the id and the text are left behind.
 """
 
 from __future__ import annotations
@@ -29,7 +30,9 @@ from martlens.llm.common import durable, whole_texts
 #: Rows that one task packs; it holds only their lengths and the numbers of open sequences.
 GROUP_ROWS = 65_536
 #: Sequences with at least this share of room left are opened again with those of other groups.
-ROOM = 0.02
+ROOM = 0.005
+#: A round that leaves a larger share of its pieces in unfilled sequences is the last one.
+LEFT = 0.95
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = 4096, closing_id: int = 1) -> DataFrame:
@@ -121,7 +124,7 @@ def packed(docs: DataFrame, path: str, capacity: int = 4096, closing_id: int = 1
         left = again.count()
         if not left:
             break
-        if left > count // 2:  # little was filled: more rounds would not help, so keep this one
+        if left > LEFT * count:  # little was filled: more rounds would not help, so keep this one
             done[-1] = out.withColumn("sequence_id", number)
             break
         todo, count, level = again.drop("group", "bin", "offset", "room"), left, level + 1

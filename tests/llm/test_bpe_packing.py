@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 
 import numpy as np
@@ -9,6 +10,7 @@ from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from martlens.llm import bpe, packing
+from martlens.llm.common import table
 from martlens.llm.queries import VOCABULARY
 from tests.llm.conftest import HARD
 
@@ -104,3 +106,15 @@ def test_sum_of_squares_needs_no_more_sequences_than_the_tokens():
     assert fill.max() <= 4096 and bins.max() + 1 <= 1.005 * lengths.sum() / 4096 + 1
     assert len(packing.sum_of_squares(np.array([], np.int64), 4096)[0]) == 0
     assert packing.sum_of_squares(np.array([4096, 4096]), 4096)[0].tolist() == [0, 1]
+
+
+def test_many_groups_need_few_more_sequences(ready, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_ROWS", 400)
+    docs = table(ready, "/root/testdata/sf0.1", "documents")
+    got = packing.packed(docs, VOCABULARY).collect()
+    used = {}
+    for r in got:
+        used.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert all([o for o, _ in sorted(s)] == [sum(n for _, n in sorted(s)[:k]) for k in range(len(s))] for s in used.values())
+    assert max(sum(n for _, n in s) for s in used.values()) <= 4096
+    assert len(used) <= 1.001 * math.ceil(sum(r.length for r in got) / 4096)
