@@ -8,8 +8,13 @@ bit does not decide.  A text whose two best codewords are almost equally near is
 Up to six languages use all distinct splits of the languages in two (2^(k-1) - 1 bits); more use random
 codes of 10 log2 k bits, the best of several draws by the least distance between codewords.
 
+No language is left out: the rows learned from are shared out among all of them, at least one each, so their number
+is bounded by ROWS or the number of languages.  The weights come from the smaller of the two systems of equations, texts x
+texts or runs x runs.
+
 Defined cases: a text that is null or without a letter is `und` with score 0; without training rows all
-are; with one language all others are that language with score 1; repeated rows get the same answer; columns
+are; with one language all others are that language with score 1; repeated rows get the same answer; an empty table gives no
+rows; texts of any length count whole, piece by piece; of languages equally near the first by name counts.  Columns
 other than id and text are left behind.
 """
 
@@ -25,10 +30,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from martlens.llm.common import thinned, whole_texts
+from martlens.llm.common import durable, thinned, whole_texts
 
-#: Hashed character runs, and the texts learned from: so many of each of so many languages at most.
-BUCKETS_LOG, PER_LANGUAGE, LANGUAGES = 12, 500, 100
+#: Hashed character runs, and the texts learned from: so many of each language and of all together at most.
+BUCKETS_LOG, PER_LANGUAGE, ROWS = 12, 500, 4000
 RIDGE, SHARPNESS, AMBIGUOUS = 1.0, 4.0, 0.1
 CHUNK = 1 << 20
 
@@ -72,19 +77,22 @@ def codewords(count: int) -> np.ndarray:
 
 
 def _sample(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """(lang, text): a bounded number of texts of each of the commonest languages, in the order of a hash of ids."""
+    """(lang, text): a bounded number of texts of each language, in the order of a hash of ids."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col("doc_id").isNotNull())
     ids = known.select("doc_id", F.col(lang_col).alias("learned"))
-    common = ids.groupBy("learned").agg(F.count("*").alias("held")).orderBy(F.col("held").desc(), "learned").limit(LANGUAGES)
-    ids = ids.join(F.broadcast(common), "learned").where(thinned("doc_id", F.lit(PER_LANGUAGE), F.col("held"))).drop("held")
+    held = durable(ids.groupBy("learned").agg(F.count("*").alias("held")))
+    each = min(PER_LANGUAGE, max(1, ROWS // max(1, held.count())))
+    # a small share may miss some languages in a thinned choice, so few rows are all looked at
+    wanted = thinned("doc_id", F.lit(each), F.col("held")) | (F.col("held") < 64 * each)
+    ids = ids.join(held, "learned").where(wanted).drop("held")
     order = W.partitionBy("learned").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picks = ids.distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= PER_LANGUAGE).drop("n").dropDuplicates(["doc_id"])
+    picks = ids.distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= each).drop("n").dropDuplicates(["doc_id"])
     texts = known.select("doc_id", F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return texts.join(F.broadcast(picks), "doc_id").select("doc_id", F.col("learned").alias("lang"), "text").dropDuplicates(["doc_id"])
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Fit on at most PER_LANGUAGE texts of each of at most LANGUAGES languages."""
+    """Fit on at most PER_LANGUAGE texts of each language, and at most ROWS in all or one of each."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -106,8 +114,10 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     # every language counts alike, however few texts it has
     weight = np.sqrt(1.0 / np.bincount(of)[of] * len(of) / len(languages))[:, None].astype(np.float32)
     xw = x * weight
-    inner = xw @ xw.T + RIDGE * np.eye(len(xw), dtype=np.float32)
-    weights = xw.T @ np.linalg.solve(inner, y * weight)
+    if len(xw) <= xw.shape[1]:
+        weights = xw.T @ np.linalg.solve(xw @ xw.T + RIDGE * np.eye(len(xw), dtype=np.float32), y * weight)
+    else:
+        weights = np.linalg.solve(xw.T @ xw + RIDGE * np.eye(xw.shape[1], dtype=np.float32), xw.T @ (y * weight))
     right = ((x @ weights * y > 0) * weight**2).mean(axis=0)
     trust = np.clip(2 * right - 1, 0.05, 1)
     return Model(languages, codes, weights.astype(np.float32), (trust / trust.sum()).astype(np.float32))

@@ -107,3 +107,49 @@ def test_too_few_labels_refuse_nothing(ready):
     docs = ready.read.parquet(f"{folder}/documents.parquet")
     model = toxicity.learn(docs, ready.read.parquet(f"{folder}/labels.parquet").limit(30))
     assert toxicity.without_toxic(docs, model).count() >= 0.9 * docs.count()
+
+
+def test_no_language_is_left_out(ready, monkeypatch):
+    monkeypatch.setattr(langid, "ROWS", 240)
+    rng = np.random.default_rng(4)
+    words = {f"l{k:03}": ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 4)) for _ in range(6)] for k in range(120)}
+    rows = [(len(words) * i + k, " ".join(rng.choice(own, 30)), name) for i in range(4) for k, (name, own) in enumerate(words.items())]
+    rows += [(9000 + i, " ".join(rng.choice(words["l000"], 30)), "l000") for i in range(900)]  # a hot language
+    docs = ready.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.learn(docs)
+    assert len(model.languages) == 120
+    got = {r.doc_id: r.lang_pred for r in langid.identified(docs, model).collect()}
+    assert np.mean([got[i] == lang for i, _, lang in rows]) > 0.95
+
+
+def test_decoding_as_recomputed(ready):
+    docs = ready.read.parquet(f"{FOLDER}/documents.parquet")
+    model = langid.learn(docs)
+    texts = {r.doc_id: r.text for r in docs.limit(60).collect()}
+    for r in langid.identified(docs.limit(60), model).collect():
+        bits = np.clip(np.append(langid.profile(texts[r.doc_id]), 1) @ model.weights, -3, 3)
+        loss = [sum(t * np.exp(-b * c) for b, c, t in zip(bits, code, model.trust)) for code in model.codes]
+        assert r.lang_pred in ("und", model.languages[int(np.argmin(loss))])
+
+
+def test_votes_as_recomputed(ready, labels):
+    docs = ready.read.parquet(f"{FOLDER}/documents.parquet")
+    model = quality.learn(docs, ready.read.parquet(f"{FOLDER}/labels.parquet"))
+    texts = [r.text or "" for r in docs.orderBy("doc_id").collect()]
+    held = np.zeros(4096)
+    for t in texts:
+        held += quality.counts(t) > 0
+    assert np.allclose(model.idf, np.log((1 + len(texts)) / (1 + held)) + 0.1, atol=1e-5)
+    for t in texts[:40]:
+        x = np.log1p(quality.counts(t)) * model.idf
+        x = np.concatenate([x / max(np.linalg.norm(x), 1e-9), quality.SHARES * quality.shares(t)]) @ model.space
+        cosine = model.vectors @ (x / max(np.linalg.norm(x), 1e-9))
+        near = np.sort(cosine)[::-1][: quality.VOTERS]
+        voters = np.argsort(-cosine)[: quality.VOTERS]
+        weight = np.maximum(near, 0).astype(float) ** quality.POWER
+        want = (weight * model.votes[voters]).sum() / max(weight.sum(), 1e-12)
+        assert abs(quality.votes(model, [t])[0] - want) < 1e-3
+
+
+def test_long_runs_are_counted_whole():
+    assert quality.counts("a" * 70_002).max() == 70_000
