@@ -1,8 +1,9 @@
-"""Repeated byte windows: a depth-limited radix sort of suffixes, most significant digits first.
+"""Repeated byte windows by depth-limited passes over suffixes, as a radix sort makes them, with another choice of digits.
 
-A suffix matters only through its first `window` bytes, so it is ordered no further than that, in passes of
-growing depth.  A pass of depth k files every window under one digit of k bytes: the k bytes inside it whose
-hash is smallest.  Equal windows hold the same digit at the same place, hence always meet.  Neighbouring
+A suffix matters only through its first `window` bytes, so it is looked at no further than that, in passes of
+growing depth.  A pass of depth k files every window under one digit of k bytes: not its leading bytes, as in a plain
+sort by most significant digits, but the k bytes inside it whose hash is smallest, since windows that start near each other
+then share their digit and need not all cross the shuffle.  Equal windows hold the same digit at the same place, hence always meet.  Neighbouring
 windows under the same occurrence of a digit form a cell, and only cells travel, not windows:
 
 * a digit with one occurrence ends the matter: its windows are unique;
@@ -18,7 +19,8 @@ Digits and cells are compared through two independent 64-bit hashes.
 Defined cases: a null text is empty; a text shorter than a window keeps all its bytes; of equal windows the
 one in the smallest id, then at the smallest place, stays.  A null id comes after all others.  Rows with the
 same id are ordered by a hash of their text, and rows alike in id and text count as one document, each
-copy getting the same result.  An empty table gives no row, and other columns stay behind.
+copy getting the same result.  Texts of any length are hashed whole, CHUNK bytes at a time.  An empty table gives no row,
+and other columns stay behind.
 """
 
 from __future__ import annotations

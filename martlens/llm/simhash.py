@@ -9,8 +9,8 @@ fingerprints only.  Groups are found by alternating large and small stars, each
 join, until the links stop changing.
 
 Defined cases: a null text is empty; a text without words has fingerprint zero and is linked like any other;
-fewer words than a shingle make one shingle; repeated rows are members of the same group; an empty table gives no
-row; other columns stay behind.
+fewer words than a shingle make one shingle; texts of any length are hashed whole, CHUNK shingles at a time; repeated rows
+are members of the same group; an empty table gives no row; other columns stay behind.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ a second set of labelled documents apart best; the shares of such windows in its
 count into log-odds, and a third threshold parts the set with the fewest errors.
 
 Defined cases: null, empty and blank texts hold no window and have the score of even windows; a repeated row gets the same score; without labelled
-rows of both kinds, or with too few to tell them apart, every score is 0; columns other than the id and the text are left behind.
+rows of both kinds, or with too few to tell them apart, every score is 0; texts of any length are judged by all their windows; an
+empty table gives no rows; columns other than the id and the text are left behind.
 """
 
 from __future__ import annotations
