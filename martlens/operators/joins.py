@@ -99,43 +99,52 @@ def parent_names(categories: DataFrame) -> DataFrame:
 def category_paths(categories: DataFrame) -> DataFrame:
     """Full path of each category from its root, however deep it lies.
 
-    All open categories climb one step at a time until none is open; every step is written to the working
-    folder, so the plan stays short.  A category whose chain runs into a circle has `complete` false; its
-    path then ends where the circle closes.  A missing parent ends a path like a root does.
+    Pointer doubling: after k rounds a category knows the 2^k categories from itself upwards and the one that follows them,
+    whose own 2^k the next round appends, so a tree of depth d takes log2(d) rounds.  Only open categories are
+    written again; those that ended stay in the folder of their round.  A category whose chain runs into a circle has
+    `complete` false; its path then names every category of the chain once.  A missing parent ends a path like a root
+    does, and a category without a name is left out of the paths.
     """
-    parents = categories.select(
-        F.col("category_id").alias("_up"),
-        F.col("category_name").alias("_name"),
-        F.col("parent_id").alias("_next"),
-    )
-    paths = categories.select(
+    spark, folder = categories.sparkSession, work_dir(categories.sparkSession, "paths")
+    now = categories.select(
         "category_id",
-        F.col("category_name").alias("path"),
-        F.lit(1).alias("depth"),
-        F.col("parent_id").alias("_at"),
+        F.array("category_id").alias("ids"),
+        F.array("category_name").alias("names"),
+        F.col("parent_id").alias("next"),
+        F.lit(True).alias("complete"),
     )
-    spark, folder = categories.sparkSession, work_dir(categories.sparkSession, "paths")
-    closed, circles, step = [], None, 0
+    ended: list[DataFrame] = []
     while True:
-        # a chain that is back at its own category, or at one known to lie on a circle, never ends
-        on_circle = F.col("_at") == F.col("category_id")
-        if circles is not None:
-            paths = paths.join(circles, F.col("_at") == F.col("_circle"), "left")
-            on_circle = on_circle | F.col("_circle").isNotNull()
-        state = F.when(F.col("_at").isNull(), "root").when(on_circle, "circle").otherwise("open")
-        paths.select("category_id", "path", "depth", "_at", state.alias("_state")).write.parquet(f"{folder}/{step}")
-        now = spark.read.parquet(f"{folder}/{step}")
-        ended = now.filter("_state <> 'open'")
-        closed.append(ended.select("category_id", "path", "depth", (F.col("_state") == "root").alias("complete")))
-        found = ended.filter("_state = 'circle'").select(F.col("category_id").alias("_circle"))
-        circles = found if circles is None else circles.unionByName(found)
-        todo = now.filter("_state = 'open'")
+        path = f"{folder}/{len(ended)}"
+        now.write.parquet(path)
+        now = spark.read.schema(now.schema).parquet(path)
+        ended.append(now.filter("next IS NULL"))
+        todo = now.filter("next IS NOT NULL")
         if todo.isEmpty():
-            return reduce(DataFrame.unionByName, closed)
-        paths = todo.join(parents, F.col("_at") == F.col("_up"), "left").select(
+            break
+        known = reduce(DataFrame.unionByName, ended, todo)
+        above = known.select(F.col("category_id").alias("_up"), *[F.col(c).alias(f"_{c}") for c in ("ids", "names", "next", "complete")])
+        longer = lambda c: F.coalesce(F.concat(c, f"_{c}"), c)
+        joined = todo.join(above, F.col("next") == F.col("_up"), "left").select(
             "category_id",
-            F.concat(F.coalesce(F.concat("_name", F.lit(" / ")), F.lit("")), "path").alias("path"),
-            (F.col("depth") + F.col("_up").isNotNull().cast("int")).alias("depth"),
-            F.col("_next").alias("_at"),
+            longer("ids").alias("ids"),
+            longer("names").alias("names"),
+            F.col("_next").alias("next"),
+            F.coalesce("_complete", F.lit(True)).alias("complete"),
         )
-        step += 1
+        # a chain that comes to a category again goes on in a circle from there
+        once = F.array_distinct("ids")
+        closes = F.size(once) < F.size("ids")
+        now = joined.select(
+            "category_id",
+            once.alias("ids"),
+            F.slice("names", 1, F.size(once)).alias("names"),
+            F.when(~closes, F.col("next")).alias("next"),
+            (F.col("complete") & ~closes).alias("complete"),
+        )
+    return reduce(DataFrame.unionByName, ended).select(
+        "category_id",
+        F.array_join(F.reverse("names"), " / ").alias("path"),
+        F.size("ids").alias("depth"),
+        "complete",
+    )

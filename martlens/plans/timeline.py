@@ -12,7 +12,7 @@ from martlens.plans.oracle import PRICE_NOW, dbl, ts
 from martlens.plans.registry import query
 from martlens.plans.sample_model import TABLES, SampleModel, n_rows
 from martlens.session import work_dir
-from martlens.sources import messages
+from martlens.sources import messages, partitions
 from martlens.sources.tables import LogTable
 from martlens.streaming import rollups
 from martlens.streaming.stages import Stages
@@ -212,6 +212,23 @@ def streamed_message_order(m: SampleModel):
     return m.spark.read.parquet(f"{root}/out").groupBy("key").agg(last)
 
 
+@query("S1 T6", "SELECT user_id % 4 AS part, count(*) AS messages, max(event_id) AS last_event, min(event_id) AS first_event FROM events GROUP BY 1")
+def streamed_partitions(m: SampleModel):
+    """Four landed partitions by offset: the earlier half, then the rest while the earlier half is landed a second time."""
+    root = work_dir(m.spark, "stream-partitions")
+    k, middle = F.col("event_id"), n_rows(m.raw("events")) / 2
+    part, offset = (F.col("user_id") % 4).cast("int"), k + 999_000
+    sent = m.raw("events").select(part.alias("partition"), offset.alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"),
+                                  F.col("user_id").cast("string").alias("key"), k.cast("string").alias("value"))
+    early = sent.filter(F.col("value").cast("bigint") < middle)
+    for rows in (early, sent):
+        partitions.land(rows, f"{root}/in")
+        rollups.write_available(messages.read_stream(m.spark, "partitions", {}, f"{root}/in"), f"{root}/out", f"{root}/checkpoint")
+    read, event = m.spark.read.parquet(f"{root}/out"), F.col("value").cast("bigint")
+    by_place = [f("value", F.struct("seq.offset")).cast("bigint").alias(n) for f, n in ((F.max_by, "last_event"), (F.min_by, "first_event"))]
+    return read.groupBy(F.col("seq.part").cast("bigint").alias("part")).agg(F.count(event).alias("messages"), *by_place)
+
+
 def _land(df: DataFrame, path: str) -> None:
     df.select("seq", "key", "value").write.mode("overwrite").json(path)
 

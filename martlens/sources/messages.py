@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -9,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from martlens import schemas
 from martlens.functions import scalars as X
+from martlens.sources import partitions
 
 TOPIC = "topic"
 #: Where a message stands among all others; numbers are compared one after the other, so none has to fit into another.
@@ -64,8 +66,11 @@ def read_stream(spark: SparkSession, fmt: str, options: dict[str, str], path: st
     """A message stream from its beginning, as seq (a place), key and value.
 
     fmt="kafka" needs Spark's Kafka connector on the class path.  fmt="json" reads landed files
-    of such messages, numbered or with time, partition and offset.
+    of such messages, numbered or with time, partition and offset; fmt="partitions" a folder of landed partitions by offset.
     """
+    if fmt == "partitions":
+        starting = {int(k): v for k, v in json.loads(options.get("startingOffsets", "{}")).items()}
+        return from_kafka(partitions.stream_records(spark, path, starting))
     reader = spark.readStream.format(fmt).options(**options)
     if fmt == "kafka":
         return from_kafka(reader.option("startingOffsets", "earliest").load())

@@ -45,6 +45,18 @@ def test_paths_of_any_depth_and_circles(spark):
     assert (got[14].depth, got[14].complete, got[14].path) == (15, True, " / ".join(f"c{i}" for i in range(15)))
     assert [got[i].complete for i in (20, 21, 22, 30)] == [False] * 4
     assert (got[40].path, got[40].complete) == ("lost", True)
+    # every category of a chain once, also where the chain leads into a circle
+    assert (got[20].path, got[30].path) == ("c / b / a", "c / b / a / in")
+    assert joins.category_paths(tree.limit(0)).count() == 0
+
+
+def test_paths_take_as_many_rounds_as_doubling_needs(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(joins, "work_dir", lambda *_: str(tmp_path / "rounds"))
+    chain = [(i, f"c{i}", i - 1 if i else None) for i in range(300)]
+    rows = joins.category_paths(spark.createDataFrame(chain, "category_id int, category_name string, parent_id int"))
+    assert rows.filter("complete").agg(F.max("depth")).first()[0] == 300
+    # 2^9 > 300; one folder for each round and one to begin with
+    assert len(list((tmp_path / "rounds").iterdir())) == 10
 
 
 def test_a_day_that_comes_out_empty_is_removed(spark, tmp_path):
