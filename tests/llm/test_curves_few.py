@@ -31,3 +31,16 @@ def test_windows_hold_enough():
     few[0, [3, 40]] = 1
     first, past = curves._windows(few, 5, 21)
     assert (first <= 3).all() and (past > 40).all()
+
+
+def test_scores_do_not_depend_on_the_blocks(ready, monkeypatch):
+    monkeypatch.setattr(curves, "CHUNK", 7)
+    monkeypatch.setattr(curves, "SLICE", 3)
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal(24)
+    # vectors of one set of components: their products with the first differ in the last bits only, or not at all
+    points = [np.ones(24), *(rng.permutation(base) for _ in range(60))]
+    vectors = ready.createDataFrame([(i, v.tolist()) for i, v in enumerate(points)], "vec_id long, embedding array<double>")
+    got = curves.neighbours(vectors, "vec_id = 0", 20, window=64).orderBy("rank").collect()
+    want = sorted((-float((v * points[0]).sum()), i) for i, v in enumerate(points) if i)[:20]
+    assert [(-r.score, r.vec_id) for r in got] == want
