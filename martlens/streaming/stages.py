@@ -5,7 +5,8 @@ batch causes under the batch's own id, so a replay after a crash rewrites the sa
 Rows a stage refuses go to the rejects table with a reason and their whole body, so they can be replayed.  Of reviews that
 repeat, over whatever time, the first stored one wins: a batch looks its keys up in the folders they fall into.
 Those folders grow with the tables, but a batch of few keys reads few of them, and finished batches are merged
-as they become many.  Reviews that come before their product wait and are sent again with its first message.
+as they become many.  Reviews that come before their product wait and are sent again with its first message, unless
+that comes more than `patience` days later; then they are refused for good.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ ORDER_LINES = f"{schemas.TABLES['order_lines']}, {ORDER_AT}"
 SENTIMENTS = f"{schemas.TABLES['review_sentiment']}, {ORDER_AT}"
 LISTED = ("name", "url", "image_url", "description", "shop_id", "category_id", "rating", "sold_count")
 REJECTS = f"stage STRING, seq {messages.PLACE}, value STRING, reason STRING"
-WAITING = f"product_id BIGINT, {MESSAGE}"
+WAITING = f"product_id BIGINT, {MESSAGE}, since TIMESTAMP"
 METRICS = "stage STRING, processed BIGINT, failed BIGINT"
 
 
@@ -123,8 +124,8 @@ def _fold_once(key: str) -> Callable[[DataFrame], DataFrame]:
 class Stages:
     """Tables under one shared folder and the stages that feed them."""
 
-    def __init__(self, spark: SparkSession, root: str, scorer: Scorer = sentiment.score_with_lexicon):
-        self.spark, self.root, self.scorer = spark, root, scorer
+    def __init__(self, spark: SparkSession, root: str, scorer: Scorer = sentiment.score_with_lexicon, patience: int | None = None):
+        self.spark, self.root, self.scorer, self.patience = spark, root, scorer, patience
         table = lambda name, *how: LogTable(spark, f"{root}/tables/{name}", *how)
         once = lambda name, columns, key: table(name, columns, _fold_once(key), _shorten_once(key), key)
         self.products = table("products", UPDATES, _fold_products, _shorten_products, "product_id")
@@ -210,7 +211,8 @@ class Stages:
             .persist()
         )
         ok = judged.filter("reason IS NULL")
-        at = X.moment("kafka_timestamp", X.moment("crawled_at", self._time(stage, batch_id)))
+        now = self._time(stage, batch_id)
+        at = X.moment("kafka_timestamp", X.moment("crawled_at", now))
         sets = F.array_intersect("present", F.array(*[F.lit(c) for c in LISTED]))
         listed = ok.withColumns({"present": sets, "rating": F.col("rating").try_cast("decimal(3,2)")})
         blank = {f.name: F.lit(None).cast(f.dataType) for f in self.products.schema if f.name not in listed.columns}
@@ -227,7 +229,13 @@ class Stages:
         # reviews that came before their product are sent again with its first message
         known = self.products.log(ok, before=(stage, batch_id)).select("product_id")
         first = ok.select("product_id").distinct().join(known, "product_id", "left_anti").persist()
-        self.topics["review-detail"].append(self.waiting.current(first).drop("product_id"), stage, batch_id)
+        waited = self.waiting.current(first)
+        if self.patience is not None:
+            late = F.col("since") < F.timestamp_add("DAY", F.lit(-self.patience), now)
+            lost = waited.filter(late).select(F.lit("reviews").alias("stage"), "seq", "value", F.lit("waited too long").alias("reason"))
+            self.rejects.append(lost, f"{stage}-late", batch_id)
+            waited = waited.filter(~late)
+        self.topics["review-detail"].append(waited.drop("product_id", "since"), stage, batch_id)
         self._finish(stage, batch_id, judged)
         first.unpersist()
         judged.unpersist()
@@ -312,7 +320,8 @@ class Stages:
         )
         early = judged.filter("reason = 'unknown product'")
         body = F.col("value")
-        self.waiting.append(early.select("product_id", "seq", F.col("review_id").cast("string").alias("key"), body), stage, batch_id)
+        held = early.select("product_id", "seq", F.col("review_id").cast("string").alias("key"), body, now.alias("since"))
+        self.waiting.append(held, stage, batch_id)
         ok = judged.filter("reason IS NULL").drop("reason", "value")
         stored = self.reviews.log(ok, before=(stage, batch_id))
         new = merge.new_rows(ok, stored, "review_id").persist()

@@ -24,6 +24,10 @@ def stream(spark, root, name):
     return messages.read_stream(spark, "json", {}, f"{root}/in/{name}")
 
 
+def stream_rows(spark, root, name):
+    return messages.landed(spark.read.schema(LANDED).json(f"{root}/in/{name}"))
+
+
 def product(i, **more):
     return {"item_type": "product", "product_id": i, "name": f"p{i}", "url": "u", "shop_id": 5, "price": 100 + i,
             "crawled_at": "2024-01-01T00:00:00", **more}
@@ -250,6 +254,19 @@ def test_early_reviews_come_in_with_their_product(spark, stages):
     assert stages.topics["review-detail"].current().count() == 1
 
 
+@pytest.mark.parametrize("days, again, lost", [(1, [1], []), (0, [], [1])])
+def test_reviews_wait_only_so_long(spark, stages, days, again, lost):
+    stages.patience, root = days, stages.root
+    land(spark, root, "reviews", [(20, 1, review(1, 7))])
+    stages.run(stream(spark, root, "reviews"), stages.on_reviews, "reviews")
+    land(spark, root, "products", [(30, 7, product(7))])
+    for _ in range(2):  # a replay refuses and sends the same
+        stages.on_products(stream_rows(spark, root, "products").filter("seq.at = 30"), 1)
+    assert [int(r.key) for r in stages.topics["review-detail"].current().collect()] == again
+    late = stages.rejects.current().filter("reason = 'waited too long'").collect()
+    assert [json.loads(r.value)["id"] for r in late] == lost and {r.stage for r in late} <= {"reviews"}
+
+
 def test_pages_with_neighbouring_numbers_do_not_tie(spark, stages):
     """The third element of one page and the first of the next are the same review: the page that came first wins."""
     pages = [(40, 1, {"data": [review(8, None), review(9, None), review(5, None, content="first")]}), (41, 1, {"data": [review(5, None, content="again")]})]
