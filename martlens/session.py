@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -21,11 +22,25 @@ SETTINGS = {
 }
 
 
+# What one task is given, at most, in compressed bytes.  By default Spark deals an input to as many tasks as there are cores
+# until these are several times as large, so that hash maps and sorts of one task would grow with the input.
+SIZES = {"spark.sql.files.maxPartitionBytes": "32m", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m"}
+
+
+def n_bytes(size: str) -> int:
+    """The bytes that a size such as 64m, 64MB or 67108864b stands for."""
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", size.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session that somebody else built."""
+    """Apply the runtime settings to a session that somebody else built; its sizes of tasks are only made smaller."""
     for name, value in SETTINGS.items():
         if spark.conf.get(name, None) != value:
             spark.conf.set(name, value)
+    for name, value in SIZES.items():
+        if n_bytes(spark.conf.get(name)) > n_bytes(value):
+            spark.conf.set(name, value)
     return spark
 
 
