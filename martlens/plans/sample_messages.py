@@ -190,12 +190,14 @@ def product_messages(m: SampleModel, versions: int = 3) -> DataFrame:
         "discount_percent": (k % 30).cast("int"),
         "crawled_at": F.concat(F.lit("2024-01-0"), F.when(v == 3, 2).otherwise(v), F.lit("T00:00:00")),
     }
-    many = m.parts.withColumn("v", F.explode(F.sequence(F.lit(1), F.lit(versions))))
-    return many.select(
+    # parts lie in few files; spread before their messages are made, and again as these are many times larger
+    many = m.parts.repartition("p_partkey").withColumn("v", F.explode(F.sequence(F.lit(1), F.lit(versions))))
+    made = many.select(
         (k * 10 + v).alias("seq"),
         k.cast("string").alias("key"),
         json_of(fields, (k + v) % 2 == 0).alias("value"),
     )
+    return made.repartition("seq")
 
 
 def order_messages(m: SampleModel) -> DataFrame:
