@@ -95,8 +95,12 @@ FROM m_reviews r LEFT JOIN (SELECT review_id, sentiment, confidence_10k, process
 WHERE sentiment IS NOT NULL""",
 )
 def scored_review_detail(m: SampleModel):
-    columns = ["review_id", "product_id", "user_name", "rating", "comment", "created_at"]
-    return J.scored_reviews(m.reviews.select(*columns), m.review_sentiment)
+    # texts come last, as they are much larger than all else and repeat
+    rows = m.review_facts.select("review_id", "product_id", "user_name", "rating", "created_at", "doc_id")
+    scored = J.scored_reviews(rows, m.review_sentiment).join(m.documents.select("doc_id", F.col("text").alias("comment")), "doc_id")
+    return scored.select(
+        "review_id", "product_id", "user_name", "rating", "comment", "created_at", "sentiment", "confidence_score", "processed_at"
+    )
 
 
 @query(
