@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martlens.operators import merge, prices as P
@@ -134,11 +134,14 @@ class StoredRollup:
     def refresh(self, since: int, upto: int) -> None:
         prices = self.changed(since, upto)
         newest = prices.groupBy("product_id", "timestamp").agg(F.max_by("price", "batch_id").alias("price")).where("price is not null")
-        states = self._dealt(P.price_states(newest), "bucket")
-        left = states.select("period").distinct()
-        for row in prices.select("period").distinct().join(left, "period", "left_anti").toLocalIterator():
-            files.remove(self.spark, f"{self.root}/states/period={row.period}")
+        seen = Observation("periods")
+        # one value for each calendar unit
+        states = self._dealt(P.price_states(newest), "bucket").observe(seen, F.collect_set("period").alias("left"))
         states.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period").parquet(f"{self.root}/states")
+        left = set(seen.get.get("left") or ())
+        for row in prices.select("period").distinct().toLocalIterator():
+            if row.period not in left:
+                files.remove(self.spark, f"{self.root}/states/period={row.period}")
 
     def rollup(self, unit: str = "hour") -> DataFrame:
         states = self.spark.read.schema(self.STATES).parquet(f"{self.root}/states").drop("period")
