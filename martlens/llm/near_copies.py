@@ -1,8 +1,12 @@
 """Near copies: documents whose sets of word shingles have a Jaccard similarity of 0.8 or more, and the groups they form.
 
-Texts with the same set of shingles are one class.  Classes that may be similar meet in buckets: every class is filed
-under 40 bands of six min-hashes each, so a pair at a similarity of exactly 0.8 shares no bucket with a probability of
-5 in a million, and a more similar pair with less.  What meets is compared by the true similarity of the whole sets.
+Texts with the same set of shingles are one class.  Every class has a SimHash fingerprint; classes whose fingerprints
+differ in few bits are found by multi-index hashing, as `simhash` finds them, and compared by the true similarity of
+the whole sets.  One class stands for all of one fingerprint.  Sets at a similarity of 0.8 differ in about ten of 64 bits,
+which no small Hamming ball holds, so fingerprints alone would leave most near copies in.  The others meet
+in buckets: every class is filed under 40 bands of six min-hashes each, so a pair at a similarity of exactly 0.8 shares no
+bucket with a probability of 5 in a million, and a more similar pair with less.  What meets is compared in the same way,
+unless its groups are one already.
 
 In a bucket two classes stand for all: every member is compared with both, and they leave the bucket, as nothing is left to
 compare them with.  A bucket whose other members all are in one group then is settled, which large groups of near copies
@@ -36,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from martlens.llm.common import durable, stored, whole_texts
-from martlens.llm.simhash import SEED, components
+from martlens.llm.simhash import SEED, components, links, majority
 
 WORDS = 5
 BANDS, ROWS = 40, 6
@@ -87,7 +91,7 @@ def may_be_similar(n, m, differing):
 
 
 def _classes(docs: DataFrame) -> DataFrame:
-    """(node, n, bands, parity, best): one row for each set of shingles, with its size and its first document."""
+    """(node, n, bands, parity, fp, best): one row for each set of shingles, with its size and its first document."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -95,14 +99,26 @@ def _classes(docs: DataFrame) -> DataFrame:
             node = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
             filed = pa.array([bands(s).tobytes() for s in sets], pa.binary())
             bits = pa.array([parity(s) for s in sets], pa.binary())
-            columns = [b["doc_id"], b["text_hash"], pa.array(node), pa.array([len(s) for s in sets], pa.int64()), filed, bits]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "node", "n", "bands", "parity"])
+            fp = pa.array(np.array([majority(s) for s in sets], np.uint64).view(np.int64))
+            columns = [b["doc_id"], b["text_hash"], pa.array(node), pa.array([len(s) for s in sets], pa.int64()), filed, bits, fp]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "node", "n", "bands", "parity", "fp"])
 
     texts = whole_texts(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     kind = texts.schema["doc_id"].dataType.simpleString()
-    prints = texts.mapInArrow(rows, f"doc_id {kind}, text_hash long, node long, n long, bands binary, parity binary")
+    prints = texts.mapInArrow(rows, f"doc_id {kind}, text_hash long, node long, n long, bands binary, parity binary, fp long")
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_hash")
-    return stored(prints.groupBy("node").agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("parity").alias("parity"), F.min(order).alias("best")))
+    same = [F.first(c).alias(c) for c in ("n", "bands", "parity", "fp")]
+    return stored(prints.groupBy("node").agg(*same, F.min(order).alias("best")))
+
+
+def _by_fingerprint(classes: DataFrame) -> DataFrame:
+    """(u, v): every class with the one that stands for its fingerprint, and those of fingerprints that differ in few bits."""
+    heads = stored(classes.groupBy("fp").agg(F.min("node").alias("head")))
+    same = classes.join(heads, "fp").where("node <> head").select(F.col("head").alias("u"), F.col("node").alias("v"))
+    near = links(heads.select("fp"))
+    for c in ("u", "v"):
+        near = near.join(heads.select(F.col("fp").alias(c), F.col("head").alias(f"{c}_head")), c)
+    return stored(same.unionByName(near.select(F.col("u_head").alias("u"), F.col("v_head").alias("v"))).distinct())
 
 
 def _members(classes: DataFrame) -> DataFrame:
@@ -129,8 +145,8 @@ def _picked(docs: DataFrame, best: DataFrame) -> tuple[DataFrame, str]:
     return mine.join(best, same, "left_semi").dropDuplicates(["doc_id", own]), own
 
 
-def _sets(docs: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
-    """(node, found): the whole sets of the classes that share a bucket."""
+def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, found): the whole sets of these classes."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -138,7 +154,7 @@ def _sets(docs: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
             node = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(node), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "found"])
 
-    best = classes.join(members.select("node").distinct(), "node", "left_semi")
+    best = classes.join(nodes, "node", "left_semi")
     best = stored(best.select(F.col("best.doc_id").alias("keep_id"), F.col("best.text_hash").alias("keep_hash")))
     picked, _ = _picked(whole_texts(docs), best)
     return stored(picked.select("text").mapInArrow(rows, "node long, found binary"))
@@ -275,12 +291,16 @@ def _in_blocks(members: DataFrame, prints: DataFrame) -> DataFrame:
 
 def groups(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, root) for the classes that are similar to another one."""
-    members = _members(classes)
-    sets = _sets(docs, classes, members)
-    prints = stored(classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", "parity"))
-    heads = _heads(members)
-    met = members.join(heads, "bucket").where("node <> head").select("head", "node").distinct()
-    found = [_verified(_thinned(met.select(F.col("head").alias("u"), F.col("node").alias("v")), prints), prints, sets)]
+    close, members = _by_fingerprint(classes), _members(classes)
+    nodes = stored(members.select("node").union(close.select("u")).union(close.select("v")).distinct())
+    sets = _sets(docs, classes, nodes)
+    prints = stored(classes.join(nodes, "node", "left_semi").select("node", "n", "parity"))
+    found = [_verified(_thinned(close, prints), prints, sets)]
+    named, heads = stored(_named(members, _roots(found))), _heads(members)
+    # heads are members of the bucket too
+    head = heads.join(named.select("bucket", F.col("node").alias("head"), F.col("root").alias("head_root")), ["bucket", "head"])
+    met = named.join(head, "bucket").where("root <> head_root").select(F.col("head").alias("u"), F.col("node").alias("v")).distinct()
+    found.append(_verified(_thinned(met, prints), prints, sets))
     roots = _roots(found)
     others = members.join(heads.withColumnRenamed("head", "node"), ["bucket", "node"], "left_anti")
     opened = _open(stored(_named(others, roots)))

@@ -49,6 +49,15 @@ def fingerprint(text: str, words: int = 3) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
 
+def majority(hashes: np.ndarray) -> int:
+    """Bit b is set if it is in over half of these hashes; none give zero."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), CHUNK):
+        some = np.ascontiguousarray(hashes[at : at + CHUNK], "<u8").view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(some, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
+
+
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     """(doc_id, text_hash, fp): the fingerprint as a signed long."""
 

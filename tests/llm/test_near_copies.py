@@ -6,7 +6,7 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from martlens.llm import near_copies
+from martlens.llm import near_copies, simhash
 from martlens.llm.common import stored, table
 
 
@@ -115,3 +115,15 @@ def test_odd_rows(ready, hard, nothing):
     assert kept == [1, 4, 5, 6, 8, 9, 10, 11, 12, 13, 14]
     assert sum(r.doc_id is None for r in corpus_pipeline.one_of_each_group(ready, hard, "").collect()) == 1
     assert corpus_pipeline.one_of_each_group(ready, nothing, "").count() == 0
+
+
+def test_fingerprints_find_near_copies_first(ready):
+    rnd = random.Random(9)
+    base = [f"w{rnd.randrange(10**6)}" for _ in range(4000)]
+    rows = [(0, " ".join(base)), (1, " ".join(base[1:])), (2, " ".join(base[2:])), (3, " ".join(reversed(base))), (4, None)]
+    classes = near_copies._classes(ready.createDataFrame(rows, "doc_id long, text string"))
+    named = {r.node: (r.best.doc_id, r.fp) for r in classes.collect()}
+    met = {frozenset((named[r.u][0], named[r.v][0])) for r in near_copies._by_fingerprint(classes).collect()}
+    assert named and all(fp == simhash.fingerprint((text or ""), 5) - ((fp < 0) << 64) for i, text in rows for d, fp in named.values() if d == i)
+    near = {frozenset((a, b)) for a, x in named.values() for b, y in named.values() if a < b and ((x ^ y) & (2**64 - 1)).bit_count() <= 2}
+    assert near and met == near
