@@ -86,6 +86,7 @@ def near_duplicate_groups(rows: DataFrame, key: str, tokens: Column) -> DataFram
 
     links: list[DataFrame] = []
     roots, hubs, level = None, 1, 0
+    sets, n_sets = classes.select("node", "tokens"), classes.count()
     while True:
         named = members.withColumn("root", F.col("node"))
         if roots is not None:
@@ -95,6 +96,10 @@ def near_duplicate_groups(rows: DataFrame, key: str, tokens: Column) -> DataFram
         opened = kept(named.join(open_ones, "bucket"))
         if opened.isEmpty():
             break
+        # sets that are still asked about; rounds then cost what is open, not what was read
+        asked = kept(opened.select("node").distinct())
+        if 2 * (n_asked := asked.count()) <= n_sets:
+            sets, n_sets = kept(sets.join(asked, "node", "left_semi")), n_asked
         # the same sets stand for many buckets, so that most comparisons are asked for several times and made once
         first = Window.partitionBy("bucket").orderBy(F.xxhash64("node", F.lit(level)), "node")
         heads = kept(opened.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= hubs).drop("rank"))
@@ -104,7 +109,6 @@ def near_duplicate_groups(rows: DataFrame, key: str, tokens: Column) -> DataFram
         most = F.least("place", "h_place") + F.least(F.col("n") - F.col("place"), F.col("h_n") - F.col("h_place"))
         fits = (5 * F.least("n", "h_n") >= 4 * F.greatest("n", "h_n")) & (9 * most >= 4 * (F.col("n") + F.col("h_n")))
         pairs = met.where(fits).select(F.least("node", "h_node").alias("u"), F.greatest("node", "h_node").alias("v")).distinct()
-        sets = classes.select("node", "tokens")
         both = pairs.join(sets.select(F.col("node").alias("v"), F.col("tokens").alias("b")), "v")
         both = both.join(sets.select(F.col("node").alias("u"), F.col("tokens").alias("a")), "u")
         alike = X.let(F.size(F.array_intersect("a", "b")), lambda c: 9 * c >= 4 * (F.size("a") + F.size("b")))
