@@ -97,7 +97,9 @@ WHERE sentiment IS NOT NULL""",
 def scored_review_detail(m: SampleModel):
     # texts come last, as they are much larger than all else and repeat
     rows = m.review_facts.select("review_id", "product_id", "user_name", "rating", "created_at", "doc_id")
-    scored = J.scored_reviews(rows, m.review_sentiment).join(m.documents.select("doc_id", F.col("text").alias("comment")), "doc_id")
+    scored = J.scored_reviews(rows, m.review_sentiment)
+    # a merge join leaves the reviews of one text side by side, and copies side by side take little room where they are written
+    scored = scored.join(m.documents.select("doc_id", F.col("text").alias("comment")).hint("merge"), "doc_id")
     return scored.select(
         "review_id", "product_id", "user_name", "rating", "comment", "created_at", "sentiment", "confidence_score", "processed_at"
     )
