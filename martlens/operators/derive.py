@@ -23,13 +23,15 @@ def order_facts(
     as_of: Column | None = None,
     keep: Sequence[str] = (),
     own_time: bool = False,
+    once: bool = False,
 ) -> DataFrame:
     """Order messages to order rows with their single line.
 
     The price is the newest, or the newest at `as_of`, or with `own_time` the newest at each order's date.
 
     Messages without a review, product or customer id, and those of unknown products, give no
-    order; of repeated reviews the first wins.  The order id is the review id (both are unique).
+    order; of repeated reviews the first wins, and `once` says that none repeats.  The order id is the review id
+    (both are unique).
     """
     given = messages
     for c in ("review_id", "product_id", "customer_id"):
@@ -37,7 +39,7 @@ def order_facts(
     known = joins.with_parent(given, products, "product_id")
     if existing_orders is not None:
         known = joins.without_match(known, existing_orders, "review_id")
-    fresh = merge.first_wins(known, "review_id") if "seq" in known.columns else known
+    fresh = merge.first_wins(known, "review_id") if "seq" in known.columns and not once else known
     if dict(messages.dtypes)["order_date"] == "string":
         fresh = fresh.withColumn("order_date", X.moment("order_date", now if now is not None else F.current_timestamp()))
     priced = _priced(fresh, prices, "order_date" if own_time else None, as_of)

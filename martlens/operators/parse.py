@@ -172,10 +172,16 @@ def flat_reviews(
     )
 
 
-def review_details(messages: DataFrame, now: Column, body: str = "value") -> DataFrame:
-    """Full review messages to review rows plus the reviewer's id and the message order."""
+def review_details(messages: DataFrame, now: Column, body: str = "value", unreadable: str | None = None) -> DataFrame:
+    """Full review messages to review rows plus the reviewer's id and the message order.
+
+    `unreadable` names a column that says whether a message is anything but a JSON object.
+    """
     extra = [c for c in messages.columns if c != body]
     df = _read(messages, body, schemas.REVIEW_DETAIL)
+    if unreadable is not None:
+        df = df.withColumn(unreadable, F.col("_keys").isNull())
+        extra.append(unreadable)
     get = lambda path: F.col(f"_d.{path}")
     full_name = X.blank_to_null(get("created_by.full_name"))
     return df.select(

@@ -300,12 +300,12 @@ class Stages:
         stage = "reviews"
         self._settle(stage, batch_id)
         now = self._time(stage, batch_id)
-        read = parse.review_details(batch.select("seq", F.col("value").alias("body"), "value"), now)
+        read = parse.review_details(batch.select("seq", F.col("value").alias("body"), "value"), now, unreadable="_unreadable")
         read = read.persist()
         known = self.products.log(read).select("product_id").distinct().withColumn("_known", F.lit(True))
         falsy = lambda c: F.coalesce(F.col(c), F.lit(0)) == 0
         reason = (
-            F.when(_unreadable("body"), "not a JSON object")
+            F.when(F.col("_unreadable"), "not a JSON object")
             .when(falsy("review_id"), "missing review_id")
             .when(falsy("product_id"), "missing product_id")
             .when(F.col("_known").isNull(), "unknown product")
@@ -315,7 +315,7 @@ class Stages:
             read.join(known, "product_id", "left")
             .withColumn("reason", reason)
             .withColumnRenamed("body", "value")
-            .drop("_known")
+            .drop("_known", "_unreadable")
             .persist()
         )
         early = judged.filter("reason = 'unknown product'")
@@ -339,11 +339,11 @@ class Stages:
             held.unpersist()
 
     def _write_orders(self, buyers: DataFrame, now: Column, stage: str, batch_id: int) -> None:
-        """Orders, their lines and customers of accepted reviews or order messages."""
+        """Orders, their lines and customers of accepted reviews or order messages, which hold each review once."""
         products = self.products.log(buyers).select("product_id")
         prices = self.prices.current(buyers)
         keep = ("seq",)
-        facts = derive.order_facts(buyers, products, prices, now=now, keep=keep).persist()
+        facts = derive.order_facts(buyers, products, prices, now=now, keep=keep, once=True).persist()
         rows = ((self.orders, derive.orders_of(facts, keep)), (self.order_lines, derive.order_lines_of(facts, keep)))
         for table, made in rows:
             placed = made.withColumns({"created_at": now, "order_at": _order(0, batch_id)})
