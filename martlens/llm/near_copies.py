@@ -31,7 +31,6 @@ rows.  All columns are kept, whatever their names.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -203,11 +202,17 @@ def _verified(pairs: DataFrame, prints: DataFrame, sets: DataFrame) -> DataFrame
     return stored(met.repartition("u", "slice").sortWithinPartitions(*order).select("u", "v", "found").mapInArrow(rows, "u long, v long"))
 
 
-def _roots(found: list[DataFrame]) -> DataFrame:
-    links = functools.reduce(DataFrame.unionByName, found)
+def _roots(links: DataFrame) -> DataFrame:
     return stored(components(links.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))))
 
 
+def _grown(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """The groups with what `found` joins of them; a group so far goes in as a star, whatever links it came from."""
+    if found.isEmpty():
+        return roots
+    return _roots(found.unionByName(roots.select(F.col("root").alias("u"), F.col("node").alias("v"))))
+
+
 def _named(members: DataFrame, roots: DataFrame) -> DataFrame:
     """`members` with the group each is in so far."""
     return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -295,13 +300,12 @@ def groups(docs: DataFrame, classes: DataFrame) -> DataFrame:
     nodes = stored(members.select("node").union(close.select("u")).union(close.select("v")).distinct())
     sets = _sets(docs, classes, nodes)
     prints = stored(classes.join(nodes, "node", "left_semi").select("node", "n", "parity"))
-    found = [_verified(_thinned(close, prints), prints, sets)]
-    named, heads = stored(_named(members, _roots(found))), _heads(members)
+    roots = _roots(_verified(_thinned(close, prints), prints, sets))
+    named, heads = stored(_named(members, roots)), _heads(members)
     # heads are members of the bucket too
     head = heads.join(named.select("bucket", F.col("node").alias("head"), F.col("root").alias("head_root")), ["bucket", "head"])
     met = named.join(head, "bucket").where("root <> head_root").select(F.col("head").alias("u"), F.col("node").alias("v")).distinct()
-    found.append(_verified(_thinned(met, prints), prints, sets))
-    roots = _roots(found)
+    roots = _grown(roots, _verified(_thinned(met, prints), prints, sets))
     others = members.join(heads.withColumnRenamed("head", "node"), ["bucket", "node"], "left_anti")
     opened = _open(stored(_named(others, roots)))
     if opened.isEmpty():
@@ -316,8 +320,7 @@ def groups(docs: DataFrame, classes: DataFrame) -> DataFrame:
         if thin:  # one pair for each two groups; as a rule that settles them
             sides = left.groupBy(F.least("root_u", "root_v"), F.greatest("root_u", "root_v"))
             asked = stored(sides.agg(F.min(F.struct(F.xxhash64("u", "v"), "u", "v")).alias("one")).select("one.u", "one.v"))
-        found.append(_verified(asked, prints, sets))
-        roots = _roots(found)
+        roots = _grown(roots, _verified(asked, prints, sets))
         left = left.select("u", "v").join(asked, ["u", "v"], "left_anti")
     return roots
 

@@ -15,7 +15,7 @@ choice of the partial sort, the same for equal texts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -62,13 +62,20 @@ def shares(text: str) -> np.ndarray:
     return np.sqrt(np.array([again, used, capitals, _SIGN[data].mean() if len(data) else 0.0], np.float32))
 
 
-def _weighed(logs: np.ndarray, idf: np.ndarray, side: np.ndarray) -> np.ndarray:
-    """Logarithms of counts and shares, texts x (buckets + shares), as weighed rows; in place of a copy of each step."""
-    x = np.empty((len(logs), logs.shape[1] + side.shape[1]), np.float32)
-    runs = x[:, : logs.shape[1]]
-    np.multiply(logs, idf, out=runs)
+def _filled(logs: Sequence[np.ndarray], side: Sequence[np.ndarray]) -> np.ndarray:
+    """Logarithms of counts and shares as rows, texts x (buckets + shares), each written to its place at once."""
+    x = np.empty((len(logs), len(logs[0]) + len(side[0])), np.float32)
+    for row, runs, shared in zip(x, logs, side, strict=True):
+        row[: len(runs)], row[len(runs) :] = runs, shared
+    return x
+
+
+def _weighed(x: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """The rows of `x`, weighed in place."""
+    runs = x[:, : len(idf)]
+    runs *= idf
     runs /= np.maximum(np.sqrt(np.einsum("ij,ij->i", runs, runs)), 1e-9)[:, None]
-    np.multiply(side, SHARES, out=x[:, logs.shape[1] :])
+    x[:, len(idf) :] *= SHARES
     return x
 
 
@@ -104,7 +111,10 @@ def rarity(docs: DataFrame) -> np.ndarray:
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> Model:
-    """Fit on a bounded sample of labelled rows; logarithms of their counts are sent in half precision."""
+    """Fit on a bounded sample of labelled rows; logarithms of their counts are sent in half precision.
+
+    One task fits, so that the driver gets the model only: the sample would stay in its process long after the fit.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -115,28 +125,38 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class:
                 ["id", "label", "runs", "shares"],
             )
 
+    idf = rarity(docs)
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        drawn = pa.Table.from_batches(held)
+        of, ids = drawn["label"].to_pylist(), drawn["id"].to_pylist()
+        order = sorted(range(len(ids)), key=lambda k: (of[k], ids[k]))  # the same model whatever the order of tasks
+        logs = [np.frombuffer(drawn["runs"][k].as_buffer(), np.float16) for k in order]
+        x = _filled(logs, [np.frombuffer(drawn["shares"][k].as_buffer(), np.float32) for k in order])
+        del held, drawn, logs
+        space = _decomposed(_weighed(x, idf), DIMENSIONS)
+        parts = space, _unit(x @ space), np.array([of[k] for k in order], np.float32)
+        yield pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in parts], ["space", "vectors", "votes"])
+
     sample = labelled_sample(docs, labels, label, {0: per_class, 1: per_class})
-    drawn = sample.mapInArrow(rows, "id string, label int, runs binary, shares binary").toArrow()
-    if not drawn.num_rows:
+    drawn = sample.mapInArrow(rows, "id string, label int, runs binary, shares binary")
+    made = drawn.repartition(1).mapInArrow(fitted, "space binary, vectors binary, votes binary").collect()
+    if not made:
         empty = np.zeros((0, 0), np.float32)
         return Model(empty, empty, empty, empty)
-    of, ids = drawn["label"].to_pylist(), drawn["id"].to_pylist()
-    order = sorted(range(len(ids)), key=lambda k: (of[k], ids[k]))  # the same model whatever the order of tasks
-    logs = np.stack([np.frombuffer(drawn["runs"][k].as_buffer(), np.float16) for k in order])
-    side = np.stack([np.frombuffer(drawn["shares"][k].as_buffer(), np.float32) for k in order])
-    del drawn
-    pa.default_memory_pool().release_unused()
-    idf = rarity(docs)
-    x = _weighed(logs, idf, side)
-    space = _decomposed(x, DIMENSIONS)
-    return Model(idf, space, _unit(x @ space), np.array([of[k] for k in order], np.float32))
+    space, vectors, voted = (np.frombuffer(part, np.float32) for part in made[0])
+    vectors = vectors.reshape(len(voted), -1)
+    return Model(idf, space.reshape(-1, vectors.shape[1]), vectors, voted)
 
 
 def votes(model: Model, texts: list[str]) -> np.ndarray:
     """Scores of a block of texts."""
     if not len(model.votes) or not texts:
         return np.zeros(len(texts))
-    x = _weighed(np.log1p(np.stack([counts(t) for t in texts])), model.idf, np.stack([shares(t) for t in texts]))
+    x = _weighed(_filled([np.log1p(counts(t)) for t in texts], [shares(t) for t in texts]), model.idf)
     cosine = _unit(x @ model.space) @ model.vectors.T
     voters = min(VOTERS, cosine.shape[1])
     near = np.argpartition(-cosine, voters - 1, axis=1)[:, :voters]
