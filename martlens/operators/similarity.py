@@ -16,7 +16,8 @@ follows, until every bucket is settled; so no link between different groups is l
 rounds grow with the logarithm of that size.
 
 Pairs are judged by one bit string a set first: odd bits differ at most as often as the sets do.  Whole sets are made
-again from the rows, and only of those that a pair is left for.
+again from the rows, and only of those that a pair is left for.  In smaller buckets each set is compared with one partner
+first, and then with those that are in other groups still; so a set is seldom sent more than once.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ COMMON = 16
 HUBS = 64
 #: How many times as many sets stand for a larger bucket in the next round.
 GROWTH = 8
-#: Tokens of one task that are counted at a time, marks that are kept, and bits that tell sets apart.
+#: Tokens of one task that are counted at a time, marks that are kept, and the least bits that tell a set apart.
 CHUNK, SLOTS, BITS = 1 << 22, 1 << 24, 2048
 #: Rows handed to Python at once, where they hold texts or sets and where they are narrow.
 TEXTS, NARROW = 512, 1 << 16
@@ -189,9 +190,15 @@ def _nodes(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
 def _counted(own: DataFrame) -> DataFrame:
     """(key, node, n) for every row, and rows (token, held) of tokens that return within a part of a task."""
 
-    def repeated(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        token, held = np.unique(np.concatenate(parts), return_counts=True)
-        return token[held > 1], held[held > 1]
+    def told(schema: pa.Schema, parts: list[np.ndarray]) -> pa.RecordBatch:
+        found = np.concatenate(parts)
+        parts.clear()
+        found.sort()
+        again = np.concatenate([[False], found[1:] == found[:-1], [False]])
+        first = np.flatnonzero(again[1:] & ~again[:-1])
+        held = np.flatnonzero(again[:-1] & ~again[1:]) - first + 1
+        empty = [pa.nulls(len(first), f.type) for f in schema][:3]
+        return pa.RecordBatch.from_arrays([*empty, pa.array(found[first]), pa.array(held)], schema=schema)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema, parts, size, seen = None, [], 0, set()
@@ -206,19 +213,29 @@ def _counted(own: DataFrame) -> DataFrame:
                     parts.append(values[cuts[k] : cuts[k + 1]])
                     size += len(parts[-1])
             if size >= CHUNK:
-                yield told(schema, *repeated(parts))
-                parts, size, seen = [], 0, set()
+                yield told(schema, parts)
+                size, seen = 0, set()
         if parts:
-            yield told(schema, *repeated(parts))
-
-    def told(schema: pa.Schema, token: np.ndarray, held: np.ndarray) -> pa.RecordBatch:
-        empty = [pa.nulls(len(token), f.type) for f in schema][:3]
-        return pa.RecordBatch.from_arrays([*empty, pa.array(token), pa.array(held)], schema=schema)
+            yield told(schema, parts)
 
     numbers = [T.StructField(c, T.LongType()) for c in ("node", "n", "token", "held")]
     return own.mapInArrow(rows, T.StructType([T.StructField("key", own.schema["key"].dataType), *numbers]))
 
 
+def _odd(values: np.ndarray) -> bytes:
+    """One bit for every remainder: whether an odd number of tokens has it.  Large sets have a bit for each token at least."""
+    length = max(BITS, 1 << (len(values) - 1).bit_length())
+    return np.packbits(np.bincount(values & (length - 1), minlength=length).astype(np.uint8) & 1).tobytes()
+
+
+def _differing(a: bytes, b: bytes) -> int:
+    """How many bits differ; of strings of different lengths the longer one is folded."""
+    x, y = (np.frombuffer(c, np.uint64) for c in sorted((a, b), key=len))
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _placed(own: DataFrame, order) -> DataFrame:
     """(node, n, first, bits): the first fifth and one more of every set, rare tokens first, and its bit string.
 
@@ -233,24 +250,23 @@ def _placed(own: DataFrame, order) -> DataFrame:
             late = marks[values & (SLOTS - 1)]
             some = np.concatenate([[0], np.cumsum(late > 0)])
             some = some[cuts[1:]] > some[cuts[:-1]]
-            first, picked = [], []
+            first, picked, bits = [], [], []
             for k, x in enumerate(node.tolist()):
                 if n[k] < 4 or x in seen:
                     continue
                 seen.add(x)
                 mine, length = values[cuts[k] : cuts[k + 1]], n[k] - (4 * n[k] + 4) // 5 + 1
+                bits.append(_odd(mine))
                 if some[k]:
                     mine = mine[np.argsort(late[cuts[k] : cuts[k + 1]], kind="stable")]
                 first.append(mine[:length])
                 picked.append(k)
             if len(seen) > NARROW:
                 seen.clear()
-            place = np.repeat(np.arange(len(n)), n) * BITS + (values & (BITS - 1))
-            odd = np.packbits((np.bincount(place, minlength=len(n) * BITS) & 1).astype(np.uint8).reshape(len(n), BITS), axis=1)
             ends = np.concatenate([[0], np.cumsum([len(x) for x in first])])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *first])))
-            bits = pa.array([odd[k].tobytes() for k in picked], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(node[picked]), pa.array(n[picked]), lists, bits], ["node", "n", "first", "bits"])
+            columns = [pa.array(node[picked]), pa.array(n[picked]), lists, pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "first", "bits"])
 
     return own.select("tokens").mapInArrow(rows, "node long, n long, first array<long>, bits binary")
 
@@ -266,7 +282,7 @@ def _met(placed: DataFrame) -> DataFrame:
     """Rows (u, v) for the pairs that may be similar in buckets of up to HUBS sets, and (u, bucket, n, place) for the members of larger ones."""
     hubs = HUBS
 
-    def whole(token, node, n, place, starts, sizes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def whole(node, n, place, starts, sizes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for m in np.unique(sizes[(sizes > 1) & (sizes <= hubs)]):
             i, j = np.triu_indices(m, 1)
             begins = starts[sizes == m][:, None]
@@ -274,16 +290,24 @@ def _met(placed: DataFrame) -> DataFrame:
             for at in range(0, len(begins), step):
                 a, b = (begins[at : at + step] + i).ravel(), (begins[at : at + step] + j).ravel()
                 fit = _fit(n[a], n[b], place[a], place[b])
-                yield node[a[fit]], node[b[fit]]
+                u, v = node[a[fit]], node[b[fit]]
+                by = np.lexsort((v, u))  # the same two meet in many buckets
+                u, v = u[by], v[by]
+                new = np.concatenate([[True], (u[1:] != u[:-1]) | (v[1:] != v[:-1])])[: len(u)]
+                yield u[new], v[new]
 
     def judged(token, node, n, place) -> pa.RecordBatch:
-        new = np.concatenate([[True], (token[1:] != token[:-1]) | (node[1:] != node[:-1])])
-        token, node, n, place = token[new], node[new], n[new], place[new]
-        starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        same = np.concatenate([[False], token[1:] == token[:-1], [False]])
+        met = np.flatnonzero(same[1:] | same[:-1])
+        met = met[np.lexsort((node[met], token[met]))]
+        # equal sets of several tasks are several rows
+        met = met[np.concatenate([[True], (np.diff(token[met]) != 0) | (np.diff(node[met]) != 0)])[: len(met)]]
+        token, node, n, place = token[met], node[met], n[met], place[met]
+        starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])[: len(met)])
         sizes = np.diff(np.append(starts, len(token)))
-        pairs = [np.stack(p) for p in whole(token, node, n, place, starts, sizes)]
         # members of a bucket are in the order of their numbers
-        u, v = np.unique(np.concatenate([np.empty((2, 0), np.int64), *pairs], axis=1), axis=1) if pairs else np.empty((2, 0), np.int64)
+        pairs = [np.empty((2, 0), np.int64), *(np.stack(p) for p in whole(node, n, place, starts, sizes))]
+        u, v = np.concatenate(pairs, axis=1)
         large = np.repeat(sizes > hubs, sizes)
         none, empty = pa.nulls(len(u), pa.int64()), pa.nulls(int(large.sum()), pa.int64())
         small = [pa.array(u), pa.array(v), none, none, none]
@@ -306,11 +330,7 @@ def _met(placed: DataFrame) -> DataFrame:
             yield judged(*[np.concatenate([p[c] for p in held]) for c in range(4)])
 
     filed = placed.select("node", "n", F.posexplode("first").alias("place", "token")).select("token", "node", "n", "place")
-    return filed.repartition("token").sortWithinPartitions("token", "node").mapInArrow(rows, "u long, v long, bucket long, n long, place long")
-
-
-def _bits(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, BITS // 64)
+    return filed.repartition("token").sortWithinPartitions("token").mapInArrow(rows, "u long, v long, bucket long, n long, place long")
 
 
 def _thinned(pairs: DataFrame, prints: DataFrame) -> DataFrame:
@@ -318,7 +338,7 @@ def _thinned(pairs: DataFrame, prints: DataFrame) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            differing = np.bitwise_count(_bits(b["a"]) ^ _bits(b["b"])).sum(axis=1, dtype=np.int64)
+            differing = np.array([_differing(x, y) for x, y in zip(b["a"].to_pylist(), b["b"].to_pylist())], np.int64)
             yield b.filter(pa.array(9 * differing <= b["n"].to_numpy() + b["m"].to_numpy(), pa.bool_())).select(["u", "v"])
 
     both = pairs.join(prints.select(F.col("node").alias("u"), "n", F.col("bits").alias("a")), "u")
@@ -349,6 +369,36 @@ def _sets(own: Callable[[DataFrame], DataFrame], rows: DataFrame, key: str, keys
     return made.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"))
 
 
+def _named(rows: DataFrame, roots: DataFrame | None, node: str = "node", root: str = "root") -> DataFrame:
+    """`rows` with the group that each is in so far."""
+    if roots is None:
+        return rows.withColumn(root, F.col(node))
+    known = roots.select(F.col("node").alias(node), F.col("root").alias(root))
+    return rows.join(known, node, "left").withColumn(root, F.coalesce(root, node))
+
+
+def _opened(named: DataFrame) -> DataFrame:
+    """The members of buckets that hold two groups or more."""
+    sides = named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    return named.join(sides.select("bucket"), "bucket")
+
+
+def _similar(kept: Callable[[DataFrame], DataFrame], pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (u, v) that are similar indeed."""
+    if 8 * pairs.count() < sets.count():  # few sets are asked about: the others stay where they are
+        sets = sets.join(kept(_ends(pairs).distinct()), "node", "left_semi")
+    both = pairs.join(sets.select(F.col("node").alias("v"), F.col("tokens").alias("b")), "v")
+    both = both.join(sets.select(F.col("node").alias("u"), F.col("tokens").alias("a")), "u")
+    alike = X.let(F.size(F.array_intersect("a", "b")), lambda c: 9 * c >= 4 * (F.size("a") + F.size("b")))
+    return both.where(alike).select("u", "v")
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose ends are not in one group yet."""
+    ends = _named(_named(pairs, roots, "u", "root_u"), roots, "v", "root_v")
+    return ends.where("root_u <> root_v").select("u", "v")
+
+
 def near_duplicate_groups(rows: DataFrame, key: str, tokens: Column) -> DataFrame:
     """(key, group_id): group_id is the smallest key that similar rows lead to, itself included.
 
@@ -378,33 +428,34 @@ def near_duplicate_groups(rows: DataFrame, key: str, tokens: Column) -> DataFram
 
     roots, hubs, level = None, 1, 0
     while True:
-        named = members.withColumn("root", F.col("node"))
-        if roots is not None:
-            named = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        named = kept(named)
-        open_ones = named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
-        opened = kept(named.join(open_ones, "bucket"))
-        if opened.isEmpty() and roots is not None:
+        opened = kept(_opened(kept(_named(members, roots))))
+        settled = opened.isEmpty()
+        if settled and level > 1:
             break
-        # the same sets stand for many buckets, so that most comparisons are asked for several times and made once
-        first = Window.partitionBy("bucket").orderBy(F.xxhash64("node", F.lit(level)), "node")
-        heads = kept(opened.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= hubs).drop("rank"))
-        head = heads.select("bucket", *[F.col(c).alias(f"h_{c}") for c in ("node", "n", "place", "root")])
-        fits = _fit(F.col("n"), F.col("h_n"), F.col("place"), F.col("h_place"))
-        asked = opened.join(head, "bucket").where("root <> h_root").where(fits)
-        asked = asked.select(F.least("node", "h_node").alias("u"), F.greatest("node", "h_node").alias("v")).distinct()
-        asked = _thinned(kept(asked), prints)
-        if roots is None:
-            asked = asked.unionByName(pairs).distinct()
-        both = kept(asked).join(sets.select(F.col("node").alias("v"), F.col("tokens").alias("b")), "v")
-        both = both.join(sets.select(F.col("node").alias("u"), F.col("tokens").alias("a")), "u")
-        alike = X.let(F.size(F.array_intersect("a", "b")), lambda c: 9 * c >= 4 * (F.size("a") + F.size("b")))
-        links = kept(both.where(alike).select("u", "v"))
-        # a group so far goes in as a star, whatever links it came from
-        if roots is not None:
-            links = links.unionByName(roots.select(F.col("root").alias("u"), F.col("node").alias("v")))
-        roots = graphs.components(links)
-        members = kept(opened.join(heads.select("bucket", "node"), ["bucket", "node"], "left_anti").select("bucket", "node", "n", "place"))
+        # in smaller buckets each set is compared with one partner first, and then what is still apart
+        if not level:
+            asked = one = kept(pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"))
+        elif level == 1:
+            asked = _apart(pairs.join(one, ["u", "v"], "left_anti"), roots)
+        else:
+            asked = pairs.limit(0)
+        if not settled:
+            # the same sets stand for many buckets, so that most comparisons are asked for several times and made once
+            first = Window.partitionBy("bucket").orderBy(F.xxhash64("node", F.lit(level)), "node")
+            heads = kept(opened.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= hubs).drop("rank"))
+            head = heads.select("bucket", *[F.col(c).alias(f"h_{c}") for c in ("node", "n", "place", "root")])
+            fits = _fit(F.col("n"), F.col("h_n"), F.col("place"), F.col("h_place"))
+            sides = opened.join(head, "bucket").where("root <> h_root").where(fits)
+            sides = kept(sides.select(F.least("node", "h_node").alias("u"), F.greatest("node", "h_node").alias("v")).distinct())
+            asked = asked.unionByName(_thinned(sides, prints)).distinct()
+            opened = opened.join(heads.select("bucket", "node"), ["bucket", "node"], "left_anti")
+            members = kept(opened.select("bucket", "node", "n", "place"))
+        links = kept(_similar(kept, kept(asked), sets))
+        if roots is None or not links.isEmpty():
+            # a group so far goes in as a star, whatever links it came from
+            if roots is not None:
+                links = links.unionByName(roots.select(F.col("root").alias("u"), F.col("node").alias("v")))
+            roots = graphs.components(links)
         hubs, level = GROWTH * hubs, level + 1
     keys = keys.join(roots, "node", "left").withColumn("node", F.coalesce("root", "node"))
     least = keys.groupBy("node").agg(F.min("key").alias("group_id"))
